@@ -134,11 +134,12 @@ class InvertedIndex:
     doc_dict: DataFrame    # did, block, file, doc_name
     word_dict: DataFrame   # term_id, token, df
     postings: DataFrame    # term_id, did
-    doc_terms: DataFrame   # did, dpos, token (persisted working set)
-    corpus: DataFrame      # block, file, text, did
+    doc_terms: DataFrame | None = None   # did, dpos, token (persisted working set of a build)
+    corpus: DataFrame | None = None      # block, file, text, did (a build's input)
 
     def release(self) -> None:
-        self.doc_terms.unpersist()
+        if self.doc_terms is not None:
+            self.doc_terms.unpersist()
 
 
 def build_index(corpus: DataFrame) -> InvertedIndex:

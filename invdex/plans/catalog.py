@@ -17,6 +17,8 @@ from ..operators import compress as C
 from ..operators import index as X
 from ..operators import search as S
 from ..operators.skew import broadcast_if_small
+from ..session import scratch_path
+from ..sources import index_store as IO
 from ..sources.corpus import documents_corpus, file_count
 from . import workloads as W
 
@@ -234,6 +236,56 @@ def q_result_diff(spark, sf_dir):
     return S.result_diff(actual, expected)
 
 
+# ------------------------------------------------------------- storage
+
+def stored_index_for(spark: SparkSession, sf_dir: str) -> str:
+    """Write the index (dictionaries, postings, compressed and plain lists)
+    once per application into the shared scratch folder; return its root."""
+    key = (spark.sparkContext.applicationId, sf_dir, "stored")
+    root = _CACHE.get(key)
+    if root is None:
+        root = scratch_path(spark, "index")
+        IO.write_index(index_for(spark, sf_dir), root, compressed=C.encode(segments_for(spark, sf_dir)), plain=True)
+        _CACHE[key] = root
+    return root
+
+
+def q_index_roundtrip(spark, sf_dir):
+    """Write the index, open it again, answer the dev queries with
+    literal term filters pushed into the Parquet scans."""
+    ix = IO.read_index(spark, stored_index_for(spark, sf_dir))
+    return S.search(ix.postings, ix.word_dict, ix.doc_dict, W.dev_queries(spark), seek=True)
+
+
+def q_plain_import(spark, sf_dir):
+    """P5: parse the stored plain-text posting lines back to postings."""
+    return IO.read_plain(spark, f"{stored_index_for(spark, sf_dir)}/plain")
+
+
+def q_stored_vb_decode(spark, sf_dir):
+    """C4 on the stored compressed table."""
+    return C.decode_vb(IO.read_compressed(spark, stored_index_for(spark, sf_dir)))
+
+
+def q_stored_gamma_decode(spark, sf_dir):
+    """C6 on the stored compressed table."""
+    return C.decode_gamma(IO.read_compressed(spark, stored_index_for(spark, sf_dir)))
+
+
+def q_query_file_search(spark, sf_dir):
+    """S8 + S9: benchmark passages written as a query file (one query per
+    line), read back with line numbers as ids, answered, results written and
+    read back."""
+    root = scratch_path(spark, "queryfile")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (W.benchmark_queries(spark, sf_dir).repartitionByRange(n, "query_id").sortWithinPartitions("query_id")
+     .select("query_text").write.text(f"{root}/queries"))
+    queries = IO.read_query_lines(spark, f"{root}/queries")
+    ix = index_for(spark, sf_dir)
+    IO.write_results(S.search(ix.postings, ix.word_dict, ix.doc_dict, queries), f"{root}/results")
+    return spark.read.schema("query_id bigint, rank bigint, doc_name string").parquet(f"{root}/results")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_scan": q_corpus_scan,
     "file_count": q_file_count,
@@ -263,4 +315,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_benchmark": q_search_benchmark,
     "search_conversations": q_search_conversations,
     "result_diff": q_result_diff,
+    "index_roundtrip": q_index_roundtrip,
+    "plain_import": q_plain_import,
+    "stored_vb_decode": q_stored_vb_decode,
+    "stored_gamma_decode": q_stored_gamma_decode,
+    "query_file_search": q_query_file_search,
 }

@@ -89,6 +89,10 @@ def _search(qsql: str) -> str:
         """SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY doc_name) AS rank, doc_name FROM res"""
 
 
+QUERY_FILE_SQL = """(SELECT row_number() OVER (ORDER BY query_id, i) AS query_id, line AS query_text FROM (
+  SELECT query_id, unnest(a) AS line, generate_subscripts(a, 1) AS i
+  FROM (SELECT query_id, string_split(query_text, chr(10)) AS a FROM """ + BENCHMARK_QUERIES_SQL + """)))"""
+
 ORACLES: dict[str, str] = {
     "corpus_scan": "SELECT source AS block, CAST(doc_id AS VARCHAR) AS file, CAST(strlen(text) AS BIGINT) AS n_bytes "
                    "FROM documents",
@@ -147,4 +151,9 @@ ORACLES: dict[str, str] = {
   SELECT did, '+' AS side FROM (SELECT did FROM a EXCEPT ALL SELECT did FROM b)
   UNION ALL
   SELECT did, '-' AS side FROM (SELECT did FROM b EXCEPT ALL SELECT did FROM a)) x JOIN docs d USING (did)""",
+    "index_roundtrip": _search(dev_queries_sql()),
+    "plain_import": _index() + "SELECT term_id, did FROM post",
+    "stored_vb_decode": _index() + "SELECT term_id, did FROM post",
+    "stored_gamma_decode": _index() + "SELECT term_id, did FROM post",
+    "query_file_search": _search(QUERY_FILE_SQL),
 }
