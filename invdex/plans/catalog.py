@@ -20,6 +20,8 @@ from ..operators.skew import broadcast_if_small
 from ..session import scratch_path
 from ..sources import index_store as IO
 from ..sources.corpus import documents_corpus, file_count
+from ..streaming import index_stream as IS
+from ..streaming import search_stream as SS
 from . import workloads as W
 
 _CACHE: dict = {}
@@ -286,6 +288,45 @@ def q_query_file_search(spark, sf_dir):
     return spark.read.schema("query_id bigint, rank bigint, doc_name string").parquet(f"{root}/results")
 
 
+# ------------------------------------------------------------- streaming
+
+def q_stream_search(spark, sf_dir):
+    """Benchmark queries arrive as a stream of JSON files; each
+    micro-batch is answered against the index (availableNow trigger)."""
+    root = scratch_path(spark, "stream-search")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    W.benchmark_queries(spark, sf_dir).repartitionByRange(n, "query_id").write.json(f"{root}/in")
+    q = SS.start_search_stream(spark, index_for(spark, sf_dir), f"{root}/in", f"{root}/out", f"{root}/ckpt",
+                               files_per_trigger=2)
+    q.awaitTermination()
+    return SS.read_stream_results(spark, f"{root}/out")
+
+
+def stream_index_for(spark: SparkSession, sf_dir: str) -> dict:
+    key = (spark.sparkContext.applicationId, sf_dir, "stream-index")
+    tables = _CACHE.get(key)
+    if tables is None:
+        root = scratch_path(spark, "stream-index")
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        IS.stage_corpus(documents_corpus(spark, sf_dir), f"{root}/in", n)
+        q = IS.start_index_stream(spark, f"{root}/in", f"{root}/state", f"{root}/ckpt", files_per_trigger=1)
+        q.awaitTermination()
+        tables = IS.read_stream_index(spark, f"{root}/state")
+        _CACHE[key] = tables
+    return tables
+
+
+def q_stream_index(spark, sf_dir):
+    """The documents arrive as a stream of ordered key-range files; the
+    index grows per micro-batch. Postings equal the batch build."""
+    return stream_index_for(spark, sf_dir)["postings"].select("term_id", "did")
+
+
+def q_stream_index_words(spark, sf_dir):
+    """The word dictionary grown by the stream equals the batch one."""
+    return stream_index_for(spark, sf_dir)["word_dict"].select("term_id", "token")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_scan": q_corpus_scan,
     "file_count": q_file_count,
@@ -320,4 +361,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_vb_decode": q_stored_vb_decode,
     "stored_gamma_decode": q_stored_gamma_decode,
     "query_file_search": q_query_file_search,
+    "stream_search": q_stream_search,
+    "stream_index": q_stream_index,
+    "stream_index_words": q_stream_index_words,
 }

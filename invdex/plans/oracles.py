@@ -156,4 +156,7 @@ ORACLES: dict[str, str] = {
     "stored_vb_decode": _index() + "SELECT term_id, did FROM post",
     "stored_gamma_decode": _index() + "SELECT term_id, did FROM post",
     "query_file_search": _search(QUERY_FILE_SQL),
+    "stream_search": _search(BENCHMARK_QUERIES_SQL),
+    "stream_index": _index() + "SELECT term_id, did FROM post",
+    "stream_index_words": _with(DOCS, TOKS, WORDS) + "SELECT term_id, token FROM words",
 }
