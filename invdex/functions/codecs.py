@@ -96,16 +96,17 @@ def gamma_pad(bits) -> Column:
 
 
 def bits_to_hex(bits, pad) -> Column:
-    """Pad in front, then 8 bits -> one byte, as lower-case hex."""
+    """Pad in front, then every 8 bits -> one byte, as lower-case hex.
+    Converted 32 bits (8 hex digits) at a time."""
     padded = F.concat(F.repeat(F.lit("0"), _c(pad)), _c(bits))
-    nbytes = F.floor(F.length(padded) / 8).cast("int")
-    idx = F.sequence(F.lit(0), nbytes - 1)
-    return F.when(nbytes == 0, F.lit("")).otherwise(
-        F.array_join(
-            F.transform(idx, lambda i: F.lpad(F.lower(F.conv(F.substring(padded, i * 8 + 1, 8), 2, 16)), 2, "0")),
-            "",
-        )
-    )
+    nbits = F.length(padded)
+    idx = F.sequence(F.lit(0), F.floor((nbits - 1) / 32).cast("int"))
+
+    def chunk(i: Column) -> Column:
+        width = F.least(F.lit(32), nbits - i * 32)
+        return F.lpad(F.lower(F.conv(F.substring(padded, i * 32 + 1, 32), 2, 16)), (width / 4).cast("int"), "0")
+
+    return F.when(nbits == 0, F.lit("")).otherwise(F.array_join(F.transform(idx, chunk), ""))
 
 
 # ---------------------------------------------------------------- C4 / C6 decoders

@@ -7,8 +7,9 @@ Input ``queries(query_id bigint, query_text string)``; output
 Plan, for a batch:
 
 1. P3/P4  split queries into distinct terms, drop blank queries;
-2. Q1     look the terms up in ``word_dict`` (query side broadcast after a
-          size check);
+2. Q1     look the terms up in ``word_dict``; the lookup (one row per query
+          term) is materialised once and its row count is the single size
+          check behind every broadcast below;
 3. Q2     a query with an unknown term has no hits;
 4. Q4     per query, its rarest term (smallest df) gives the candidates:
           candidates = postings of that one term, never of a stop word
@@ -16,7 +17,9 @@ Plan, for a batch:
 5. Q3/Q5  every candidate (query, did) is checked against the postings of the
           other terms with a join on (term_id, did): unique keys, no skew;
           a doc is a hit when all n terms are present;
-6. Q6-Q8  names, sentinel rows, rank by name (skew-safe global sort).
+6. Q6-Q8  names, sentinel rows, rank by name: a window per query when the
+          largest result is known to fit one task, else a global numbering
+          that splits a huge result across partitions.
 
 Postings are read only for the batch's terms (a semi-join, or a literal
 ``term_id IN (...)`` that Parquet row-group statistics prune when the index
@@ -25,16 +28,37 @@ is stored sorted by term and the term set is small).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import NO_RESULTS, query_terms
 from .ids import global_rank_in_group
-from .skew import broadcast_if_small
+from .skew import BROADCAST_MAX_ROWS, broadcast_if_small
 
-# Largest distinct term set that is turned into literal IN filters.
-MAX_SEEK_TERMS = 20_000
+# Largest distinct term set that is turned into literal IN filters. Larger
+# batches use a broadcast semi-join instead (Parquet would turn a long IN
+# list into one min/max range, which prunes nothing).
+MAX_SEEK_TERMS = 1_000
+
+
+def _sql_string(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def in_list(col: str, values: list) -> "F.Column":
+    """``col IN (v1, v2, ...)`` built as one SQL expression (one call into
+    the JVM instead of one per value)."""
+    if not values:
+        return F.lit(False)
+    if isinstance(values[0], str):
+        items = ", ".join(_sql_string(v) for v in values)
+    else:
+        items = ", ".join(str(int(v)) for v in values)
+    return F.expr(f"`{col}` IN ({items})")
+# Largest single-query result that is ranked by a window inside one task.
+RANK_WINDOW_MAX = 5_000_000
 
 
 def parse_queries(queries: DataFrame) -> DataFrame:
@@ -43,15 +67,18 @@ def parse_queries(queries: DataFrame) -> DataFrame:
 
 
 def term_lookup(qterms: DataFrame, words: DataFrame, seek: bool = False) -> DataFrame:
-    """Q1: (query_id, token, term_id, df); term_id/df NULL for unseen terms."""
-    small = broadcast_if_small(qterms)
+    """Q1: (query_id, token, term_id, df); term_id/df NULL for unseen terms.
+
+    The dictionary side is reduced to the batch's tokens first (literal IN
+    pushed into the scan when ``seek`` and the token set is small, else a
+    semi-join whose small side AQE broadcasts by measured size)."""
     w = words.select("token", "term_id", "df")
     if seek:
         toks = [r[0] for r in qterms.select("token").distinct().limit(MAX_SEEK_TERMS + 1).collect()]
         if len(toks) <= MAX_SEEK_TERMS:
-            w = w.where(F.col("token").isin(toks))
-    matched = w.join(small, "token")
-    return qterms.join(matched, ["query_id", "token"], "left").select("query_id", "token", "term_id", "df")
+            w = w.where(in_list("token", toks))
+    matched = w.join(qterms.select("token").distinct(), "token", "left_semi")
+    return qterms.join(matched, "token", "left").select("query_id", "token", "term_id", "df")
 
 
 def unseen_terms(lookup: DataFrame) -> DataFrame:
@@ -80,32 +107,44 @@ def answerable(lookup: DataFrame) -> DataFrame:
     )
 
 
-def _batch_postings(post: DataFrame, lookup: DataFrame, seek: bool) -> DataFrame:
+def _batch_postings(post: DataFrame, lookup: DataFrame, seek: bool, small: bool) -> DataFrame:
     """Postings restricted to the batch's known terms."""
     term_ids = lookup.where(F.col("term_id").isNotNull()).select("term_id").distinct()
     if seek:
         ids = [r[0] for r in term_ids.limit(MAX_SEEK_TERMS + 1).collect()]
         if len(ids) <= MAX_SEEK_TERMS:
-            return post.where(F.col("term_id").isin(ids))
-    return post.join(broadcast_if_small(term_ids), "term_id", "left_semi")
+            return post.where(in_list("term_id", ids))
+    return post.join(F.broadcast(term_ids) if small else term_ids, "term_id", "left_semi")
+
 
+def lookup_is_small(lookup: DataFrame) -> bool:
+    """One size check for the whole batch: every small side of the search
+    (answerable queries, needed terms, term ids) has at most as many rows as
+    the lookup table."""
+    return lookup.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
 
-def conjunctive_hits(post: DataFrame, lookup: DataFrame, seek: bool = False) -> DataFrame:
+
+def conjunctive_hits(post: DataFrame, lookup: DataFrame, seek: bool = False, small: bool | None = None) -> DataFrame:
     """Q3 + Q5: (query_id, did) for every doc that holds all query terms."""
-    ok = answerable(lookup)
-    ok_small = broadcast_if_small(ok)
-    bp = _batch_postings(post, lookup, seek)
+    if small is None:
+        small = lookup_is_small(lookup)
+
+    def b(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    ok = b(answerable(lookup))
+    bp = _batch_postings(post, lookup, seek, small)
     cands = (
-        ok_small.select("query_id", F.col("rare_term").alias("term_id"))
+        ok.select("query_id", F.col("rare_term").alias("term_id"))
         .join(bp, "term_id")
         .select("query_id", "did")
     )
-    needed = lookup.join(ok_small.select("query_id"), "query_id").select("query_id", "term_id")
-    checks = cands.join(broadcast_if_small(needed), "query_id")
+    needed = lookup.join(ok.select("query_id"), "query_id").select("query_id", "term_id")
+    checks = cands.join(b(needed), "query_id")
     present = checks.join(bp, ["term_id", "did"], "left_semi")
     counted = present.groupBy("query_id", "did").agg(F.count(F.lit(1)).alias("_n"))
     return (
-        counted.join(ok_small.select("query_id", "n_terms"), "query_id")
+        counted.join(ok.select("query_id", "n_terms"), "query_id")
         .where(F.col("_n") == F.col("n_terms"))
         .select("query_id", "did")
     )
@@ -135,29 +174,49 @@ def intersect_lists(seg_lists: DataFrame, lookup: DataFrame) -> DataFrame:
     return joined.select("query_id", F.explode(inter).alias("did"))
 
 
-def name_results(hits: DataFrame, docs: DataFrame, qterms: DataFrame) -> DataFrame:
+def name_results(hits: DataFrame, docs: DataFrame, lookup: DataFrame) -> DataFrame:
     """Q6 + Q7: (query_id, doc_name), with a sentinel row for a query that has
     terms but no hit. Built as a union, so a query with many hits is never
     gathered in one join task."""
     named = hits.join(docs.select("did", "doc_name"), "did").select("query_id", "doc_name")
-    asked = qterms.select("query_id").distinct()
+    asked = lookup.select("query_id").distinct()
     answered = hits.select("query_id").distinct()
     empty = asked.join(answered, "query_id", "left_anti").select("query_id", F.lit(NO_RESULTS).alias("doc_name"))
     return named.unionByName(empty)
 
 
-def sort_results(results: DataFrame) -> DataFrame:
-    """Q8: rank 1.. per query by doc name, byte order."""
+def largest_group(results: DataFrame) -> int:
+    """Rows of the largest query result (partially aggregated count)."""
+    v = results.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(v or 0)
+
+
+def sort_results(results: DataFrame, max_group: int | None = None) -> DataFrame:
+    """Q8: rank 1.. per query by doc name, byte order.
+
+    When the largest result is known to fit one task (``RANK_WINDOW_MAX``),
+    a window per query; otherwise one global numbering split across
+    partitions, so a query that matches most documents is spread out."""
+    if max_group is None:
+        max_group = largest_group(results)
+    if max_group <= RANK_WINDOW_MAX:
+        w = Window.partitionBy("query_id").orderBy("doc_name")
+        return results.select("query_id", F.row_number().over(w).cast("bigint").alias("rank"), "doc_name")
     return global_rank_in_group(results, "query_id", ["doc_name"], "rank").select("query_id", "rank", "doc_name")
 
 
 def search(post: DataFrame, words: DataFrame, docs: DataFrame, queries: DataFrame,
            seek: bool = False) -> DataFrame:
-    """Q5 end to end: (query_id, rank, doc_name)."""
+    """Q5 end to end: (query_id, rank, doc_name).
+
+    Two small tables are materialised (the batch's term lookup and the named
+    results) so that the size checks do not recompute the work."""
     qterms = parse_queries(queries)
-    lookup = term_lookup(qterms, words, seek=seek)
-    hits = conjunctive_hits(post, lookup, seek=seek)
-    return sort_results(name_results(hits, docs, qterms))
+    lookup = term_lookup(qterms, words, seek=seek).persist(StorageLevel.MEMORY_AND_DISK)
+    small = lookup_is_small(lookup)
+    hits = conjunctive_hits(post, lookup, seek=seek, small=small)
+    named = name_results(hits, docs, lookup).persist(StorageLevel.MEMORY_AND_DISK)
+    return sort_results(named, largest_group(named))
 
 
 def result_diff(actual: DataFrame, expected: DataFrame) -> DataFrame:
