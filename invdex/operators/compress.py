@@ -20,14 +20,14 @@ from pyspark.sql.window import Window
 
 from ..functions.codecs import (bits_to_hex, gamma_bits, gamma_decode_ids, gamma_pad, gaps_array,
                                 vb_decode_ids, vb_hex)
-from .index import segment_lists
+from .index import SEGMENT, segment_lists
 
 FANOUT = 1024
 
 
-def with_base(seg_lists: DataFrame) -> DataFrame:
+def with_base(seg_lists: DataFrame, fanout: int = FANOUT) -> DataFrame:
     """Add ``base`` to (term_id, seg, dids)."""
-    s = seg_lists.withColumn("_hi", F.expr(f"seg div {FANOUT}")).withColumn("_last", F.array_max("dids"))
+    s = seg_lists.withColumn("_hi", F.expr(f"seg div {int(fanout)}")).withColumn("_last", F.array_max("dids"))
     lvl1 = s.withColumn("_prev", F.lag("_last").over(Window.partitionBy("term_id", "_hi").orderBy("seg")))
     lvl2 = (
         s.groupBy("term_id", "_hi").agg(F.max("_last").alias("_hi_last"))
@@ -41,9 +41,9 @@ def with_base(seg_lists: DataFrame) -> DataFrame:
     )
 
 
-def segments(post: DataFrame) -> DataFrame:
+def segments(post: DataFrame, seg_width: int = SEGMENT, fanout: int = FANOUT) -> DataFrame:
     """(term_id, seg, base, dids) from long-form postings."""
-    return with_base(segment_lists(post))
+    return with_base(segment_lists(post, seg_width=seg_width), fanout=fanout)
 
 
 def gap_segments(segs: DataFrame) -> DataFrame:

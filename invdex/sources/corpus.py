@@ -9,6 +9,8 @@ Two sources:
 
 from __future__ import annotations
 
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +38,85 @@ def documents_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_count(corpus: DataFrame) -> DataFrame:
     """Number of documents (empty ones included)."""
     return corpus.agg(F.count(F.lit(1)).alias("file_count"))
+
+
+# ---------------------------------------------------------------- directories
+
+MANIFEST_SCHEMA = "block string, file string, path string, size bigint"
+
+
+def list_corpus(spark: SparkSession, root: str) -> DataFrame:
+    """Manifest of a two-level corpus: one row per file ``root/<block>/<file>``.
+
+    Listed with the Hadoop FileSystem API (metadata only, one call per
+    directory), because Spark's file sources skip names starting with ``_`` or
+    ``.`` and zero-byte files, which the reference indexes and counts.
+    Raises ValueError on a file directly in ``root`` or a nested directory."""
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    rpath = jvm.org.apache.hadoop.fs.Path(root)
+    fs = rpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    rows = []
+    if not fs.exists(rpath):
+        raise ValueError(f"corpus root does not exist: {root}")
+    for top in fs.listStatus(rpath):
+        if not top.isDirectory():
+            raise ValueError(f"file directly under the corpus root: {top.getPath().getName()}")
+        block = top.getPath().getName()
+        for st in fs.listStatus(top.getPath()):
+            if st.isDirectory():
+                raise ValueError(f"nested directory in block {block}: {st.getPath().getName()}")
+            rows.append((block, st.getPath().getName(), st.getPath().toUri().getPath(), int(st.getLen())))
+    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
+
+
+def _read_paths(batches):
+    """mapInPandas: read whole files by path (files Spark's sources skip)."""
+    for pdf in batches:
+        contents = []
+        for p in pdf["path"]:
+            with open(p, "rb") as fh:
+                contents.append(fh.read())
+        yield pd.DataFrame({"block": pdf["block"], "file": pdf["file"], "content": contents})
+
+
+def read_directory(spark: SparkSession, root: str, encoding: str = "ISO-8859-1") -> DataFrame:
+    """A two-level directory corpus as ``documents(block, file, text)``.
+
+    Bulk contents come from the ``binaryFile`` source (distributed JVM
+    reads), joined to the manifest on (block, file). Zero-byte files get an
+    empty text; hidden files are read by path in Python tasks.
+
+    ``encoding='ISO-8859-1'`` (default) maps every byte to one character, so
+    tokens are exact byte strings even for invalid UTF-8; use the same
+    encoding for queries (``encode_query_text``)."""
+    manifest = list_corpus(spark, root)
+    if manifest.isEmpty():
+        return spark.createDataFrame([], "block string, file string, text string")
+    try:
+        raw = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*")
+    except AnalysisException:  # every file is hidden or empty
+        raw = spark.createDataFrame([], "path string, content binary")
+    bulk = (
+        raw
+        .select(
+            F.element_at(F.split("path", "/"), -2).alias("block"),
+            F.element_at(F.split("path", "/"), -1).alias("file"),
+            "content",
+        )
+    )
+    named = manifest.join(bulk, ["block", "file"], "left")
+    missing = named.where(F.col("content").isNull() & (F.col("size") > 0)).select("block", "file", "path")
+    hidden = missing.mapInPandas(_read_paths, "block string, file string, content binary")
+    whole = (
+        named.where(F.col("content").isNotNull() | (F.col("size") == 0))
+        .select("block", "file", F.coalesce("content", F.lit(b"")).alias("content"))
+        .unionByName(hidden)
+    )
+    return whole.select("block", "file", F.decode("content", encoding).alias("text"))
+
+
+def encode_query_text(queries: DataFrame, encoding: str = "ISO-8859-1") -> DataFrame:
+    """Re-express query text the way ``read_directory`` decodes corpus bytes
+    (UTF-8 query bytes read as ``encoding``), so terms match byte for byte."""
+    return queries.withColumn("query_text", F.decode(F.encode("query_text", "UTF-8"), encoding))
