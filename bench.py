@@ -58,7 +58,7 @@ def main() -> None:
     enc = IO.read_compressed(spark, root)
     timed("vb_decode_all", lambda: _run(C.decode_vb(enc)))
     timed("gamma_decode_all", lambda: _run(C.decode_gamma(enc)))
-    timed("index_size", lambda: C.index_size(C.segments(stored.postings)).collect())
+    timed("index_size", lambda: C.index_size(stored.postings, enc).collect())
 
     def search(queries):
         return lambda: _run(S.search(stored.postings, stored.word_dict, stored.doc_dict, queries, seek=True))

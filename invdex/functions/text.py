@@ -21,7 +21,8 @@ NAME_SEP = "/"
 def tokens(text: Column | str) -> Column:
     """Whitespace tokens in document order (empty strings removed)."""
     col = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(col, WHITESPACE_CLASS), lambda t: t != F.lit(""))
+    # array_remove is a native expression (a lambda filter would be interpreted)
+    return F.array_remove(F.split(col, WHITESPACE_CLASS), "")
 
 
 def distinct_tokens(text: Column | str) -> Column:

@@ -76,25 +76,21 @@ def decode_gamma(enc: DataFrame) -> DataFrame:
     return enc.select("term_id", F.explode(gamma_decode_ids("gamma", "gamma_pad", "base")).alias("did"))
 
 
-def index_size(segs: DataFrame) -> DataFrame:
+def index_size(post: DataFrame, enc: DataFrame) -> DataFrame:
     """Stored size of the whole index per format, one row.
 
     plain: one ``term_id:id,id,...\\n`` line per term; vb: sum of segment
     bytes (byte aligned, so equal to whole-list bytes); gamma: per term
     ceil(total code bits / 8), as the whole list would be packed. All from
-    per-segment partial sums, never from whole lists."""
-    g = gap_segments(segs)
-    per_seg = g.select(
-        "term_id",
-        F.size("dids").cast("bigint").alias("_n"),
-        F.aggregate("dids", F.lit(0).cast("bigint"),
-                    lambda a, x: a + F.length(x.cast("string"))).alias("_idc"),
-        (F.length(vb_hex("gaps")) / 2).cast("bigint").alias("_vb"),
-        F.length(gamma_bits("gaps")).cast("bigint").alias("_bits"),
+    per-term partial sums (two term-keyed aggregates joined on a unique
+    key), never from whole lists."""
+    ids = post.groupBy("term_id").agg(
+        F.count(F.lit(1)).alias("_df"), F.sum(F.length(F.col("did").cast("string"))).alias("_idc")
     )
-    per_term = per_seg.groupBy("term_id").agg(
-        F.sum("_n").alias("_df"), F.sum("_idc").alias("_idc"), F.sum("_vb").alias("_vb"), F.sum("_bits").alias("_bits")
+    coded = enc.groupBy("term_id").agg(
+        F.sum(F.length("vb")).alias("_vb"), F.sum(F.length("gamma") * 8 - F.col("gamma_pad")).alias("_bits")
     )
+    per_term = ids.join(coded, "term_id")
     return per_term.agg(
         F.count(F.lit(1)).cast("bigint").alias("n_terms"),
         F.sum("_df").cast("bigint").alias("n_postings"),

@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,13 +40,16 @@ def dense_ids(df: DataFrame, order_cols: list[str | Column], id_col: str, start:
     The order must be total (unique keys) for the ids to be deterministic."""
     ensure_checkpoint_dir(df.sparkSession)
     n = _partitions(df, num_partitions)
-    ranged = (
+    staged = (
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("bigint"), 33))
-        .checkpoint(eager=True)
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    # persisted first, so writing the checkpoint does not recompute the shuffle
+    ranged = staged.checkpoint(eager=True)
+    staged.unpersist()
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_ix_n"))
     # One row per partition: the window below sees at most ``n`` rows.
     offsets = counts.select(

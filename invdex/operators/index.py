@@ -64,11 +64,14 @@ def word_dict(terms: DataFrame) -> DataFrame:
     ``df`` = number of documents holding the token.
 
     The group-by on token is partially aggregated, so a hot token costs one
-    row per map task in the shuffle."""
+    row per map task in the shuffle. A token occurs once per document in
+    ``terms``, so the first occurrence is (min did, dpos at that did); both
+    are fixed-width buffers, which keeps the aggregate hash-based."""
     stats = terms.groupBy("token").agg(
-        F.min(F.struct("did", "dpos")).alias("_first"),
+        F.min("did").alias("_fdid"),
+        F.min_by("dpos", "did").alias("_fpos"),
         F.count(F.lit(1)).alias("df"),
-    ).select("token", "df", F.col("_first.did").alias("_fdid"), F.col("_first.dpos").alias("_fpos"))
+    )
     return dense_ids(stats, ["_fdid", "_fpos"], "term_id", start=0).select("term_id", "token", "df")
 
 

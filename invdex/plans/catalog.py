@@ -123,7 +123,7 @@ def q_merge_blocks(spark, sf_dir):
 
 def q_index_size(spark, sf_dir):
     """A7."""
-    return C.index_size(segments_for(spark, sf_dir))
+    return C.index_size(index_for(spark, sf_dir).postings, C.encode(segments_for(spark, sf_dir)))
 
 
 # ------------------------------------------------------------- codecs

@@ -73,11 +73,9 @@ def start_index_stream(spark: SparkSession, source_dir: str, state_dir: str, che
         ids = ids.select("did", "block", "file", doc_name("block", "file").alias("doc_name"))
         terms = doc_terms(batch.join(ids.select("block", "file", "did"), ["block", "file"]))
         stats = terms.groupBy("token").agg(
-            F.min(F.struct("did", "dpos")).alias("_first"), F.count(F.lit(1)).alias("df")
-        )
-        fresh = stats.join(old_words.select("token"), "token", "left_anti").select(
-            "token", F.col("_first.did").alias("_fdid"), F.col("_first.dpos").alias("_fpos")
+            F.min("did").alias("_fdid"), F.min_by("dpos", "did").alias("_fpos"), F.count(F.lit(1)).alias("df")
         )
+        fresh = stats.join(old_words.select("token"), "token", "left_anti").select("token", "_fdid", "_fpos")
         new_words = dense_ids(fresh, ["_fdid", "_fpos"], "term_id", start=next_term).select("term_id", "token")
         # dictionary rows this batch needs, with the batch's df for salting
         known = old_words.join(stats.select("token"), "token", "left_semi").unionByName(new_words)

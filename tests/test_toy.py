@@ -79,7 +79,7 @@ def test_codecs_and_sizes(toy):
     enc = C.encode(C.segments(ix.postings)).collect()
     got = {r.term_id: (bytes(r.vb).hex(), bytes(r.gamma).hex(), r.gamma_pad) for r in enc}
     assert got == {v[0]: (v[3], v[4], v[5]) for v in TERMS.values()}
-    size = C.index_size(C.segments(ix.postings)).first()
+    size = C.index_size(ix.postings, C.encode(C.segments(ix.postings))).first()
     assert (size.plain_bytes, size.vb_bytes, size.gamma_bytes) == (90, 29, 14)
 
 
