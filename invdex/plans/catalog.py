@@ -17,7 +17,7 @@ from ..operators import compress as C
 from ..operators import index as X
 from ..operators import search as S
 from ..operators.skew import broadcast_if_small
-from ..session import scratch_path
+from ..session import app_id, scratch_path
 from ..sources import index_store as IO
 from ..sources.corpus import documents_corpus, file_count
 from ..streaming import index_stream as IS
@@ -28,7 +28,7 @@ _CACHE: dict = {}
 
 
 def index_for(spark: SparkSession, sf_dir: str) -> X.InvertedIndex:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (app_id(spark), sf_dir)
     ix = _CACHE.get(key)
     if ix is None:
         ix = X.build_index(documents_corpus(spark, sf_dir))
@@ -37,7 +37,7 @@ def index_for(spark: SparkSession, sf_dir: str) -> X.InvertedIndex:
 
 
 def segments_for(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, "segments")
+    key = (app_id(spark), sf_dir, "segments")
     segs = _CACHE.get(key)
     if segs is None:
         # Reused by every codec query: cut the lineage once.
@@ -243,7 +243,7 @@ def q_result_diff(spark, sf_dir):
 def stored_index_for(spark: SparkSession, sf_dir: str) -> str:
     """Write the index (dictionaries, postings, compressed and plain lists)
     once per application into the shared scratch folder; return its root."""
-    key = (spark.sparkContext.applicationId, sf_dir, "stored")
+    key = (app_id(spark), sf_dir, "stored")
     root = _CACHE.get(key)
     if root is None:
         root = scratch_path(spark, "index")
@@ -303,7 +303,7 @@ def q_stream_search(spark, sf_dir):
 
 
 def stream_index_for(spark: SparkSession, sf_dir: str) -> dict:
-    key = (spark.sparkContext.applicationId, sf_dir, "stream-index")
+    key = (app_id(spark), sf_dir, "stream-index")
     tables = _CACHE.get(key)
     if tables is None:
         root = scratch_path(spark, "stream-index")

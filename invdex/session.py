@@ -47,7 +47,7 @@ def ship_package(spark: SparkSession) -> None:
     mapInPandas) with ``addPyFile``: the package is zipped once per
     application and distributed by Spark like any --py-files archive."""
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    if app_id(spark) in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="invdex-pkg-"), "invdex.zip")
@@ -58,7 +58,7 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(out)
-    _SHIPPED.add(sc.applicationId)
+    _SHIPPED.add(app_id(spark))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -78,6 +78,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (cache key for per-app state)."""
+    try:
+        return spark.conf.get("spark.app.id")
+    except Exception:  # pragma: no cover - conf not readable
+        return spark.sparkContext.applicationId
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A new, unique folder under the shared checkpoint directory, for
     written tables and streaming sources/sinks/checkpoints."""
