@@ -50,7 +50,8 @@ def with_doc_ids(corpus: DataFrame, docs: DataFrame) -> DataFrame:
 
 def token_positions(corpus_with_ids: DataFrame) -> DataFrame:
     """One row per token occurrence: (did, pos, token), pos from 0."""
-    return corpus_with_ids.select("did", F.posexplode(tokens("text")).alias("pos", "token"))
+    return corpus_with_ids.select("did", F.posexplode(tokens("text")).alias("pos", "token")).select(
+        "did", F.col("pos").cast("bigint").alias("pos"), "token")
 
 
 def doc_terms(corpus_with_ids: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def dev_queries(spark: SparkSession, id_offset: int = 0) -> DataFrame:
 
 def dev_queries_sql(id_offset: int = 0) -> str:
     rows = ", ".join(f"({i + id_offset}, '{t}')" for i, t in DEV_QUERIES)
-    return f"(SELECT * FROM (VALUES {rows}) AS v(query_id, query_text))"
+    return f"(SELECT CAST(query_id AS BIGINT) AS query_id, query_text FROM (VALUES {rows}) AS v(query_id, query_text))"
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
