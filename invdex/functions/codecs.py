@@ -55,8 +55,16 @@ def _hex2(n: Column) -> Column:
 
 
 def vb_hex_number(g: Column) -> Column:
-    """VB bytes of one number as lower-case hex. Digits: (bits - 1) div 7 + 1,
-    exact for every non-negative bigint."""
+    """VB bytes of one number as lower-case hex, exact for every
+    non-negative bigint. One- and two-byte numbers (the common case) take a
+    direct expression; longer ones enumerate their (bits - 1) div 7 + 1
+    digits."""
+    one = _hex2(g + F.lit(128))
+    two = F.concat(_hex2(F.shiftright(g, 7)), _hex2(g.bitwiseAND(F.lit(127)) + F.lit(128)))
+    return F.when(g < F.lit(128), one).when(g < F.lit(16384), two).otherwise(_vb_hex_long(g))
+
+
+def _vb_hex_long(g: Column) -> Column:
     ndig = F.floor((F.length(F.bin(g)) - 1) / 7).cast("int") + 1
     digits = F.sequence(ndig - 1, F.lit(0), F.lit(-1))
     return F.array_join(

@@ -6,7 +6,7 @@ gap reference the whole-list coding of the reference would use there. Each
 segment is therefore decodable on its own, and VB segment bytes joined in
 ``seg`` order are exactly the whole-list bytes.
 
-``base`` is found with a two-level lag so that no task ever sees a whole
+``base`` is found from the long-form postings with a two-level lag so that no task ever sees a whole
 stop-word list: level 1 inside groups of FANOUT consecutive segments,
 level 2 over the per-group maxima of one term (at most
 max_doc_id / (SEGMENT * FANOUT) rows per term).
@@ -20,30 +20,39 @@ from pyspark.sql.window import Window
 
 from ..functions.codecs import (bits_to_hex, gamma_bits, gamma_decode_ids, gamma_pad, gaps_array,
                                 vb_decode_ids, vb_hex)
-from .index import SEGMENT, segment_lists
+from .index import SEGMENT, seg_of, segment_lists
 
 FANOUT = 1024
 
 
-def with_base(seg_lists: DataFrame, fanout: int = FANOUT) -> DataFrame:
-    """Add ``base`` to (term_id, seg, dids)."""
-    s = seg_lists.withColumn("_hi", F.expr(f"seg div {int(fanout)}")).withColumn("_last", F.array_max("dids"))
-    lvl1 = s.withColumn("_prev", F.lag("_last").over(Window.partitionBy("term_id", "_hi").orderBy("seg")))
+def segment_bases(post: DataFrame, seg_width: int = SEGMENT, fanout: int = FANOUT) -> DataFrame:
+    """(term_id, seg, base) from long-form postings.
+
+    The last id of every segment is a fixed-width, partially aggregated
+    max; the lags then run on that lean table, never on id arrays."""
+    lean = (
+        post.withColumn("seg", seg_of("did", seg_width))
+        .groupBy("term_id", "seg").agg(F.max("did").alias("_last"))
+        .withColumn("_hi", F.expr(f"seg div {int(fanout)}"))
+    )
+    lvl1 = lean.withColumn("_prev", F.lag("_last").over(Window.partitionBy("term_id", "_hi").orderBy("seg")))
     lvl2 = (
-        s.groupBy("term_id", "_hi").agg(F.max("_last").alias("_hi_last"))
+        lean.groupBy("term_id", "_hi").agg(F.max("_last").alias("_hi_last"))
         .withColumn("_hi_prev", F.lag("_hi_last").over(Window.partitionBy("term_id").orderBy("_hi")))
         .select("term_id", "_hi", "_hi_prev")
     )
-    return (
-        lvl1.join(lvl2, ["term_id", "_hi"])
-        .withColumn("base", F.coalesce("_prev", "_hi_prev", F.lit(0).cast("bigint")))
-        .select("term_id", "seg", "base", "dids")
+    return lvl1.join(lvl2, ["term_id", "_hi"]).select(
+        "term_id", "seg", F.coalesce("_prev", "_hi_prev", F.lit(0).cast("bigint")).alias("base")
     )
 
 
 def segments(post: DataFrame, seg_width: int = SEGMENT, fanout: int = FANOUT) -> DataFrame:
-    """(term_id, seg, base, dids) from long-form postings."""
-    return with_base(segment_lists(post, seg_width=seg_width), fanout=fanout)
+    """(term_id, seg, base, dids) from long-form postings. The lists keep the
+    partitioning of their own group-by; only the lean bases are shuffled to
+    meet them."""
+    lists = segment_lists(post, seg_width=seg_width)
+    return lists.join(segment_bases(post, seg_width, fanout), ["term_id", "seg"]).select(
+        "term_id", "seg", "base", "dids")
 
 
 def gap_segments(segs: DataFrame) -> DataFrame:
