@@ -296,8 +296,9 @@ def q_stream_search(spark, sf_dir):
     root = scratch_path(spark, "stream-search")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     W.benchmark_queries(spark, sf_dir).repartitionByRange(n, "query_id").write.json(f"{root}/in")
+    # a few files per micro-batch: several epochs, each a whole batch search
     q = SS.start_search_stream(spark, index_for(spark, sf_dir), f"{root}/in", f"{root}/out", f"{root}/ckpt",
-                               files_per_trigger=2)
+                               files_per_trigger=max(1, n // 3))
     q.awaitTermination()
     return SS.read_stream_results(spark, f"{root}/out")
 
@@ -307,8 +308,8 @@ def stream_index_for(spark: SparkSession, sf_dir: str) -> dict:
     tables = _CACHE.get(key)
     if tables is None:
         root = scratch_path(spark, "stream-index")
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        IS.stage_corpus(documents_corpus(spark, sf_dir), f"{root}/in", n)
+        # four ordered key ranges -> four micro-batches
+        IS.stage_corpus(documents_corpus(spark, sf_dir), f"{root}/in", 4)
         q = IS.start_index_stream(spark, f"{root}/in", f"{root}/state", f"{root}/ckpt", files_per_trigger=1)
         q.awaitTermination()
         tables = IS.read_stream_index(spark, f"{root}/state")
