@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import distinct_tokens, doc_name, tokens
 from .ids import dense_ids
-from .skew import salted_join
+from .skew import BROADCAST_MAX_ROWS, salted_join
 
 # Fixed layout parameter: doc-id segment width for list-shaped tables
 # (block lists, merged lists, codecs). seg = (did - 1) div SEGMENT.
@@ -77,8 +77,15 @@ def word_dict(terms: DataFrame) -> DataFrame:
 
 
 def attach_term_ids(rows: DataFrame, words: DataFrame, spread_col: str = "did") -> DataFrame:
-    """A1: replace ``token`` by ``term_id`` (salted for the heaviest tokens)."""
-    return salted_join(rows, words.select("token", "term_id", "df"), "token", "df", spread_col).drop("df")
+    """A1: replace ``token`` by ``term_id``.
+
+    A dictionary of at most BROADCAST_MAX_ROWS rows (checked) is broadcast,
+    so the postings are not shuffled at all; a larger one is joined by a
+    shuffle join whose heaviest tokens are salted."""
+    w = words.select("token", "term_id", "df")
+    if w.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+        return rows.join(F.broadcast(w.drop("df")), "token")
+    return salted_join(rows, w, "token", "df", spread_col).drop("df")
 
 
 def postings(terms: DataFrame, words: DataFrame) -> DataFrame:

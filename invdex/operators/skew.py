@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 # weight; every other key then holds at most 1/HOT_KEYS of the total weight.
 HOT_KEYS = 1024
 MAX_SALT = 4096
+# Largest table (rows) broadcast after a size check. Rows of the broadcast
+# tables here are narrow (ids, a token), so this stays far below executor
+# memory.
 BROADCAST_MAX_ROWS = 2_000_000
 
 

@@ -91,3 +91,13 @@ def test_stream_search_equals_batch(spark, ix):
     a = sorted(SS.read_stream_results(spark, f"{root}/out").collect())
     b = sorted(S.search(ix.postings, ix.word_dict, ix.doc_dict, q).collect())
     assert a == b
+
+
+def test_salted_join_equals_plain_join(spark, ix):
+    from invdex.operators.skew import salted_join
+    rows = ix.doc_terms.select("did", "token")
+    w = ix.word_dict.select("token", "term_id", "df")
+    salted = salted_join(rows, w, "token", "df", "did", hot_keys=16, buckets=5).select("term_id", "did")
+    plain = rows.join(w, "token").select("term_id", "did")
+    assert sorted(salted.collect()) == sorted(plain.collect())
+    assert sorted(salted.collect()) == sorted(ix.postings.collect())
