@@ -145,29 +145,55 @@ def vb_decode_ids(buf: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series(np.split(ids, np.cumsum(counts)[:-1]))
 
 
-def _gamma_decode_one(buf: bytes, pad: int) -> list[int]:
-    bits = np.unpackbits(np.frombuffer(buf, dtype=np.uint8))[pad:]
-    out = []
-    i, n = 0, bits.size
-    while i < n:
-        k = 0
-        while bits[i]:
-            k += 1
-            i += 1
-        i += 1
-        v = 1
-        for _ in range(k):
-            v = (v << 1) | int(bits[i])
-            i += 1
-        out.append(v)
-    return out
+def _gamma_decode_batch(bufs, pads) -> tuple[np.ndarray, np.ndarray]:
+    """Decode the gamma bit strings of many segments at once.
+
+    Returns (values, counts): all gaps in segment order and the number of
+    gaps per segment. Every step decodes the next code of every segment that
+    still has bits, so the Python loop runs once per code position (at most
+    the segment width), not once per number."""
+    lens = np.fromiter((len(b) for b in bufs), dtype=np.int64, count=len(bufs))
+    n = len(bufs)
+    if n == 0 or lens.sum() == 0:
+        return np.zeros(0, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    bits = np.unpackbits(np.frombuffer(b"".join(bytes(b) for b in bufs), dtype=np.uint8))
+    ends = np.cumsum(lens) * 8
+    pos = ends - lens * 8 + np.asarray(pads, dtype=np.int64)
+    # run of ones starting at every bit: distance to the next zero
+    size = bits.size
+    idx = np.arange(size + 1, dtype=np.int64)
+    zero_at = np.where(np.concatenate((bits, [0])) == 0, idx, size + 1)
+    next_zero = np.minimum.accumulate(zero_at[::-1])[::-1]
+    ones = next_zero[:-1] - idx[:-1]
+    padded = np.concatenate((bits, np.zeros(64, dtype=np.uint8))).astype(np.int64)
+    cols, rows = [], []
+    active = np.flatnonzero(pos < ends)
+    while active.size:
+        p = pos[active]
+        k = ones[p]
+        start = p + k + 1
+        val = np.ones(active.size, dtype=np.int64)
+        for j in range(int(k.max())):
+            take = j < k
+            val = np.where(take, (val << 1) | padded[start + j], val)
+        cols.append(val)
+        rows.append(active)
+        pos[active] = start + k
+        active = active[pos[active] < ends[active]]
+    seg = np.concatenate(rows)
+    vals = np.concatenate(cols)
+    order = np.argsort(seg, kind="stable")   # stable: keeps code order inside a segment
+    return vals[order], np.bincount(seg, minlength=n).astype(np.int64)
 
 
 @F.pandas_udf(ArrayType(LongType()))
 def gamma_decode_ids(buf: pd.Series, pad: pd.Series, base: pd.Series) -> pd.Series:
     """C6 + C2: gamma bytes of one segment (with its front pad) -> doc ids."""
-    res = []
-    for b, p, s in zip(buf, pad, base):
-        g = np.asarray(_gamma_decode_one(bytes(b), int(p)), dtype=np.int64)
-        res.append(np.cumsum(g) + int(s))
-    return pd.Series(res)
+    gaps, counts = _gamma_decode_batch(list(buf), pad.to_numpy(dtype=np.int64))
+    if gaps.size == 0:
+        return pd.Series([np.zeros(0, dtype=np.int64) for _ in range(len(buf))])
+    run = np.cumsum(gaps)
+    starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
+    before = np.where(starts > 0, run[np.maximum(starts - 1, 0)], 0)
+    ids = run - np.repeat(before, counts) + np.repeat(base.to_numpy(dtype=np.int64), counts)
+    return pd.Series(np.split(ids, np.cumsum(counts)[:-1]))

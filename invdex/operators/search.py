@@ -141,7 +141,10 @@ def conjunctive_hits(post: DataFrame, lookup: DataFrame, seek: bool = False, sma
     )
     needed = lookup.join(ok.select("query_id"), "query_id").select("query_id", "term_id")
     checks = cands.join(b(needed), "query_id")
-    present = checks.join(bp, ["term_id", "did"], "left_semi")
+    # Inner join on the unique key (term_id, did) = semi-join, but either side
+    # may be the build side, so AQE can broadcast the (usually small)
+    # candidate checks instead of shuffling the batch postings.
+    present = checks.join(bp, ["term_id", "did"])
     counted = present.groupBy("query_id", "did").agg(F.count(F.lit(1)).alias("_n"))
     return (
         counted.join(ok.select("query_id", "n_terms"), "query_id")
