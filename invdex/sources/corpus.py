@@ -42,40 +42,81 @@ def file_count(corpus: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- directories
 
-MANIFEST_SCHEMA = "block string, file string, path string, size bigint"
+# dir_uri is the block directory; file names stay raw (never parsed as URIs)
+MANIFEST_SCHEMA = "block string, file string, dir_uri string, size bigint"
+_LISTING_SCHEMA = "block string, file string, dir_uri string, size bigint, is_dir boolean"
+
+
+def _filesystem(root_uri: str):
+    """pyarrow file system and path for a Hadoop-style URI (file:, hdfs:,
+    s3:, gs:, ...), used inside Python tasks."""
+    from urllib.parse import unquote, urlparse
+
+    from pyarrow import fs as pafs
+
+    u = urlparse(root_uri)
+    if u.scheme in ("", "file"):
+        return pafs.LocalFileSystem(), unquote(u.path)
+    return pafs.FileSystem.from_uri(root_uri)
+
+
+def _list_blocks(batches):
+    """mapInPandas: list the files of each block directory."""
+    from pyarrow import fs as pafs
+
+    for pdf in batches:
+        out = []
+        for block, uri in zip(pdf["block"], pdf["uri"]):
+            fs, path = _filesystem(uri)
+            for info in fs.get_file_info(pafs.FileSelector(path, recursive=False)):
+                out.append((block, info.base_name, uri, int(info.size or 0), info.type == pafs.FileType.Directory))
+        yield pd.DataFrame(out, columns=["block", "file", "dir_uri", "size", "is_dir"])
 
 
 def list_corpus(spark: SparkSession, root: str) -> DataFrame:
     """Manifest of a two-level corpus: one row per file ``root/<block>/<file>``.
 
-    Listed with the Hadoop FileSystem API (metadata only, one call per
-    directory), because Spark's file sources skip names starting with ``_`` or
-    ``.`` and zero-byte files, which the reference indexes and counts.
-    Raises ValueError on a file directly in ``root`` or a nested directory."""
+    Spark's file sources skip names starting with ``_`` or ``.`` and zero-byte
+    files, which the reference indexes and counts, so the manifest is listed
+    directly: the driver lists only the root (one entry per block, with the
+    Hadoop FileSystem API), and the files of the blocks are listed in
+    parallel inside tasks. Raises ValueError on a file directly in ``root``
+    or a nested directory."""
     sc = spark.sparkContext
-    jvm = sc._jvm
-    rpath = jvm.org.apache.hadoop.fs.Path(root)
+    rpath = sc._jvm.org.apache.hadoop.fs.Path(root)
     fs = rpath.getFileSystem(sc._jsc.hadoopConfiguration())
-    rows = []
     if not fs.exists(rpath):
         raise ValueError(f"corpus root does not exist: {root}")
+    blocks = []
     for top in fs.listStatus(rpath):
         if not top.isDirectory():
             raise ValueError(f"file directly under the corpus root: {top.getPath().getName()}")
-        block = top.getPath().getName()
-        for st in fs.listStatus(top.getPath()):
-            if st.isDirectory():
-                raise ValueError(f"nested directory in block {block}: {st.getPath().getName()}")
-            rows.append((block, st.getPath().getName(), st.getPath().toUri().getPath(), int(st.getLen())))
-    return spark.createDataFrame(rows, MANIFEST_SCHEMA)
+        u = top.getPath().toUri()
+        scheme = u.getScheme() or "file"
+        authority = u.getAuthority() or ""
+        blocks.append((top.getPath().getName(), f"{scheme}://{authority}{u.getPath()}"))
+    if not blocks:
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    n = max(1, min(len(blocks), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    listing = (
+        spark.createDataFrame(blocks, "block string, uri string").repartition(n, "block")
+        .mapInPandas(_list_blocks, _LISTING_SCHEMA)
+        .persist()
+    )
+    nested = listing.where("is_dir").select("block", "file").limit(1).collect()
+    if nested:
+        listing.unpersist()
+        raise ValueError(f"nested directory in block {nested[0].block}: {nested[0].file}")
+    return listing.drop("is_dir")
 
 
 def _read_paths(batches):
     """mapInPandas: read whole files by path (files Spark's sources skip)."""
     for pdf in batches:
         contents = []
-        for p in pdf["path"]:
-            with open(p, "rb") as fh:
+        for d, name in zip(pdf["dir_uri"], pdf["file"]):
+            fs, path = _filesystem(d)
+            with fs.open_input_stream(f"{path.rstrip('/')}/{name}") as fh:
                 contents.append(fh.read())
         yield pd.DataFrame({"block": pdf["block"], "file": pdf["file"], "content": contents})
 
@@ -106,7 +147,7 @@ def read_directory(spark: SparkSession, root: str, encoding: str = "ISO-8859-1")
         )
     )
     named = manifest.join(bulk, ["block", "file"], "left")
-    missing = named.where(F.col("content").isNull() & (F.col("size") > 0)).select("block", "file", "path")
+    missing = named.where(F.col("content").isNull() & (F.col("size") > 0)).select("block", "file", "dir_uri")
     hidden = missing.mapInPandas(_read_paths, "block string, file string, content binary")
     whole = (
         named.where(F.col("content").isNotNull() | (F.col("size") == 0))

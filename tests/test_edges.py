@@ -62,9 +62,11 @@ def test_dir_order_vs_name_order(spark, tmp_path):
 
 
 def test_encoded_path_kept(spark, tmp_path):
-    root = write_corpus(str(tmp_path / "c"), {"a/sp ace%20#q.txt": "hello\n"})
+    root = write_corpus(str(tmp_path / "c"), {"a/sp ace%20#q.txt": "hello\n", "a/_h #1%25.txt": "hidden hello\n"})
     _, ix = _build(spark, root)
-    assert [r.doc_name for r in ix.doc_dict.collect()] == ["a/sp ace%20#q.txt"]
+    assert sorted(r.doc_name for r in ix.doc_dict.collect()) == ["a/_h #1%25.txt", "a/sp ace%20#q.txt"]
+    assert _search(spark, ix, [(1, "hello"), (2, "hidden")]) == {
+        1: ["a/_h #1%25.txt", "a/sp ace%20#q.txt"], 2: ["a/_h #1%25.txt"]}
 
 
 def test_bad_utf8_bytes(spark, tmp_path):
