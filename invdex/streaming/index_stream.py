@@ -7,9 +7,10 @@ order of first occurrence. Postings of the batch are appended. When the
 micro-batches arrive in ascending (block, file) order - as the reference
 processes its blocks - the result equals a batch build of all documents.
 
-State lives in three Parquet tables under ``state_dir``, one folder per
-epoch (``epoch=<id>``). A replayed epoch reads only earlier epochs and
-overwrites its own folder, so replays are harmless.
+State lives in Parquet tables under ``state_dir``, one folder per epoch
+(``epoch=<id>``): doc_dict, word_dict, postings, and a one-row counters
+table with the next doc and term ids. A replayed epoch reads only earlier
+epochs and overwrites its own folders, so replays are harmless.
 """
 
 from __future__ import annotations
@@ -49,9 +50,12 @@ def _state(spark: SparkSession, path: str, schema: str, epoch_id: int) -> DataFr
     return df.where(F.col("epoch") < epoch_id).drop("epoch")
 
 
-def _max(df: DataFrame, col: str, empty: int) -> int:
-    v = df.agg(F.max(col)).first()[0]
-    return empty if v is None else int(v)
+def _next_ids(spark: SparkSession, state_dir: str, epoch_id: int) -> tuple[int, int]:
+    """Next doc id and next term id, from the one-row-per-epoch counters
+    table (never from a scan of the growing dictionaries)."""
+    counters = _state(spark, f"{state_dir}/counters", "next_did bigint, next_term bigint", epoch_id)
+    row = counters.agg(F.max("next_did"), F.max("next_term")).first()
+    return (int(row[0]) if row[0] is not None else 1, int(row[1]) if row[1] is not None else 0)
 
 
 def start_index_stream(spark: SparkSession, source_dir: str, state_dir: str, checkpoint_dir: str,
@@ -64,10 +68,8 @@ def start_index_stream(spark: SparkSession, source_dir: str, state_dir: str, che
 
     def grow(batch: DataFrame, epoch_id: int) -> None:
         s = batch.sparkSession
-        old_docs = _state(s, f"{state_dir}/doc_dict", "did bigint, block string, file string, doc_name string", epoch_id)
         old_words = _state(s, f"{state_dir}/word_dict", "term_id bigint, token string", epoch_id)
-        next_did = _max(old_docs, "did", 0) + 1
-        next_term = _max(old_words, "term_id", -1) + 1
+        next_did, next_term = _next_ids(s, state_dir, epoch_id)
 
         ids = dense_ids(batch.select("block", "file"), ["block", "file"], "did", start=next_did)
         ids = ids.select("did", "block", "file", doc_name("block", "file").alias("doc_name"))
@@ -85,6 +87,11 @@ def start_index_stream(spark: SparkSession, source_dir: str, state_dir: str, che
         ids.write.mode("overwrite").parquet(f"{state_dir}/doc_dict/epoch={epoch_id}")
         new_words.write.mode("overwrite").parquet(f"{state_dir}/word_dict/epoch={epoch_id}")
         post.write.mode("overwrite").parquet(f"{state_dir}/postings/epoch={epoch_id}")
+        # counters last: an epoch without them is replayed from scratch
+        n_docs = s.read.parquet(f"{state_dir}/doc_dict/epoch={epoch_id}").count()
+        n_words = s.read.parquet(f"{state_dir}/word_dict/epoch={epoch_id}").count()
+        s.createDataFrame([(next_did + n_docs, next_term + n_words)], "next_did bigint, next_term bigint") \
+            .write.mode("overwrite").parquet(f"{state_dir}/counters/epoch={epoch_id}")
 
     w = docs.writeStream.foreachBatch(grow).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
