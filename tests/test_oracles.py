@@ -42,3 +42,13 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+# Index statistics of the sf0.01 documents table.
+SF01_SIZES = dict(n_terms=93_796, n_postings=272_716, plain_bytes=1_609_556, vb_bytes=388_325,
+                  gamma_bytes=455_355)
+
+
+def test_index_size_sf001(spark):
+    row = E.queries()["index_size"](spark, f"{SF}/sf0.01").first().asDict()
+    assert row == SF01_SIZES
