@@ -73,7 +73,12 @@ def main() -> None:
     timed("index_size", lambda: C.index_size(stored.postings, enc).collect())
 
     def search(queries):
-        return lambda: _run(S.search(stored.postings, stored.word_dict, stored.doc_dict, queries, seek=True))
+        def go():
+            cached: list = []
+            _run(S.search(stored.postings, stored.word_dict, stored.doc_dict, queries, seek=True, cached=cached))
+            for df in cached:
+                df.unpersist()
+        return go
 
     timed("search_dev", search(W.dev_queries(spark)))
     timed("search_benchmark", search(W.benchmark_queries(spark, sf_dir)))

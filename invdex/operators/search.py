@@ -209,16 +209,20 @@ def sort_results(results: DataFrame, max_group: int | None = None) -> DataFrame:
 
 
 def search(post: DataFrame, words: DataFrame, docs: DataFrame, queries: DataFrame,
-           seek: bool = False) -> DataFrame:
+           seek: bool = False, cached: list | None = None) -> DataFrame:
     """Q5 end to end: (query_id, rank, doc_name).
 
     Two small tables are materialised (the batch's term lookup and the named
-    results) so that the size checks do not recompute the work."""
+    results) so that the size checks do not recompute the work. A caller that
+    answers many batches (a stream) passes ``cached`` and unpersists its
+    entries once the result is written."""
     qterms = parse_queries(queries)
     lookup = term_lookup(qterms, words, seek=seek).persist(StorageLevel.MEMORY_AND_DISK)
     small = lookup_is_small(lookup)
     hits = conjunctive_hits(post, lookup, seek=seek, small=small)
     named = name_results(hits, docs, lookup).persist(StorageLevel.MEMORY_AND_DISK)
+    if cached is not None:
+        cached.extend([lookup, named])
     return sort_results(named, largest_group(named))
 
 

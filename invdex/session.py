@@ -25,6 +25,7 @@ def build_session(master: str | None = None, app: str = "invdex", shuffle_partit
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.join.preferSortMergeJoin", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.parquet.pushdown.inFilterThreshold", "1000")

@@ -30,8 +30,11 @@ def start_search_stream(spark: SparkSession, ix: InvertedIndex, source_dir: str,
     )
 
     def answer(batch: DataFrame, epoch_id: int) -> None:
-        res = search(ix.postings, ix.word_dict, ix.doc_dict, batch, seek=seek)
+        cached: list = []
+        res = search(ix.postings, ix.word_dict, ix.doc_dict, batch, seek=seek, cached=cached)
         res.write.mode("overwrite").parquet(f"{sink_dir}/epoch={epoch_id}")
+        for df in cached:  # nothing of an epoch stays cached
+            df.unpersist()
 
     w = queries.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")
