@@ -6,7 +6,8 @@ Data flow of a build (``build_index``)::
       -> doc_dict(did, block, file, doc_name)          I1: dense ids from 1
       -> doc_terms(did, dpos, token)                   P1: distinct tokens per doc
       -> word_dict(term_id, token, df)                 I2: dense ids from 0 by first occurrence
-      -> postings(term_id, did)                        A1+A5: salted join on token
+      -> postings(term_id, did)                        A1+A5: join on token (checked broadcast
+                                                       of the dictionary, else salted shuffle join)
 
 Every id is a pure function of the corpus, so rebuilding, merging blocks or
 growing the index block by block gives the same tables.
