@@ -3,7 +3,6 @@ import, query files with line ids, text results, IN-list escaping."""
 
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import SF
 from invdex.operators import compress as C

@@ -2,7 +2,6 @@
 incremental stream = batch build, q = q q, adding a term never adds hits,
 and the skew-safe rank equals a per-query window."""
 
-import os
 
 import pytest
 from pyspark.sql import functions as F
