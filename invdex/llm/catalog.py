@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, simhash
+from . import decontaminate, lm_score, quality, simhash, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.q_op1_decontaminate,
     "op2_simhash": simhash.q_op2_simhash,
+    "op5_toxicity": toxicity.q_op5_toxicity,
+    "op6_lm_score": lm_score.q_op6_lm_score,
+    "op10_quality": quality.q_op10_quality,
 }
 
 # Queries without an entry are tested against brute force in tests/llm.
