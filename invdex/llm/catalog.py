@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lm_score, quality, simhash, toxicity
+from . import chat, decontaminate, lm_score, mixing, quality, simhash, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.q_op1_decontaminate,
     "op2_simhash": simhash.q_op2_simhash,
+    "op3_mixing": mixing.q_op3_mixing,
+    "op4_chat": chat.q_op4_chat,
     "op5_toxicity": toxicity.q_op5_toxicity,
     "op6_lm_score": lm_score.q_op6_lm_score,
     "op10_quality": quality.q_op10_quality,
@@ -15,4 +17,6 @@ QUERIES = {
 # Queries without an entry are tested against brute force in tests/llm.
 ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE,
+    "op3_mixing": mixing.ORACLE,
+    "op4_chat": chat.ORACLE,
 }
