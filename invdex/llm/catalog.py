@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, lm_score, mixing, quality, simhash, toxicity
+from . import chat, decontaminate, html_text, lm_score, mixing, quality, simhash, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.q_op1_decontaminate,
@@ -11,6 +11,8 @@ QUERIES = {
     "op4_chat": chat.q_op4_chat,
     "op5_toxicity": toxicity.q_op5_toxicity,
     "op6_lm_score": lm_score.q_op6_lm_score,
+    "op7_html": html_text.q_op7_html,
+    "op9_warc": warc.q_op9_warc,
     "op10_quality": quality.q_op10_quality,
 }
 
@@ -19,4 +21,5 @@ ORACLES = {
     "op1_decontaminate": decontaminate.ORACLE,
     "op3_mixing": mixing.ORACLE,
     "op4_chat": chat.ORACLE,
+    "op9_warc": warc.ORACLE,
 }
