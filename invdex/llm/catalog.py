@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, html_text, lm_score, mixing, quality, simhash, toxicity, warc
+from . import chat, decontaminate, html_text, lm_score, mixing, pii, quality, simhash, toxicity, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.q_op1_decontaminate,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_toxicity": toxicity.q_op5_toxicity,
     "op6_lm_score": lm_score.q_op6_lm_score,
     "op7_html": html_text.q_op7_html,
+    "op8_pii": pii.q_op8_pii,
     "op9_warc": warc.q_op9_warc,
     "op10_quality": quality.q_op10_quality,
 }
