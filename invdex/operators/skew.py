@@ -15,18 +15,29 @@ from pyspark.sql import functions as F
 # weight; every other key then holds at most 1/HOT_KEYS of the total weight.
 HOT_KEYS = 1024
 MAX_SALT = 4096
-# Largest table (rows) broadcast after a size check. Rows of the broadcast
-# tables here are narrow (ids, a token), so this stays far below executor
-# memory.
+# Largest table broadcast after a size check: rows, and bytes of column data
+# (a token has no length bound, so rows alone prove nothing).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows``
-    rows; otherwise return it unchanged (shuffle join, AQE may still
-    convert it at run time)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """At most ``max_rows`` rows and ``max_bytes`` bytes of column data, counted
+    over at most ``max_rows + 1`` rows."""
+    wide = [f"octet_length(`{f.name}`)" for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    nested = [f"octet_length(to_json(struct(`{f.name}`)))" for f in df.schema.fields
+              if f.dataType.typeName() in ("array", "map", "struct")]
+    fixed = 8 * (len(df.columns) - len(wide) - len(nested))
+    size = " + ".join([str(fixed), *(f"coalesce({x}, 0)" for x in [*wide, *nested])])
+    n, total = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(F.expr(size).cast("bigint"))).first()
+    return n <= max_rows and (total or 0) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after checking its rows and bytes; otherwise
+    return it unchanged (shuffle join, AQE may still convert it at run time)."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def salt_buckets(spark) -> int:
