@@ -173,12 +173,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = N_GRAM, block_bytes: in
 def _merge(df: DataFrame) -> DataFrame:
     """Runs sorted, overlapping and touching ones joined, and hit words counted."""
     def step(acc, x):
-        end = F.coalesce(F.element_at(acc, -1)["end"], F.lit(-1).cast("bigint"))
+        end = F.coalesce(F.try_element_at(acc, F.lit(-1))["end"], F.lit(-1).cast("bigint"))
         return F.when(x["first"] > end, F.concat(acc, F.array(x))).otherwise(
             F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                F.element_at(acc, -1)["first"].alias("first"), F.greatest(end, x["end"]).alias("end"),
-                F.element_at(acc, -1)["byte_start"].alias("byte_start"),
-                F.greatest(F.element_at(acc, -1)["byte_end"], x["byte_end"]).alias("byte_end")))))
+                F.try_element_at(acc, F.lit(-1))["first"].alias("first"), F.greatest(end, x["end"]).alias("end"),
+                F.try_element_at(acc, F.lit(-1))["byte_start"].alias("byte_start"),
+                F.greatest(F.try_element_at(acc, F.lit(-1))["byte_end"], x["byte_end"]).alias("byte_end")))))
 
     empty = F.expr("cast(array() as array<struct<first:bigint,end:bigint,byte_start:bigint,byte_end:bigint>>)")
     # one pass already gives disjoint sorted runs; several may overlap

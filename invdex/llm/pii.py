@@ -146,6 +146,9 @@ def occurrences(base: DataFrame) -> DataFrame:
     c = base.filter(F.size("cands") > 0).select("_id", "_h", *KINDS, F.explode("cands").alias("x"))
     left = F.char_length("m") - F.char_length(F.ltrim(F.col("m"), F.lit(_TRIM)))
     core = F.trim(F.col("m"), F.lit(_TRIM))
+    # "(555) 1234": the bracket that a trimmed one closes belongs to the value
+    opened = F.contains(core, F.lit(")")) & ~F.contains(core, F.lit("(")) & (F.substring(F.col("m"), left, F.lit(1)) == "(")
+    left, core = left - opened.cast("int"), F.when(opened, F.concat(F.lit("("), core)).otherwise(core)
     label = F.regexp_extract("core", r"^([A-Za-z][A-Za-z_-]{0,30})[=:](?=.)", 0)
     c = (c.select("_id", "_h", *KINDS, F.col("x.s").alias("s0"), F.col("x.m").alias("m"), F.col("x.c").alias("c"))
          .withColumn("core", core).withColumn("at", F.col("s0") + left).withColumn("label", label)
