@@ -70,14 +70,15 @@ def main() -> None:
     enc = IO.read_compressed(spark, root)
     timed("vb_decode_all", lambda: _run(C.decode_vb(enc)))
     timed("gamma_decode_all", lambda: _run(C.decode_gamma(enc)))
+    ids = X.with_doc_ids(corpus, stored.doc_dict)
+    timed("block_postings", lambda: _run(X.block_postings(ids, stored.word_dict)))
+    lists = X.segment_lists(stored.postings)
+    timed("merge_blocks", lambda: _run(X.merge_blocks(lists.where("seg % 2 = 0"), lists.where("seg % 2 = 1"))))
     timed("index_size", lambda: C.index_size(stored.postings, enc).collect())
 
     def search(queries):
         def go():
-            cached: list = []
-            _run(S.search(stored.postings, stored.word_dict, stored.doc_dict, queries, seek=True, cached=cached))
-            for df in cached:
-                df.unpersist()
+            _run(S.search(stored.postings, stored.word_dict, stored.doc_dict, queries, seek=True))
         return go
 
     timed("search_dev", search(W.dev_queries(spark)))

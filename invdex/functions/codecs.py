@@ -1,9 +1,9 @@
 """Gap coding of posting lists: variable-byte (VB) and Elias gamma.
 
-Encoders are built-in higher-order SQL functions over one segment's array
-of doc ids (at most SEGMENT ids), so they run inside code generation.
-Decoders are Arrow-batched pandas UDFs that decode a whole batch of
-segments with vectorised numpy (VB) or a tight per-segment loop (gamma).
+Encoders and decoders are Arrow-batched pandas UDFs that code a whole batch
+of segments (at most SEGMENT ids each) with vectorised numpy. The expression
+forms (``vb_hex``, ``gamma_bits``, ...) do the same with SQL functions, which
+Spark interprets; the tests hold the two against each other.
 
 Format facts (must equal the reference's bytes):
 
@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
 
 
 def _c(x) -> Column:
@@ -117,6 +117,95 @@ def bits_to_hex(bits, pad) -> Column:
     return F.when(nbits == 0, F.lit("")).otherwise(F.array_join(F.transform(idx, chunk), ""))
 
 
+# ---------------------------------------------------------------- batch encoders
+
+def _flat(lists: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a batch of lists, and the numbers per list."""
+    counts = np.fromiter((len(x) for x in lists), np.int64, len(lists))
+    flat = np.concatenate([np.asarray(x, np.int64) for x in lists]) if counts.sum() else np.zeros(0, np.int64)
+    return flat, counts
+
+
+def _batch_gaps(ids: np.ndarray, counts: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """First differences inside each list; the first id against its base."""
+    gaps = np.diff(ids, prepend=0)
+    full = counts > 0
+    first = (np.cumsum(counts) - counts)[full]
+    gaps[first] = ids[first] - base[full]
+    return gaps
+
+
+def _cut(data: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    raw, ends = data.astype(np.uint8).tobytes(), np.cumsum(sizes)
+    return [raw[e - n:e] for e, n in zip(ends.tolist(), sizes.tolist())]
+
+
+def _per_list(x: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of ``x`` over each list."""
+    run = np.concatenate(([0], np.cumsum(x)))
+    ends = np.cumsum(counts)
+    return run[ends] - run[ends - counts]
+
+
+def _log2(g: np.ndarray) -> np.ndarray:
+    """floor(log2(g)) for g >= 1, exact for every bigint."""
+    b = np.minimum(np.frexp(g.astype(np.float64))[1].astype(np.int64) - 1, 62)
+    return b - ((np.int64(1) << b) > g)
+
+
+def _within(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For parts of the given sizes: owner and position of every element."""
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    return own, np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def vb_encode_batch(gaps: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    if (gaps < 0).any():
+        raise ValueError("VB codes numbers from 0 up")
+    digits = _log2(np.maximum(gaps, 1)) // 7 + 1
+    own, pos = _within(digits)
+    place = digits[own] - 1 - pos
+    data = ((gaps[own] >> (7 * place)) & 127) + 128 * (place == 0)
+    return _cut(data, _per_list(digits, counts))
+
+
+def gamma_encode_batch(gaps: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """(bytes, pad) of each list; every list starts on a byte, pad in front."""
+    if (gaps < 1).any():
+        raise ValueError("gamma codes numbers from 1 up")
+    b = _log2(np.maximum(gaps, 1))
+    bits = _per_list(2 * b + 1, counts)
+    pad = -bits % 8
+    own, pos = _within(2 * b + 1)
+    low = 2 * b[own] - pos  # place of an offset bit
+    value = np.where(pos < b[own], 1, np.where(pos == b[own], 0, (gaps[own] >> np.maximum(low, 0)) & 1))
+    of_list = np.repeat(np.repeat(np.arange(len(counts)), counts), 2 * b + 1)
+    out = np.zeros(int((bits + pad).sum()), np.uint8)
+    out[np.arange(len(value)) + np.cumsum(pad)[of_list]] = value
+    return _cut(np.packbits(out), (bits + pad) // 8), pad
+
+
+@F.pandas_udf(StructType().add("vb", BinaryType()).add("gamma", BinaryType()).add("gamma_pad", IntegerType()))
+def encode_ids(dids: pd.Series, base: pd.Series) -> pd.DataFrame:
+    """C1 + C3 + C5: both codes of each segment's ids."""
+    ids, counts = _flat(dids)
+    gaps = _batch_gaps(ids, counts, base.to_numpy(np.int64))
+    gamma, pad = gamma_encode_batch(gaps, counts)
+    return pd.DataFrame({"vb": vb_encode_batch(gaps, counts), "gamma": gamma, "gamma_pad": pad.astype(np.int32)})
+
+
+@F.pandas_udf(BinaryType())
+def vb_encode_gaps(gaps: pd.Series) -> pd.Series:
+    """C3 of each gap list."""
+    return pd.Series(vb_encode_batch(*_flat(gaps)), dtype=object)
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def ungap_ids(gaps: pd.Series, base: pd.Series) -> pd.Series:
+    """Running sums plus base, in linear time."""
+    return pd.Series([np.cumsum(np.asarray(g, np.int64)) + b for g, b in zip(gaps, base)], dtype=object)
+
+
 # ---------------------------------------------------------------- C4 / C6 decoders
 
 @F.pandas_udf(ArrayType(LongType()))

@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.codecs import (bits_to_hex, gamma_bits, gamma_decode_ids, gamma_pad, gaps_array,
-                                vb_decode_ids, vb_hex)
+from ..functions.codecs import encode_ids, gamma_decode_ids, gaps_array, vb_decode_ids
 from .index import SEGMENT, seg_of, segment_lists
 
 FANOUT = 1024
@@ -63,16 +62,8 @@ def gap_segments(segs: DataFrame) -> DataFrame:
 def encode(segs: DataFrame) -> DataFrame:
     """C3 + C5: the compressed index, one row per (term_id, seg):
     n, base, vb (binary), gamma (binary), gamma_pad."""
-    g = gap_segments(segs)
-    bits = gamma_bits("gaps")
-    return (
-        g.select("term_id", "seg", "base", F.size("dids").cast("bigint").alias("n"),
-                 vb_hex("gaps").alias("_vbh"), bits.alias("_bits"))
-        .withColumn("gamma_pad", gamma_pad("_bits").cast("int"))
-        .withColumn("vb", F.unhex("_vbh"))
-        .withColumn("gamma", F.unhex(bits_to_hex("_bits", "gamma_pad")))
-        .drop("_vbh", "_bits")
-    )
+    coded = segs.withColumn("_c", encode_ids("dids", "base"))
+    return coded.select("term_id", "seg", "base", F.size("dids").cast("bigint").alias("n"), "_c.vb", "_c.gamma", "_c.gamma_pad")
 
 
 def decode_vb(enc: DataFrame) -> DataFrame:
@@ -108,3 +99,12 @@ def index_size(post: DataFrame, enc: DataFrame) -> DataFrame:
         F.sum("_vb").cast("bigint").alias("vb_bytes"),
         F.sum(F.expr("(_bits + 7) div 8")).cast("bigint").alias("gamma_bytes"),
     )
+
+
+def term_stats(enc: DataFrame) -> DataFrame:
+    """Per term df, VB bytes, and bytes and front pad of the whole list's
+    gamma code (partial sums over its segments)."""
+    per = enc.groupBy("term_id").agg(F.sum("n").alias("df"), F.sum(F.length("vb")).alias("vb_bytes"),
+                                     F.sum(F.length("gamma") * 8 - F.col("gamma_pad")).alias("_bits"))
+    return per.select("term_id", "df", "vb_bytes", F.expr("(_bits + 7) div 8").alias("gamma_bytes"),
+                      F.expr("(8 - _bits % 8) % 8").alias("gamma_pad"))

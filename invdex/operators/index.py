@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import distinct_tokens, doc_name, tokens
 from .ids import dense_ids
-from .skew import BROADCAST_MAX_ROWS, salted_join
+from .skew import is_small, salted_join
 
 # Fixed layout parameter: doc-id segment width for list-shaped tables
 # (block lists, merged lists, codecs). seg = (did - 1) div SEGMENT.
@@ -43,6 +43,15 @@ def doc_dict(corpus: DataFrame) -> DataFrame:
     )
 
 
+def check_keys(docs: DataFrame) -> None:
+    """Documents must have unique, non-null (block, file) keys; a clear error
+    instead of lost or doubled postings."""
+    bad = (docs.groupBy("block", "file").agg(F.count(F.lit(1)).alias("n"))
+           .where("n > 1 OR block IS NULL OR file IS NULL").limit(1).collect())
+    if bad:
+        raise ValueError(f"document key is null or not unique: block={bad[0]['block']!r}, file={bad[0]['file']!r}")
+
+
 def with_doc_ids(corpus: DataFrame, docs: DataFrame) -> DataFrame:
     """Attach ``did`` to the documents (one shuffle of the text on the
     unique key (block, file); no key is hot)."""
@@ -80,11 +89,11 @@ def word_dict(terms: DataFrame) -> DataFrame:
 def attach_term_ids(rows: DataFrame, words: DataFrame, spread_col: str = "did") -> DataFrame:
     """A1: replace ``token`` by ``term_id``.
 
-    A dictionary of at most BROADCAST_MAX_ROWS rows (checked) is broadcast,
+    A dictionary whose rows and bytes pass the check is broadcast,
     so the postings are not shuffled at all; a larger one is joined by a
     shuffle join whose heaviest tokens are salted."""
     w = words.select("token", "term_id", "df")
-    if w.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+    if is_small(w):
         return rows.join(F.broadcast(w.drop("df")), "token")
     return salted_join(rows, w, "token", "df", spread_col).drop("df")
 
@@ -157,6 +166,7 @@ class InvertedIndex:
 def build_index(corpus: DataFrame) -> InvertedIndex:
     """A5: the full build in one pass of shuffles (no merge queue)."""
     docs = doc_dict(corpus)
+    check_keys(docs)
     with_ids = with_doc_ids(corpus, docs)
     # Used twice (word statistics, then postings): keep it instead of
     # re-reading and re-shuffling the text. Lost blocks are recomputed

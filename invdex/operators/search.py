@@ -28,14 +28,16 @@ is stored sorted by term and the term set is small).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import NO_RESULTS, query_terms
+from ..session import stored
 from .ids import global_rank_in_group
-from .skew import BROADCAST_MAX_ROWS, broadcast_if_small
+from .skew import broadcast_if_small, is_small, salted_join
 
 # Largest distinct term set that is turned into literal IN filters. Larger
 # batches use a broadcast semi-join instead (Parquet would turn a long IN
@@ -43,27 +45,20 @@ from .skew import BROADCAST_MAX_ROWS, broadcast_if_small
 MAX_SEEK_TERMS = 1_000
 
 
-def _sql_string(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def in_list(col: str, values: list) -> "F.Column":
+    """``col IN (v1, v2, ...)`` from literal values (never from SQL text, in
+    which Spark would substitute ``${...}``)."""
+    return F.col(col).isin(*values) if values else F.lit(False)
 
 
-def in_list(col: str, values: list) -> "F.Column":
-    """``col IN (v1, v2, ...)`` built as one SQL expression (one call into
-    the JVM instead of one per value)."""
-    if not values:
-        return F.lit(False)
-    if isinstance(values[0], str):
-        items = ", ".join(_sql_string(v) for v in values)
-    else:
-        items = ", ".join(str(int(v)) for v in values)
-    return F.expr(f"`{col}` IN ({items})")
 # Largest single-query result that is ranked by a window inside one task.
 RANK_WINDOW_MAX = 5_000_000
 
 
 def parse_queries(queries: DataFrame) -> DataFrame:
-    """P3 + P4: (query_id, token), each term once; blank queries vanish."""
-    return queries.select("query_id", F.explode(query_terms("query_text")).alias("token"))
+    """P3 + P4: (query_id, token), each term once; blank queries vanish. Rows
+    with the same query_id are one query (AND of all their terms)."""
+    return queries.select("query_id", F.explode(query_terms("query_text")).alias("token")).distinct()
 
 
 def term_lookup(qterms: DataFrame, words: DataFrame, seek: bool = False) -> DataFrame:
@@ -78,7 +73,13 @@ def term_lookup(qterms: DataFrame, words: DataFrame, seek: bool = False) -> Data
         if len(toks) <= MAX_SEEK_TERMS:
             w = w.where(in_list("token", toks))
     matched = w.join(qterms.select("token").distinct(), "token", "left_semi")
-    return qterms.join(matched, "token", "left").select("query_id", "token", "term_id", "df")
+    # a common token occurs in most queries: broadcast the matches (at most as
+    # many as the batch's terms), or salt
+    if is_small(qterms):
+        found = qterms.join(F.broadcast(matched), "token", "left")
+    else:
+        found = salted_join(qterms, matched, "token", "df", "query_id", how="left")
+    return found.select("query_id", "token", "term_id", "df")
 
 
 def unseen_terms(lookup: DataFrame) -> DataFrame:
@@ -94,16 +95,17 @@ def rarest_first(lookup: DataFrame) -> DataFrame:
 
 
 def answerable(lookup: DataFrame) -> DataFrame:
-    """(query_id, n_terms, rare_term) for queries whose terms are all known."""
+    """(query_id, n_terms, rare_term, rare_df) for queries whose terms are all known."""
     return (
         lookup.groupBy("query_id")
         .agg(
             F.count(F.lit(1)).alias("n_terms"),
             F.count("term_id").alias("n_known"),
             F.min_by("term_id", F.struct("df", "term_id")).alias("rare_term"),
+            F.min("df").alias("rare_df"),
         )
         .where(F.col("n_terms") == F.col("n_known"))
-        .select("query_id", F.col("n_terms").cast("bigint").alias("n_terms"), "rare_term")
+        .select("query_id", F.col("n_terms").cast("bigint").alias("n_terms"), "rare_term", "rare_df")
     )
 
 
@@ -121,35 +123,47 @@ def lookup_is_small(lookup: DataFrame) -> bool:
     """One size check for the whole batch: every small side of the search
     (answerable queries, needed terms, term ids) has at most as many rows as
     the lookup table."""
-    return lookup.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+    return is_small(lookup)
+
 
+def conjunctive_hits(post: DataFrame, lookup: DataFrame, seek: bool = False, small: bool | None = None,
+                     decode: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Q3 + Q5: (query_id, did) for every doc that holds all query terms.
 
-def conjunctive_hits(post: DataFrame, lookup: DataFrame, seek: bool = False, small: bool | None = None) -> DataFrame:
-    """Q3 + Q5: (query_id, did) for every doc that holds all query terms."""
+    ``post`` is a long-form index, or a compressed one with its ``decode``:
+    then the lists of the batch's terms are picked first and only they are
+    decoded. The rarest term gives the candidates and is not checked again;
+    one-term queries are answered by their candidates alone. Beyond broadcast
+    size the joins on ``term_id`` and ``query_id`` are salted."""
     if small is None:
         small = lookup_is_small(lookup)
-
-    def b(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
-
-    ok = b(answerable(lookup))
+    ok = answerable(lookup)
     bp = _batch_postings(post, lookup, seek, small)
-    cands = (
-        ok.select("query_id", F.col("rare_term").alias("term_id"))
-        .join(bp, "term_id")
-        .select("query_id", "did")
+    if decode is not None:
+        bp = decode(bp)
+    first = ok.select("query_id", "n_terms", "rare_df", F.col("rare_term").alias("term_id"))
+    needed = (
+        lookup.join(ok.select("query_id", "rare_term", "rare_df"), "query_id")
+        .where(F.col("term_id") != F.col("rare_term")).select("query_id", "term_id", "rare_df")
     )
-    needed = lookup.join(ok.select("query_id"), "query_id").select("query_id", "term_id")
-    checks = cands.join(b(needed), "query_id")
+    if small:
+        cands = bp.join(F.broadcast(first), "term_id")
+    else:
+        cands = salted_join(bp, first, "term_id", "rare_df", "did")
+    cands = cands.select("query_id", "did", "n_terms")
+    several = cands.where("n_terms > 1")
+    if small:
+        checks = several.join(F.broadcast(needed.drop("rare_df")), "query_id")
+    else:
+        checks = salted_join(several, needed, "query_id", "rare_df", "did").drop("rare_df")
     # Inner join on the unique key (term_id, did) = semi-join, but either side
     # may be the build side, so AQE can broadcast the (usually small)
     # candidate checks instead of shuffling the batch postings.
     present = checks.join(bp, ["term_id", "did"])
-    counted = present.groupBy("query_id", "did").agg(F.count(F.lit(1)).alias("_n"))
+    counted = present.groupBy("query_id", "did", "n_terms").agg(F.count(F.lit(1)).alias("_n"))
     return (
-        counted.join(ok.select("query_id", "n_terms"), "query_id")
-        .where(F.col("_n") == F.col("n_terms"))
-        .select("query_id", "did")
+        counted.where(F.col("_n") == F.col("n_terms") - 1).select("query_id", "did")
+        .unionByName(cands.where("n_terms = 1").select("query_id", "did"))
     )
 
 
@@ -208,21 +222,16 @@ def sort_results(results: DataFrame, max_group: int | None = None) -> DataFrame:
     return global_rank_in_group(results, "query_id", ["doc_name"], "rank").select("query_id", "rank", "doc_name")
 
 
-def search(post: DataFrame, words: DataFrame, docs: DataFrame, queries: DataFrame,
-           seek: bool = False, cached: list | None = None) -> DataFrame:
+def search(post: DataFrame, words: DataFrame, docs: DataFrame, queries: DataFrame, seek: bool = False,
+           decode: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Q5 end to end: (query_id, rank, doc_name).
 
-    Two small tables are materialised (the batch's term lookup and the named
-    results) so that the size checks do not recompute the work. A caller that
-    answers many batches (a stream) passes ``cached`` and unpersists its
-    entries once the result is written."""
-    qterms = parse_queries(queries)
-    lookup = term_lookup(qterms, words, seek=seek).persist(StorageLevel.MEMORY_AND_DISK)
-    small = lookup_is_small(lookup)
-    hits = conjunctive_hits(post, lookup, seek=seek, small=small)
-    named = name_results(hits, docs, lookup).persist(StorageLevel.MEMORY_AND_DISK)
-    if cached is not None:
-        cached.extend([lookup, named])
+    Two small tables (the batch's term lookup and the named results) are
+    written to the shared folder, so that the size checks do not recompute the
+    work and nothing stays cached. ``decode``: see ``conjunctive_hits``."""
+    lookup = stored(term_lookup(parse_queries(queries), words, seek=seek), "lookup")
+    hits = conjunctive_hits(post, lookup, seek=seek, small=lookup_is_small(lookup), decode=decode)
+    named = stored(name_results(hits, docs, lookup), "named")
     return sort_results(named, largest_group(named))
 
 

@@ -45,18 +45,18 @@ def salt_buckets(spark) -> int:
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, weight_col: str, spread_col: str,
-                hot_keys: int = HOT_KEYS, buckets: int | None = None) -> DataFrame:
-    """Inner equi-join ``big`` with ``small`` (unique ``key``) on ``key``.
+                hot_keys: int = HOT_KEYS, buckets: int | None = None, how: str = "inner") -> DataFrame:
+    """Equi-join ``big`` with ``small`` on ``key`` (``how``: inner or left).
 
     The ``hot_keys`` keys with the largest ``weight_col`` in ``small`` are
     salted: their rows in ``big`` are spread over ``buckets`` salts by a hash
-    of ``spread_col``, and their single row in ``small`` is replicated once
-    per salt. The hot set is a top-k, so its broadcast size is bounded by
+    of ``spread_col``, and their rows in ``small`` are replicated once per
+    salt. The hot set is a top-k, so its broadcast size is bounded by
     ``hot_keys`` rows. Every other key has weight <= total / hot_keys.
     """
     buckets = buckets or salt_buckets(big.sparkSession)
     hot = (
-        small.orderBy(F.desc(weight_col), F.asc(key)).limit(hot_keys)
+        small.groupBy(key).agg(F.max(weight_col).alias("_sj_w")).orderBy(F.desc("_sj_w"), F.asc(key)).limit(hot_keys)
         .select(key, F.lit(True).alias("_sj_hot"))
     )
     hot_b = F.broadcast(hot)
@@ -71,4 +71,4 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, weight_col: str, spr
             .otherwise(F.array(F.lit(0).cast("bigint")))
         ),
     ).drop("_sj_hot")
-    return big_s.join(small_s, [key, "_sj_salt"]).drop("_sj_salt")
+    return big_s.join(small_s, [key, "_sj_salt"], how).drop("_sj_salt")

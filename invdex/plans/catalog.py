@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codecs import ungap_array, vb_hex
+from ..functions.codecs import ungap_ids, vb_encode_gaps
 from ..operators import compress as C
 from ..operators import index as X
 from ..operators import search as S
 from ..operators.skew import broadcast_if_small
-from ..session import app_id, scratch_path
+from ..session import app_id, scratch_path, stored
 from ..sources import index_store as IO
-from ..sources.corpus import documents_corpus, file_count
+from ..sources.corpus import documents_corpus, file_count, read_directory, write_directory
 from ..streaming import index_stream as IS
 from ..streaming import search_stream as SS
 from . import workloads as W
@@ -112,7 +112,7 @@ def q_merge_blocks(spark, sf_dir):
     the doc ids, merged with those of the other blocks; equal to the full
     build's lists."""
     ix = index_for(spark, sf_dir)
-    bl = X.block_postings(ix.corpus, ix.word_dict)
+    bl = stored(X.block_postings(ix.corpus, ix.word_dict), "block-lists")
     half = ix.doc_dict.count() // 2
     starts = ix.doc_dict.groupBy("block").agg(F.min("did").alias("_first"))
     tagged = bl.join(broadcast_if_small(starts), "block")
@@ -138,13 +138,13 @@ def q_gaps(spark, sf_dir):
 def q_ungap(spark, sf_dir):
     """Gaps back to doc ids."""
     g = C.gap_segments(segments_for(spark, sf_dir))
-    return g.select("term_id", F.explode(ungap_array("gaps", "base")).alias("did"))
+    return g.select("term_id", F.explode(ungap_ids("gaps", "base")).alias("did"))
 
 
 def q_vb_encode(spark, sf_dir):
     """VB bytes per segment, lower-case hex."""
     g = C.gap_segments(segments_for(spark, sf_dir))
-    return g.select("term_id", "seg", vb_hex("gaps").alias("vb_hex"))
+    return g.select("term_id", "seg", F.lower(F.hex(vb_encode_gaps("gaps"))).alias("vb_hex"))
 
 
 def q_vb_decode(spark, sf_dir):
@@ -168,7 +168,7 @@ def q_gamma_decode(spark, sf_dir):
 
 def _lookup(spark, sf_dir, queries: DataFrame) -> DataFrame:
     ix = index_for(spark, sf_dir)
-    return S.term_lookup(S.parse_queries(queries), ix.word_dict)
+    return stored(S.term_lookup(S.parse_queries(queries), ix.word_dict), "lookup")
 
 
 def q_parse_queries(spark, sf_dir):
@@ -178,7 +178,7 @@ def q_parse_queries(spark, sf_dir):
 
 def q_term_lookup(spark, sf_dir):
     """Q1: term id and df of every query term (NULL when unseen)."""
-    return _lookup(spark, sf_dir, W.benchmark_queries(spark, sf_dir).unionByName(W.dev_queries(spark, W.DEV_ID_OFFSET)))
+    return _lookup(spark, sf_dir, W.benchmark_queries(spark, sf_dir).unionByName(W.dev_queries(spark, -1)))
 
 
 def q_unseen_terms(spark, sf_dir):
@@ -274,6 +274,36 @@ def q_stored_gamma_decode(spark, sf_dir):
     return C.decode_gamma(IO.read_compressed(spark, stored_index_for(spark, sf_dir)))
 
 
+def _search_compressed(spark, sf_dir, queries, decode):
+    root = stored_index_for(spark, sf_dir)
+    ix = IO.read_index(spark, root)
+    return S.search(IO.read_compressed(spark, root), ix.word_dict, ix.doc_dict, queries, seek=True, decode=decode)
+
+
+def q_search_vb(spark, sf_dir):
+    """Q1-Q8 over the stored VB lists: only the dev queries' lists are read
+    and decoded."""
+    return _search_compressed(spark, sf_dir, W.dev_queries(spark), C.decode_vb)
+
+
+def q_search_gamma(spark, sf_dir):
+    """Q1-Q8 over the stored gamma lists, for every benchmark passage."""
+    return _search_compressed(spark, sf_dir, W.benchmark_queries(spark, sf_dir), C.decode_gamma)
+
+
+def q_term_stats(spark, sf_dir):
+    """Df, VB bytes, gamma bytes and gamma pad of every term's list."""
+    return C.term_stats(C.encode(segments_for(spark, sf_dir)))
+
+
+def q_directory_scan(spark, sf_dir):
+    """The documents written as a two-level directory and read back."""
+    root = scratch_path(spark, "tree")
+    write_directory(documents_corpus(spark, sf_dir), root)
+    c = read_directory(spark, root, encoding="UTF-8")
+    return c.select("block", "file", F.octet_length("text").cast("bigint").alias("n_bytes"), F.md5(F.encode("text", "UTF-8")).alias("md5"))
+
+
 def q_query_file_search(spark, sf_dir):
     """S8 + S9: benchmark passages written as a query file (one query per
     line), read back with line numbers as ids, answered, results written and
@@ -308,11 +338,13 @@ def stream_index_for(spark: SparkSession, sf_dir: str) -> dict:
     tables = _CACHE.get(key)
     if tables is None:
         root = scratch_path(spark, "stream-index")
-        # four ordered key ranges -> four micro-batches
-        IS.stage_corpus(documents_corpus(spark, sf_dir), f"{root}/in", 4)
-        q = IS.start_index_stream(spark, f"{root}/in", f"{root}/state", f"{root}/ckpt", files_per_trigger=1)
+        # ordered key ranges, one file per shuffle partition; about four
+        # micro-batches (ids do not depend on their number)
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        IS.stage_corpus(documents_corpus(spark, sf_dir), f"{root}/in", n)
+        q = IS.start_index_stream(spark, f"{root}/in", f"{root}/state", f"{root}/ckpt", files_per_trigger=max(1, n // 4))
         q.awaitTermination()
-        tables = IS.read_stream_index(spark, f"{root}/state")
+        tables = {**IS.read_stream_index(spark, f"{root}/state"), "root": root}
         _CACHE[key] = tables
     return tables
 
@@ -328,6 +360,14 @@ def q_stream_index_words(spark, sf_dir):
     return stream_index_for(spark, sf_dir)["word_dict"].select("term_id", "token")
 
 
+def q_stream_index_search(spark, sf_dir):
+    """T2 + A4: the grown epochs are merged into the stored layout, which then
+    answers the dev queries."""
+    t = stream_index_for(spark, sf_dir)
+    ix = IS.compact(spark, f"{t['root']}/state", scratch_path(spark, "compacted"))
+    return S.search(ix.postings, ix.word_dict, ix.doc_dict, W.dev_queries(spark), seek=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_scan": q_corpus_scan,
     "file_count": q_file_count,
@@ -365,4 +405,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_search": q_stream_search,
     "stream_index": q_stream_index,
     "stream_index_words": q_stream_index_words,
+    "stream_index_search": q_stream_index_search,
+    "search_vb": q_search_vb,
+    "search_gamma": q_search_gamma,
+    "term_stats": q_term_stats,
+    "directory_scan": q_directory_scan,
 }

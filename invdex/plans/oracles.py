@@ -6,21 +6,19 @@ aggregation) and share nothing with the Spark plans but the semantics."""
 
 from __future__ import annotations
 
-from .workloads import BENCHMARK_QUERIES_SQL, CONVERSATION_QUERIES_SQL, DEV_ID_OFFSET, dev_queries_sql
+from .workloads import BENCHMARK_QUERIES_SQL, CONVERSATION_QUERIES_SQL, dev_queries_sql
 
 WS = r"'[ \t\n\x0B\f\r]+'"
 SEG = 64
 
 DOCS = """docs AS (
-  SELECT row_number() OVER (ORDER BY source, CAST(doc_id AS VARCHAR)) AS did,
-         source AS block, CAST(doc_id AS VARCHAR) AS file,
-         source || '/' || CAST(doc_id AS VARCHAR) AS doc_name, text
-  FROM documents)"""
+  SELECT row_number() OVER (ORDER BY block, file) AS did, block, file, block || '/' || file AS doc_name, text
+  FROM (SELECT coalesce(source, '') AS block, CAST(doc_id AS VARCHAR) AS file, coalesce(text, '') AS text FROM documents))"""
 
 TOKS = f"""raw AS (
   SELECT did, block, unnest(a) AS token, generate_subscripts(a, 1) AS rp
   FROM (SELECT did, block, regexp_split_to_array(text, {WS}) AS a FROM docs)),
-toks AS (
+toks AS MATERIALIZED (
   SELECT did, block, token, row_number() OVER (PARTITION BY did ORDER BY rp) - 1 AS pos
   FROM raw WHERE token <> '')"""
 
@@ -130,7 +128,7 @@ ORACLES: dict[str, str] = {
     "gamma_decode": _index() + "SELECT term_id, did FROM post",
     "parse_queries": _with(DOCS, TOKS, WORDS, *_qterms(CONVERSATION_QUERIES_SQL)) + "SELECT query_id, token FROM qt",
     "term_lookup": _with(DOCS, TOKS, WORDS, *_qterms(f"(SELECT * FROM {BENCHMARK_QUERIES_SQL} UNION ALL "
-                                                     f"SELECT * FROM {dev_queries_sql(DEV_ID_OFFSET)})"))
+                                                     f"SELECT * FROM {dev_queries_sql(-1)})"))
     + "SELECT query_id, token, term_id, df FROM lk",
     "unseen_terms": _with(DOCS, TOKS, WORDS, *_qterms(CONVERSATION_QUERIES_SQL))
     + "SELECT query_id, token FROM lk WHERE term_id IS NULL",
@@ -158,5 +156,14 @@ ORACLES: dict[str, str] = {
     "query_file_search": _search(QUERY_FILE_SQL),
     "stream_search": _search(BENCHMARK_QUERIES_SQL),
     "stream_index": _index() + "SELECT term_id, did FROM post",
+    "search_vb": _search(dev_queries_sql()),
+    "search_gamma": _search(BENCHMARK_QUERIES_SQL),
+    "stream_index_search": _search(dev_queries_sql()),
+    "directory_scan": "SELECT coalesce(source, '') AS block, CAST(doc_id AS VARCHAR) AS file, "
+                      "CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes, md5(coalesce(text, '')) AS md5 FROM documents",
+    "term_stats": _index(GAPS, f"pt AS (SELECT term_id, count(*) AS df, sum(length({VBHEX})) // 2 AS vb, "
+                               f"sum(length({GAMMA})) AS bits FROM gp GROUP BY 1)")
+    + """SELECT term_id, df, CAST(vb AS BIGINT) AS vb_bytes, CAST((bits + 7) // 8 AS BIGINT) AS gamma_bytes,
+  CAST((8 - bits % 8) % 8 AS BIGINT) AS gamma_pad FROM pt""",
     "stream_index_words": _with(DOCS, TOKS, WORDS) + "SELECT term_id, token FROM words",
 }

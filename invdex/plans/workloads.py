@@ -5,7 +5,7 @@ All batches run against the index of the whole ``documents`` table:
 * ``benchmark``: every passage of the ``benchmark`` table is one AND query
   (passages are copied into documents, so hits exist);
 * ``conversations``: every conversation turn is one query
-  (query_id = conv_id * 100 + turn);
+  (query_id = position in (conv_id, turn) order, from 1);
 * ``dev``: fixed short queries and the edge cases (repeated term, unseen
   term, blank).
 """
@@ -15,11 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ids import dense_ids
 from ..sources.corpus import read_table
 
-# Offset that keeps dev query ids apart from benchmark ids in one batch.
-DEV_ID_OFFSET = 1_000_000
-
 # Short dev-style queries (repeated term at 7 = 5 twice), then
 # edge cases (unseen term, blank, punctuation token, repeated terms).
 DEV_QUERIES = [
@@ -43,13 +41,14 @@ DEV_QUERIES = [
 ]
 
 
-def dev_queries(spark: SparkSession, id_offset: int = 0) -> DataFrame:
-    rows = [(i + id_offset, t) for i, t in DEV_QUERIES]
+def dev_queries(spark: SparkSession, sign: int = 1) -> DataFrame:
+    """``sign=-1``: negative ids, which no other batch has."""
+    rows = [(i * sign, t) for i, t in DEV_QUERIES]
     return spark.createDataFrame(rows, "query_id bigint, query_text string")
 
 
-def dev_queries_sql(id_offset: int = 0) -> str:
-    rows = ", ".join(f"({i + id_offset}, '{t}')" for i, t in DEV_QUERIES)
+def dev_queries_sql(sign: int = 1) -> str:
+    rows = ", ".join(f"({i * sign}, '{t}')" for i, t in DEV_QUERIES)
     return f"(SELECT CAST(query_id AS BIGINT) AS query_id, query_text FROM (VALUES {rows}) AS v(query_id, query_text))"
 
 
@@ -63,11 +62,12 @@ BENCHMARK_QUERIES_SQL = "(SELECT CAST(item_id AS BIGINT) AS query_id, text AS qu
 
 
 def conversation_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 100 + F.col("turn")).cast("bigint").alias("query_id"), F.col("text").alias("query_text")
-    )
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return dense_ids(turns, ["conv_id", "turn", "role", "text"], "query_id", start=1).select(
+        "query_id", F.col("text").alias("query_text"))
 
 
 CONVERSATION_QUERIES_SQL = (
-    "(SELECT CAST(conv_id * 100 + turn AS BIGINT) AS query_id, text AS query_text FROM conversations)"
+    "(SELECT row_number() OVER (ORDER BY conv_id NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)"
+    " AS query_id, text AS query_text FROM conversations)"
 )

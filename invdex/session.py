@@ -8,7 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "invdex", shuffle_partitions: int = 8,
@@ -65,8 +65,8 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets this to a shared file system. Only when it is unset (local
-    tests) is a fresh local folder created and installed."""
+    A cluster must set this to a shared file system. Only on a ``local``
+    master (tests, bench) is a fresh local folder made where it is unset."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -74,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
+    elif not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="invdex-ckpt-", dir=os.environ.get("INVDEX_TMP", "/tmp")))
     return sc.getCheckpointDir()
@@ -92,3 +94,13 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     written tables and streaming sources/sinks/checkpoints."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/invdex-scratch/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back: the
+    rows are computed once, nothing stays cached, and a lost executor costs
+    nothing that was written."""
+    path = scratch_path(df.sparkSession, tag)
+    schema = df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)

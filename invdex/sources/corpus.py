@@ -29,9 +29,9 @@ def documents_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's ``documents`` table as a corpus: one block per source."""
     docs = read_table(spark, sf_dir, "documents")
     return docs.select(
-        F.col("source").alias("block"),
+        F.coalesce("source", F.lit("")).alias("block"),
         F.col("doc_id").cast("string").alias("file"),
-        F.col("text"),
+        F.coalesce("text", F.lit("")).alias("text"),
     )
 
 
@@ -124,13 +124,14 @@ def _read_paths(batches):
 def read_directory(spark: SparkSession, root: str, encoding: str = "ISO-8859-1") -> DataFrame:
     """A two-level directory corpus as ``documents(block, file, text)``.
 
-    Bulk contents come from the ``binaryFile`` source (distributed JVM
-    reads), joined to the manifest on (block, file). Zero-byte files get an
-    empty text; hidden files are read by path in Python tasks.
+    The manifest says how each file is read: names that Spark's sources skip
+    (starting with ``_`` or ``.``) by path in Python tasks, zero-byte files as
+    empty texts, all others straight from the ``binaryFile`` source, so no
+    contents are joined or shuffled.
 
     ``encoding='ISO-8859-1'`` (default) maps every byte to one character, so
-    tokens are exact byte strings even for invalid UTF-8; use the same
-    encoding for queries (``encode_query_text``)."""
+    tokens are exact byte strings even for invalid UTF-8; read queries with
+    the same encoding (``read_query_lines``, ``encode_query_text``)."""
     manifest = list_corpus(spark, root)
     if manifest.isEmpty():
         return spark.createDataFrame([], "block string, file string, text string")
@@ -138,23 +139,30 @@ def read_directory(spark: SparkSession, root: str, encoding: str = "ISO-8859-1")
         raw = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*")
     except AnalysisException:  # every file is hidden or empty
         raw = spark.createDataFrame([], "path string, content binary")
-    bulk = (
-        raw
-        .select(
-            F.element_at(F.split("path", "/"), -2).alias("block"),
-            F.element_at(F.split("path", "/"), -1).alias("file"),
-            "content",
-        )
-    )
-    named = manifest.join(bulk, ["block", "file"], "left")
-    missing = named.where(F.col("content").isNull() & (F.col("size") > 0)).select("block", "file", "dir_uri")
-    hidden = missing.mapInPandas(_read_paths, "block string, file string, content binary")
-    whole = (
-        named.where(F.col("content").isNotNull() | (F.col("size") == 0))
-        .select("block", "file", F.coalesce("content", F.lit(b"")).alias("content"))
-        .unionByName(hidden)
-    )
-    return whole.select("block", "file", F.decode("content", encoding).alias("text"))
+    hidden = F.col("file").rlike("^[_.]")
+    bulk = raw.select(F.element_at(F.split("path", "/"), -2).alias("block"), F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+    bulk = bulk.where(~hidden & (F.length("content") > 0))
+    empty = manifest.where(F.col("size") == 0).select("block", "file", F.lit(b"").alias("content"))
+    skipped = (manifest.where(hidden & (F.col("size") > 0)).select("block", "file", "dir_uri")
+               .mapInPandas(_read_paths, "block string, file string, content binary"))
+    return bulk.unionByName(empty).unionByName(skipped).select("block", "file", F.decode("content", encoding).alias("text"))
+
+
+def write_directory(corpus: DataFrame, root: str) -> None:
+    """A corpus as a two-level directory, one UTF-8 file per document. Tasks
+    write the files; a repeated task writes the same bytes again."""
+    uri = root if "://" in root or root.startswith("file:") else f"file://{root}"
+
+    def write(batches):
+        for pdf in batches:
+            for block, file, text in zip(pdf["block"], pdf["file"], pdf["text"]):
+                fs, path = _filesystem(uri)
+                fs.create_dir(f"{path}/{block}", recursive=True)
+                with fs.open_output_stream(f"{path}/{block}/{file}", compression=None) as out:
+                    out.write(text.encode())
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    corpus.select(*CORPUS_COLUMNS).mapInPandas(write, "n bigint").agg(F.sum("n")).collect()
 
 
 def encode_query_text(queries: DataFrame, encoding: str = "ISO-8859-1") -> DataFrame:

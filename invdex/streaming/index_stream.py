@@ -8,21 +8,31 @@ micro-batches arrive in ascending (block, file) order - as the reference
 processes its blocks - the result equals a batch build of all documents.
 
 State lives in Parquet tables under ``state_dir``, one folder per epoch
-(``epoch=<id>``): doc_dict, word_dict, postings, and a one-row counters
-table with the next doc and term ids. A replayed epoch reads only earlier
-epochs and overwrites its own folders, so replays are harmless.
+(``epoch=<id>``): doc_dict, word_dict, word_df, postings, and a one-row
+counters table with the next doc and term ids. Readers use only epochs that
+have counters (written last). A replayed epoch reads only earlier epochs and
+overwrites its own folders, so replays are harmless. ``stage_corpus`` orders
+its files by modification time, so it needs a store that keeps set times
+(local, HDFS).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ids import dense_ids
-from ..operators.index import attach_term_ids, doc_terms
 from ..functions.text import doc_name
+from ..operators.index import InvertedIndex, attach_term_ids, doc_terms, explode_lists, merge_blocks, segment_lists
+from ..operators.skew import broadcast_if_small
+from ..session import stored
+from ..sources.index_store import read_index, write_index
 
 CORPUS_SCHEMA = "block string, file string, text string"
+DOCS = "did bigint, block string, file string, doc_name string"
+WORDS = "term_id bigint, token string"
+POSTS = "term_id bigint, did bigint"
 
 
 def stage_corpus(corpus: DataFrame, source_dir: str, num_files: int) -> None:
@@ -42,18 +52,27 @@ def stage_corpus(corpus: DataFrame, source_dir: str, num_files: int) -> None:
         fs.setTimes(p, base + i * 1000, -1)
 
 
-def _state(spark: SparkSession, path: str, schema: str, epoch_id: int) -> DataFrame:
-    try:
-        df = spark.read.schema(schema + ", epoch bigint").parquet(path)
-    except Exception:  # nothing written yet
-        return spark.createDataFrame([], schema)
-    return df.where(F.col("epoch") < epoch_id).drop("epoch")
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Is there a folder at ``path``? Any storage error is raised."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _epochs(spark: SparkSession, state_dir: str, name: str, schema: str, before: int | None = None) -> DataFrame:
+    """Rows of the committed epochs (those with counters) of a state table."""
+    if not _exists(spark, f"{state_dir}/{name}") or not _exists(spark, f"{state_dir}/counters"):
+        return spark.createDataFrame([], schema + ", epoch bigint")
+    df = spark.read.schema(schema + ", epoch bigint").parquet(f"{state_dir}/{name}")
+    if name != "counters":
+        done = spark.read.schema("next_did bigint, next_term bigint, epoch bigint").parquet(f"{state_dir}/counters")
+        df = df.join(broadcast_if_small(done.select("epoch").distinct()), "epoch", "left_semi")
+    return df if before is None else df.where(F.col("epoch") < before)
 
 
 def _next_ids(spark: SparkSession, state_dir: str, epoch_id: int) -> tuple[int, int]:
     """Next doc id and next term id, from the one-row-per-epoch counters
     table (never from a scan of the growing dictionaries)."""
-    counters = _state(spark, f"{state_dir}/counters", "next_did bigint, next_term bigint", epoch_id)
+    counters = _epochs(spark, state_dir, "counters", "next_did bigint, next_term bigint", epoch_id)
     row = counters.agg(F.max("next_did"), F.max("next_term")).first()
     return (int(row[0]) if row[0] is not None else 1, int(row[1]) if row[1] is not None else 0)
 
@@ -68,30 +87,32 @@ def start_index_stream(spark: SparkSession, source_dir: str, state_dir: str, che
 
     def grow(batch: DataFrame, epoch_id: int) -> None:
         s = batch.sparkSession
-        old_words = _state(s, f"{state_dir}/word_dict", "term_id bigint, token string", epoch_id)
         next_did, next_term = _next_ids(s, state_dir, epoch_id)
+        old_words = _epochs(s, state_dir, "word_dict", WORDS, epoch_id).drop("epoch")
 
         ids = dense_ids(batch.select("block", "file"), ["block", "file"], "did", start=next_did)
         ids = ids.select("did", "block", "file", doc_name("block", "file").alias("doc_name"))
-        terms = doc_terms(batch.join(ids.select("block", "file", "did"), ["block", "file"]))
+        ids.write.mode("overwrite").parquet(f"{state_dir}/doc_dict/epoch={epoch_id}")
+        ids = s.read.schema(DOCS).parquet(f"{state_dir}/doc_dict/epoch={epoch_id}")
+        # tokenised once per epoch; statistics, ids and postings read the result
+        terms = doc_terms(batch.join(ids.select("block", "file", "did"), ["block", "file"])).persist(StorageLevel.MEMORY_AND_DISK)
         stats = terms.groupBy("token").agg(
             F.min("did").alias("_fdid"), F.min_by("dpos", "did").alias("_fpos"), F.count(F.lit(1)).alias("df")
-        )
-        fresh = stats.join(old_words.select("token"), "token", "left_anti").select("token", "_fdid", "_fpos")
+        ).persist(StorageLevel.MEMORY_AND_DISK)
+        known = stored(old_words.join(stats.select("token"), "token", "left_semi").select("term_id", "token"), "known-words")
+        fresh = stats.join(known, "token", "left_anti").select("token", "_fdid", "_fpos")
         new_words = dense_ids(fresh, ["_fdid", "_fpos"], "term_id", start=next_term).select("term_id", "token")
-        # dictionary rows this batch needs, with the batch's df for salting
-        known = old_words.join(stats.select("token"), "token", "left_semi").unionByName(new_words)
-        words_b = known.join(stats.select("token", "df"), "token")
-        post = attach_term_ids(terms.select("did", "token"), words_b).select("term_id", "did")
-
-        ids.write.mode("overwrite").parquet(f"{state_dir}/doc_dict/epoch={epoch_id}")
         new_words.write.mode("overwrite").parquet(f"{state_dir}/word_dict/epoch={epoch_id}")
+        new_words = s.read.schema(WORDS).parquet(f"{state_dir}/word_dict/epoch={epoch_id}")
+        words_b = known.unionByName(new_words).join(stats.select("token", "df"), "token")
+        words_b.select("term_id", "df").write.mode("overwrite").parquet(f"{state_dir}/word_df/epoch={epoch_id}")
+        post = attach_term_ids(terms.select("did", "token"), words_b).select("term_id", "did")
         post.write.mode("overwrite").parquet(f"{state_dir}/postings/epoch={epoch_id}")
-        # counters last: an epoch without them is replayed from scratch
-        n_docs = s.read.parquet(f"{state_dir}/doc_dict/epoch={epoch_id}").count()
-        n_words = s.read.parquet(f"{state_dir}/word_dict/epoch={epoch_id}").count()
-        s.createDataFrame([(next_did + n_docs, next_term + n_words)], "next_did bigint, next_term bigint") \
+        # counters last: an epoch without them is not read, and is replayed
+        s.createDataFrame([(next_did + ids.count(), next_term + new_words.count())], "next_did bigint, next_term bigint") \
             .write.mode("overwrite").parquet(f"{state_dir}/counters/epoch={epoch_id}")
+        stats.unpersist()
+        terms.unpersist()
 
     w = docs.writeStream.foreachBatch(grow).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -99,8 +120,20 @@ def start_index_stream(spark: SparkSession, source_dir: str, state_dir: str, che
 
 
 def read_stream_index(spark: SparkSession, state_dir: str) -> dict[str, DataFrame]:
+    """The committed epochs as one index; ``df`` is summed over the epochs."""
+    words = _epochs(spark, state_dir, "word_dict", WORDS).drop("epoch")
+    df = _epochs(spark, state_dir, "word_df", "term_id bigint, df bigint").groupBy("term_id").agg(F.sum("df").alias("df"))
     return {
-        "doc_dict": spark.read.parquet(f"{state_dir}/doc_dict").drop("epoch"),
-        "word_dict": spark.read.parquet(f"{state_dir}/word_dict").drop("epoch"),
-        "postings": spark.read.parquet(f"{state_dir}/postings").drop("epoch"),
+        "doc_dict": _epochs(spark, state_dir, "doc_dict", DOCS).drop("epoch"),
+        "word_dict": words.join(df, "term_id"),
+        "postings": _epochs(spark, state_dir, "postings", POSTS).drop("epoch"),
     }
+
+
+def compact(spark: SparkSession, state_dir: str, root: str) -> InvertedIndex:
+    """A4: merge the epochs' lists and write them as a stored index (sorted by
+    term, so that lookups prune again); returns it opened."""
+    t = read_stream_index(spark, state_dir)
+    lists = segment_lists(_epochs(spark, state_dir, "postings", POSTS), extra_keys=("epoch",))
+    write_index(InvertedIndex(t["doc_dict"], t["word_dict"], explode_lists(merge_blocks(lists))), root)
+    return read_index(spark, root)

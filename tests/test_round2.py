@@ -1,0 +1,162 @@
+"""Search, storage and streaming cases beyond the given tables."""
+
+import numpy as np
+import pytest
+
+from invdex.functions import codecs as K
+from invdex.functions.text import NO_RESULTS
+from invdex.operators import compress as C
+from invdex.operators import index as X
+from invdex.operators import search as S
+from invdex.operators import skew
+from invdex.plans import workloads as W
+from invdex.sources import index_store as IO
+from invdex.sources.corpus import read_directory, write_directory
+from invdex.streaming import index_stream as IS
+from pyspark.sql import functions as F
+
+ODD = ["${env:HOME}", "${spark.app.name}", "it's", "back\\slash", "a`b", '"q"', "x"]
+
+
+def build(spark, texts):
+    rows = [("b", f"{i:04d}", t) for i, t in enumerate(texts)]
+    return X.build_index(spark.createDataFrame(rows, "block string, file string, text string"))
+
+
+def ask(spark, ix, queries, **how):
+    q = spark.createDataFrame(queries, "query_id bigint, query_text string")
+    return sorted((r.query_id, r.rank, r.doc_name) for r in S.search(ix.postings, ix.word_dict, ix.doc_dict, q, **how).collect())
+
+
+@pytest.mark.parametrize("seek", [False, True])
+def test_odd_terms(spark, seek):
+    ix = build(spark, [f"{t} x" for t in ODD])
+    got = ask(spark, ix, [(i, t) for i, t in enumerate(ODD)], seek=seek)
+    want = [(i, 1, f"b/{i:04d}") for i in range(len(ODD) - 1)] + [(6, r + 1, f"b/{r:04d}") for r in range(len(ODD))]
+    assert got == sorted(want)
+
+
+def test_rows_with_one_id_are_one_query(spark):
+    ix = build(spark, ["plain x", "plain", "x"])
+    assert ask(spark, ix, [(1, "plain x"), (1, "x")]) == [(1, 1, "b/0000")]
+
+
+def test_conversation_ids_never_collide(spark, tmp_path):
+    rows = [(1, 100, "user", "plain"), (2, 0, "user", "x"), (2, 0, "user", "x"), (None, 3, None, "y")]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = sorted((r.query_id, r.query_text) for r in W.conversation_queries(spark, str(tmp_path)).collect())
+    assert got == [(1, "y"), (2, "plain"), (3, "x"), (4, "x")]
+    assert all(r.query_id < 0 for r in W.dev_queries(spark, -1).collect())
+
+
+def test_salted_search_equals_broadcast(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = ["the " + " ".join(f"w{k}" for k in rng.integers(0, 30, 6)) for _ in range(300)]
+    ix = build(spark, texts)
+    queries = [(i, "the" if i % 2 else f"the w{i % 30}") for i in range(40)] + [(99, "w1 w2 the"), (100, "zzz the")]
+    want = ask(spark, ix, queries)
+    q = spark.createDataFrame(queries, "query_id bigint, query_text string")
+    monkeypatch.setattr(S, "is_small", lambda df: False)
+    lookup = S.term_lookup(S.parse_queries(q), ix.word_dict)
+    hits = S.conjunctive_hits(ix.postings, lookup, small=False)
+    assert "_sj_salt" in hits._jdf.queryExecution().toString()
+    assert ask(spark, ix, queries) == want
+
+
+def test_broadcast_check_counts_bytes(spark):
+    df = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert skew.is_small(df, max_bytes=20_000) and not skew.is_small(df, max_bytes=5_000) and not skew.is_small(df, max_rows=9)
+
+
+@pytest.mark.parametrize("decode", [C.decode_vb, C.decode_gamma])
+def test_search_over_compressed_lists(spark, tmp_path, decode):
+    ix = build(spark, ["a b", "b c", "a c b"] * 40)
+    IO.write_index(ix, str(tmp_path), compressed=C.encode(C.segments(ix.postings)))
+    st, enc = IO.read_index(spark, str(tmp_path)), IO.read_compressed(spark, str(tmp_path))
+    queries = [(1, "a b"), (2, "c"), (3, "none a"), (4, "a b c")]
+    q = spark.createDataFrame(queries, "query_id bigint, query_text string")
+    got = sorted((r.query_id, r.rank, r.doc_name) for r in S.search(enc, st.word_dict, st.doc_dict, q, seek=True, decode=decode).collect())
+    assert got == ask(spark, ix, queries)
+    lookup = S.term_lookup(S.parse_queries(q), st.word_dict)
+    plan = decode(S._batch_postings(enc, lookup, True, True))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(term_id" in plan  # the lists are picked below the decoder
+
+
+def test_batch_encoders_equal_the_expression_forms(spark):
+    rng = np.random.default_rng(2)
+    gaps = [[1], [], [127, 128, 129, 16383, 16384, 2097151, 2097152, 268435456, 214577, 2**40, 2**62], rng.integers(1, 300, 64).tolist()]
+    df = spark.createDataFrame([(i, g) for i, g in enumerate(gaps)], "i int, g array<bigint>")
+    want = {r.i: (r.v, r.b) for r in df.select("i", K.vb_hex("g").alias("v"), K.gamma_bits("g").alias("b")).collect()}
+    flat, counts = np.concatenate([np.array(g, np.int64) for g in gaps]), np.array([len(g) for g in gaps])
+    vb = K.vb_encode_batch(flat, counts)
+    gamma, pad = K.gamma_encode_batch(flat, counts)
+    for i in range(len(gaps)):
+        assert vb[i].hex() == want[i][0]
+        bits = "0" * int(pad[i]) + want[i][1]
+        assert gamma[i] == bytes(int(bits[k:k + 8], 2) for k in range(0, len(bits), 8))
+    with pytest.raises(ValueError):
+        K.gamma_encode_batch(np.array([3, 0]), np.array([2]))
+    assert K.vb_encode_batch(np.array([0]), np.array([1])) == [b"\x80"]
+
+
+def test_query_bytes_are_kept(spark, tmp_path):
+    (tmp_path / "c" / "a").mkdir(parents=True)
+    (tmp_path / "c" / "a" / "f").write_bytes(b"x \xff\xfe z")
+    (tmp_path / "c" / "a" / "_h").write_bytes(b"hidden")
+    (tmp_path / "c" / "a" / "e").write_bytes(b"")
+    ix = X.build_index(read_directory(spark, str(tmp_path / "c")))
+    (tmp_path / "q").write_bytes(b"\xff\xfe\n\nhidden\r\nnope")
+    q = IO.read_query_lines(spark, str(tmp_path / "q"), encoding="ISO-8859-1")
+    got = sorted((r.query_id, r.doc_name) for r in S.search(ix.postings, ix.word_dict, ix.doc_dict, q).collect())
+    assert got == [(1, "a/f"), (3, "a/_h"), (4, NO_RESULTS)]
+
+
+def test_large_query_file_is_split(spark, tmp_path):
+    (tmp_path / "q").write_text("".join(f"line {i}\n" for i in range(20_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert spark.read.text(str(tmp_path / "q")).rdd.getNumPartitions() > 4
+        q = IO.read_query_lines(spark, str(tmp_path / "q"))
+        assert q.where("query_text <> concat('line ', query_id - 1)").count() == 0 and q.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_directory_round_trip(spark, tmp_path):
+    rows = [("a", "1", "x y\n"), ("a", "_2", "é"), ("b-c", "3", "")]
+    df = spark.createDataFrame(rows, "block string, file string, text string")
+    write_directory(df, str(tmp_path / "t"))
+    assert sorted(map(tuple, read_directory(spark, str(tmp_path / "t"), encoding="UTF-8").collect())) == rows
+
+
+def test_bad_document_keys_are_refused(spark):
+    for rows in ([("a", "1", "x"), ("a", "1", "y")], [(None, "1", "x")]):
+        with pytest.raises(ValueError, match="document key"):
+            X.build_index(spark.createDataFrame(rows, "block string, file string, text string"))
+
+
+def test_grown_index_reads_committed_epochs_only(spark, tmp_path):
+    rows = [("b", f"{i:03d}", f"common w{i % 5} u{i}") for i in range(40)]
+    corpus = spark.createDataFrame(rows, "block string, file string, text string")
+    IS.stage_corpus(corpus, f"{tmp_path}/in", 4)
+    IS.start_index_stream(spark, f"{tmp_path}/in", f"{tmp_path}/state", f"{tmp_path}/ckpt").awaitTermination()
+    whole = X.build_index(corpus)
+    # a crash left an epoch without counters
+    spark.createDataFrame([(999, 999)], "term_id bigint, did bigint").write.parquet(f"{tmp_path}/state/postings/epoch=77")
+    spark.createDataFrame([(999, "ghost")], "term_id bigint, token string").write.parquet(f"{tmp_path}/state/word_dict/epoch=77")
+    t = IS.read_stream_index(spark, f"{tmp_path}/state")
+    assert t["postings"].count() == whole.postings.count()
+    key = ["term_id", "token", "df"]
+    assert sorted(map(tuple, t["word_dict"].select(key).collect())) == sorted(map(tuple, whole.word_dict.select(key).collect()))
+    ix = IS.compact(spark, f"{tmp_path}/state", f"{tmp_path}/index")
+    queries = [(1, "common w3"), (2, "ghost"), (3, "u7")]
+    assert ask(spark, ix, queries, seek=True) == ask(spark, whole, queries)
+
+
+def test_unreadable_state_fails(spark, tmp_path):
+    (tmp_path / "counters").mkdir()
+    (tmp_path / "counters" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        IS._next_ids(spark, str(tmp_path), 5)
+    assert IS._next_ids(spark, str(tmp_path / "none"), 5) == (1, 0)
