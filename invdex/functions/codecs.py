@@ -21,9 +21,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType
 
 
 def _c(x) -> Column:
@@ -159,18 +160,30 @@ def _within(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own, np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def vb_encode_batch(gaps: np.ndarray, counts: np.ndarray) -> list[bytes]:
+def _vb(gaps: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all lists, bytes per list)."""
     if (gaps < 0).any():
         raise ValueError("VB codes numbers from 0 up")
     digits = _log2(np.maximum(gaps, 1)) // 7 + 1
     own, pos = _within(digits)
     place = digits[own] - 1 - pos
     data = ((gaps[own] >> (7 * place)) & 127) + 128 * (place == 0)
-    return _cut(data, _per_list(digits, counts))
+    return data.astype(np.uint8), _per_list(digits, counts)
+
+
+def vb_encode_batch(gaps: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    return _cut(*_vb(gaps, counts))
 
 
 def gamma_encode_batch(gaps: np.ndarray, counts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """(bytes, pad) of each list; every list starts on a byte, pad in front."""
+    """(bytes, pad) of each list."""
+    data, sizes, pad = _gamma(gaps, counts)
+    return _cut(data, sizes), pad
+
+
+def _gamma(gaps: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all lists, bytes per list, pads); every list starts on a byte,
+    its pad in front."""
     if (gaps < 1).any():
         raise ValueError("gamma codes numbers from 1 up")
     b = _log2(np.maximum(gaps, 1))
@@ -182,16 +195,27 @@ def gamma_encode_batch(gaps: np.ndarray, counts: np.ndarray) -> tuple[list[bytes
     of_list = np.repeat(np.repeat(np.arange(len(counts)), counts), 2 * b + 1)
     out = np.zeros(int((bits + pad).sum()), np.uint8)
     out[np.arange(len(value)) + np.cumsum(pad)[of_list]] = value
-    return _cut(np.packbits(out), (bits + pad) // 8), pad
-
-
-@F.pandas_udf(StructType().add("vb", BinaryType()).add("gamma", BinaryType()).add("gamma_pad", IntegerType()))
-def encode_ids(dids: pd.Series, base: pd.Series) -> pd.DataFrame:
-    """C1 + C3 + C5: both codes of each segment's ids."""
-    ids, counts = _flat(dids)
-    gaps = _batch_gaps(ids, counts, base.to_numpy(np.int64))
-    gamma, pad = gamma_encode_batch(gaps, counts)
-    return pd.DataFrame({"vb": vb_encode_batch(gaps, counts), "gamma": gamma, "gamma_pad": pad.astype(np.int32)})
+    return np.packbits(out), (bits + pad) // 8, pad
+
+
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def encode_batches(batches):
+    """C1 + C3 + C5 as a mapInArrow function: (term_id, seg, base, dids) to
+    (term_id, seg, base, n, vb, gamma, gamma_pad), without a Python object per list."""
+    for b in batches:
+        lists = b.column("dids")
+        counts = np.asarray(lists.value_lengths().to_numpy(zero_copy_only=False), np.int64)
+        ids = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), np.int64)
+        gaps = _batch_gaps(ids, counts, b.column("base").to_numpy(zero_copy_only=False))
+        data, sizes, pad = _gamma(gaps, counts)
+        yield pa.RecordBatch.from_arrays(
+            [b.column("term_id"), b.column("seg"), b.column("base"), pa.array(counts), _binary(*_vb(gaps, counts)),
+             _binary(data, sizes), pa.array(pad.astype(np.int32))],
+            names=["term_id", "seg", "base", "n", "vb", "gamma", "gamma_pad"])
 
 
 @F.pandas_udf(BinaryType())

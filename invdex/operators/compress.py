@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.codecs import encode_ids, gamma_decode_ids, gaps_array, vb_decode_ids
+from ..functions.codecs import encode_batches, gamma_decode_ids, gaps_array, vb_decode_ids
 from .index import SEGMENT, seg_of, segment_lists
 
 FANOUT = 1024
@@ -62,8 +62,8 @@ def gap_segments(segs: DataFrame) -> DataFrame:
 def encode(segs: DataFrame) -> DataFrame:
     """C3 + C5: the compressed index, one row per (term_id, seg):
     n, base, vb (binary), gamma (binary), gamma_pad."""
-    coded = segs.withColumn("_c", encode_ids("dids", "base"))
-    return coded.select("term_id", "seg", "base", F.size("dids").cast("bigint").alias("n"), "_c.vb", "_c.gamma", "_c.gamma_pad")
+    return segs.select("term_id", "seg", "base", "dids").mapInArrow(
+        encode_batches, "term_id bigint, seg bigint, base bigint, n bigint, vb binary, gamma binary, gamma_pad int")
 
 
 def decode_vb(enc: DataFrame) -> DataFrame:
