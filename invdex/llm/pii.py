@@ -41,6 +41,7 @@ MIN_CONFIDENCE = 0.8
 MIN_SCORE = 0.8
 ROUNDS = 3
 CONTEXT = 48  # characters before a candidate that are looked at for its words
+PIECES = 256  # matches whose positions are summed in one go
 
 _TOKEN = r"[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 PATTERNS = {
@@ -61,18 +62,33 @@ def _guard(kind: str, t: Column) -> Column:
 
 
 def _find(t: Column, pattern: str, context: bool = False) -> Column:
-    """All matches with code point spans (and the text before each)."""
+    """All matches with code point spans (and the text before each).
+
+    Positions are running sums over the pieces between matches. They are summed
+    in blocks of ``PIECES``, since appending to one long array copies it: a text
+    of numbers only stays far from quadratic."""
     both = F.zip_with(F.split(t, pattern, -1), F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda p, m: F.struct(
         F.char_length(p).alias("p"), F.char_length(m).alias("n"), m.alias("m"),
         (F.right(p, F.lit(CONTEXT)) if context else F.lit("")).alias("c")))
+    none = F.expr(f"cast(array() as {_SPANS})")
 
     def step(a, x):
         s = a["at"] + x["p"]
         return F.when(x["m"].isNull(), a).otherwise(F.struct((s + x["n"]).alias("at"), F.concat(a["out"], F.array(F.struct(
             s.alias("s"), (s + x["n"]).alias("e"), x["m"].alias("m"), x["c"].alias("c")))).alias("out")))
 
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_SPANS})").alias("out"))
-    return F.aggregate(both, start, step, lambda a: a["out"])
+    def block(a, part):
+        inner = F.struct(a["at"].alias("at"), none.alias("out"))
+        return F.aggregate(part, inner, step, lambda r: F.struct(r["at"].alias("at"), F.concat(a["out"], F.array(r["out"])).alias("out")))
+
+    def parts(all_):
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / PIECES).cast("int")),
+                           lambda k: F.slice(all_, k * PIECES + 1, F.lit(PIECES)))
+
+    # a lambda variable holds the pieces, so they are found once
+    blocks = F.get(F.transform(F.array(both), parts), F.lit(0))
+    start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<{_SPANS}>)").alias("out"))
+    return F.aggregate(blocks, start, block, lambda a: F.flatten(a["out"]))
 
 
 def _digits(m: Column) -> Column:
@@ -140,23 +156,42 @@ def _shape(kind: str, v: Column) -> Column:
             "card": v.rlike(r"^[0-9\x20-]+$") & n.between(13, 19), "phone": v.rlike(r"^[0-9\x20()./+-]+$") & n.between(7, 15)}[kind]
 
 
+def _with_near(cands: Column, ents: Column) -> Column:
+    """Candidates with ``near``, the base entities that overlap them. They are
+    compared in blocks of ``PIECES`` candidates with the entities of the block's
+    stretch, so a text full of both is far from quadratic."""
+    def overlap(x, start, end):
+        return (x["s"] < end) & (x["e"] > start)
+
+    def block(k):
+        part = F.slice(cands, k * PIECES + 1, F.lit(PIECES))
+        return F.get(F.transform(F.array(part), lambda p: F.get(F.transform(
+            F.array(F.filter(ents, lambda x: overlap(x, F.get(p, F.lit(0))["s"], F.element_at(p, -1)["e"]))),
+            lambda sub: F.transform(p, lambda c: F.struct(
+                c["s"].alias("s"), c["m"].alias("m"), c["c"].alias("c"),
+                F.filter(sub, lambda x: overlap(x, c["s"], c["e"])).alias("near")))), F.lit(0))), F.lit(0))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.floor((F.size(cands) - 1) / PIECES).cast("int")), block))
+
+
 def occurrences(base: DataFrame) -> DataFrame:
     """Candidates as rows: key, span, value hash, fitting kinds, seed kind (kind
     of an overlapping base entity) and lexical patterns."""
-    c = base.filter(F.size("cands") > 0).select("_id", "_h", *KINDS, F.explode("cands").alias("x"))
+    ents = F.concat(*[_of_kind(i, k) for i, k in enumerate(KINDS)]).alias("ents")
+    c = base.filter(F.size("cands") > 0).select("_id", "_h", "cands", ents)
+    c = c.select("_id", "_h", F.explode(_with_near(F.col("cands"), F.col("ents"))).alias("x"))
     left = F.char_length("m") - F.char_length(F.ltrim(F.col("m"), F.lit(_TRIM)))
     core = F.trim(F.col("m"), F.lit(_TRIM))
     # "(555) 1234": the bracket that a trimmed one closes belongs to the value
     opened = F.contains(core, F.lit(")")) & ~F.contains(core, F.lit("(")) & (F.substring(F.col("m"), left, F.lit(1)) == "(")
     left, core = left - opened.cast("int"), F.when(opened, F.concat(F.lit("("), core)).otherwise(core)
     label = F.regexp_extract("core", r"^([A-Za-z][A-Za-z_-]{0,30})[=:](?=.)", 0)
-    c = (c.select("_id", "_h", *KINDS, F.col("x.s").alias("s0"), F.col("x.m").alias("m"), F.col("x.c").alias("c"))
+    c = (c.select("_id", "_h", F.col("x.s").alias("s0"), F.col("x.m").alias("m"), F.col("x.c").alias("c"), F.col("x.near").alias("near"))
          .withColumn("core", core).withColumn("at", F.col("s0") + left).withColumn("label", label)
          .withColumn("v", F.substring(F.col("core"), F.char_length("label") + 1, F.char_length("core")))
          .withColumn("s", F.col("at") + F.char_length("label")).withColumn("e", F.col("s") + F.char_length("v"))
          .filter(F.col("v") != ""))
-    hits = lambda k: F.exists(k, lambda b: (b["s"] < F.col("e")) & (b["e"] > F.col("s")))
-    seed = F.coalesce(*[F.when(hits(k), F.lit(i)) for i, k in enumerate(KINDS)])
+    seed = F.array_min(F.transform(F.filter("near", lambda b: (b["s"] < F.col("e")) & (b["e"] > F.col("s"))), lambda b: b["kind"]))
     words = F.array_remove(F.split(F.lower(F.regexp_replace("c", "[0-9]+", "0")), r"[\x20\x09-\x0D]+"), "")
     c = c.withColumn("w", words).withColumn("nw", F.size("w"))
     pats = F.array_compact(F.array(
@@ -228,9 +263,9 @@ def mask(docs: DataFrame) -> DataFrame:
     tags = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
     cut = F.array_sort(F.transform("added", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))))
     out = out.withColumn("_cut", cut)
-    ends = F.concat(F.array(F.lit(0)), F.transform("_cut", lambda x: x["e"]))
-    pieces = F.transform("_cut", lambda x, i: F.concat(F.substring(F.col("text"), F.get(ends, i) + 1, x["s"] - F.get(ends, i)), F.get(tags, x["kind"])))
-    rest = F.substring(F.col("text"), F.element_at(ends, -1) + 1, F.char_length("text"))
+    before = lambda i: F.coalesce(F.get("_cut", i - 1)["e"], F.lit(0))
+    pieces = F.transform("_cut", lambda x, i: F.concat(F.substring(F.col("text"), before(i) + 1, x["s"] - before(i)), F.get(tags, x["kind"])))
+    rest = F.substring(F.col("text"), before(F.size("_cut")) + 1, F.char_length("text"))
     out = out.withColumn("text", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, ""), rest)))
     for k in KINDS:
         t = F.col("text")

@@ -298,6 +298,18 @@ def test_pii_discovers_by_context(spark):
     assert masked[100] == "please call office number <PHONE> now" and masked[3] == masked[100] and masked[101] == rows[21][1]
 
 
+def test_pii_text_full_of_entities(spark):
+    """More matches than one block of positions holds, one text and several rows."""
+    t = "mail a1@b.co\nnumber 4111 1111 1111 1111 x 1.2.3.4\n" * 600 + "7\n" * 900
+    docs = spark.createDataFrame([(1, t), (2, t[5:]), (3, "7 " * 5000)], "doc_id bigint, text string")
+    texts = {1: t, 2: t[5:], 3: "7 " * 5000}
+    for r in pii.entities(docs).collect():
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in brute_base(texts[r.doc_id]))
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest() and r.spans.startswith(text)
+    seeds = {r.seed: r["count"] for r in pii.occurrences(pii.base_entities(docs.filter("doc_id = 1"))).groupBy("seed").count().collect()}
+    assert seeds[0] == 600 and seeds[2] == 600 and seeds[1] == 600 and seeds[None] == 900
+
+
 def test_pii_mask_keeps_the_rest(spark, edge):
     out = pii.mask(edge)
     assert out.columns == edge.columns and key(items(out)) == key(items(edge))
