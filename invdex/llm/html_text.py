@@ -52,7 +52,7 @@ reply respond share sharing social related recommended recommendations recircula
 contentinfo complementary hidden advert adverts advertisement advertising skip""".split())
 PREFIX = frozenset("has with no without is".split())
 
-_TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/><]*)((?:[^<>"']++|"[^"<]*"|'[^'<]*')*+)>|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)(?:>|\Z|(?=<))""", re.S)
+_TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/><]*)((?:[^<>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|["'=])*+)>|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)(?:>|\Z|(?=<))""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 

@@ -27,6 +27,8 @@ PAGES = {
     "<article><p>a</p><p>b</p></article><div class=cookie-notice>We use cookies</div><style>p{}": "a\nb",
     "<p>x <span class=hidden>y</span> z</p>": "x\nz",
     "<p>cut <a href=\"unclosed": "cut",
+    "<p>a <img alt=\"1 < 2 > 0\" src='q'> b <b title='x\"<y'>c</b></p>": "a b c",
+    "<p>it's <a href=x>don't</a> \"q <i>r</i>\" 5 < 6</p>": "it's don't \"q r\" 5 < 6",
 }
 
 
@@ -38,6 +40,7 @@ def test_main_text(doc):
 def test_extract_is_linear_on_odd_pages():
     assert html_text.main_text("<div>" * 30_000 + "deep") == "deep"
     assert html_text.main_text("<a href=\"" * 20_000 + "x") == ""
+    assert html_text.main_text("<a t='\"" * 20_000 + "x") == ""
     assert html_text.main_text("<p>w, v" * 20_000).count("\n") == 19_999
 
 
