@@ -130,7 +130,8 @@ def q_op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     conv = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text")
-    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], conv.schema)
+    extra = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
     back = read_back(windows(conv.unionByName(extra)))
     per = back.select("conv_id", "key", "window", F.size("turns").alias("n"), "loss_text", F.char_length("text").alias("chars"),
                       F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("said"))
