@@ -45,6 +45,14 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[c for c in df.columns if c.lower() not in taken])
 
 
+def shield(df: DataFrame, used: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with those columns renamed whose (case-insensitive) names an
+    operator uses inside, and the renaming that gives them their names back."""
+    taken = {n.lower() for n in used}
+    hide = {c: f"_input{k}_{c}" for k, c in enumerate(df.columns) if c.lower() in taken}
+    return df.withColumnsRenamed(hide), {v: k for k, v in hide.items()}
+
+
 def map_text(df: DataFrame, text_col: str, fields: list[tuple[str, T.DataType]],
              start: Callable[[], Callable[[pa.Array], list]], keep: list[str] | None = None) -> DataFrame:
     """Append columns computed from ``text_col`` one Arrow batch at a time.

@@ -16,7 +16,8 @@ which spans or documents go.
   word-less items make no window; a null item_id still marks hits but cannot
   be listed; repeated item rows count once; repeated document rows are judged
   each for themselves; an empty benchmark leaves every document clean; input
-  columns that share a name with a result column are replaced by it.
+  columns that share a name with a result column are replaced by it (those
+  that remove spans or documents keep every input column).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
-from .common import map_text, prepare, table, without, written
+from .common import map_text, prepare, shield, table, without, written
 
 N_GRAM = 13          # words per window
 HIT_SHARE = 20       # contaminated: 20 * hit words >= words
@@ -141,6 +142,7 @@ class _Scan:
         return found
 
 
+_RESULTS = ["n_words", "hit_runs", "hit_items", "n_hit", "contaminated"]
 _RUN = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("first", "end", "byte_start", "byte_end")]))
 
 
@@ -167,11 +169,13 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = N_GRAM, block_bytes: in
             out = written(one, "dc-block")  # bounded memory: one block's worker at a time
         else:
             out = one
-    return _merge(out)
+    # one pass already gives disjoint sorted runs; those of several may overlap
+    return (_merge(out) if k else out).withColumn(
+        "n_hit", F.aggregate("hit_runs", F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["first"]))
 
 
 def _merge(df: DataFrame) -> DataFrame:
-    """Runs sorted, overlapping and touching ones joined, and hit words counted."""
+    """Runs sorted, overlapping and touching ones joined."""
     def step(acc, x):
         end = F.coalesce(F.try_element_at(acc, F.lit(-1))["end"], F.lit(-1).cast("bigint"))
         return F.when(x["first"] > end, F.concat(acc, F.array(x))).otherwise(
@@ -181,10 +185,8 @@ def _merge(df: DataFrame) -> DataFrame:
                 F.greatest(F.try_element_at(acc, F.lit(-1))["byte_end"], x["byte_end"]).alias("byte_end")))))
 
     empty = F.expr("cast(array() as array<struct<first:bigint,end:bigint,byte_start:bigint,byte_end:bigint>>)")
-    # one pass already gives disjoint sorted runs; several may overlap
     runs = F.when(F.size("hit_runs") < 2, F.col("hit_runs")).otherwise(F.aggregate(F.array_sort("hit_runs"), empty, step))
-    return df.withColumn("hit_runs", runs).withColumn(
-        "n_hit", F.aggregate("hit_runs", F.lit(0).cast("bigint"), lambda a, x: a + x["end"] - x["first"]))
+    return df.withColumn("hit_runs", runs)
 
 
 def judge(scanned: DataFrame) -> DataFrame:
@@ -194,13 +196,15 @@ def judge(scanned: DataFrame) -> DataFrame:
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` (same columns) without the contaminated documents."""
-    kept = judge(scan(docs, benchmark)).filter(~F.col("contaminated"))
-    return kept.select(*docs.columns)
+    own, back = shield(docs, _RESULTS)
+    kept = judge(scan(own, benchmark)).filter(~F.col("contaminated"))
+    return kept.select(*own.columns).withColumnsRenamed(back)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` (same columns) with every run of hit words cut from ``text``."""
-    scanned = scan(docs, benchmark)
+    own, back = shield(docs, _RESULTS)
+    scanned = scan(own, benchmark)
     text = F.encode("text", "UTF-8")
     n = F.size("hit_runs")
     starts = F.concat(F.array(F.lit(0).cast("bigint")), F.transform("hit_runs", lambda r: r["byte_end"]))
@@ -208,7 +212,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     parts = F.transform(F.sequence(F.lit(0), n), lambda k: F.decode(
         F.substring(text, F.get(starts, k).cast("int") + 1, (F.get(ends, k) - F.get(starts, k)).cast("int")), "UTF-8"))
     cut = scanned.withColumn("text", F.when(n == 0, F.col("text")).otherwise(F.concat_ws("", parts)))
-    return cut.select(*docs.columns)
+    return cut.select(*own.columns).withColumnsRenamed(back)
 
 
 def q_op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,11 +29,12 @@ from pyspark.sql.window import Window
 
 from ..operators.ids import dense_ids
 from ..operators.skew import BROADCAST_MAX_ROWS, salted_join
-from .common import WORD_CLASS, prepare, table, without, written
+from .common import WORD_CLASS, prepare, shield, table, without, written
 
 WEIGHTS = (1, 2, 3)  # by source in code point order, null last, repeating
 MAX_EPOCHS = 3
 SEED = 0
+_INSIDE = ["copies", "docs", "whole", "cut_bucket", "cut", "_key", "_u", "_bucket", "_rank"]
 _PLAN = ["source_size", "target", "whole", "cut_bucket", "cut"]
 
 
@@ -119,9 +120,10 @@ def mixture(docs: DataFrame) -> DataFrame:
     """The mix itself: each document repeated as often as it is taken, with
     ``size``, ``source_size``, ``target``, ``taken`` and ``repetition`` (from 1)."""
     _, p = plan(docs)
+    docs, back = shield(docs, _INSIDE)
     out = mix(without(docs, ["size", "repetition"]).withColumn("size", n_words()), p)
     return (out.filter("copies > 0").withColumn("repetition", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
-            .drop("copies"))
+            .drop("copies").withColumnsRenamed(back))
 
 
 def q_op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

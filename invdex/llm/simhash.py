@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from ..operators.skew import broadcast_if_small
 from . import words as W
-from .common import map_text, prepare, table, written
+from .common import map_text, prepare, shield, table, written
 from .components import components, forest
 
 SHINGLE = 3
@@ -211,6 +211,7 @@ def near_duplicates(docs: DataFrame, extra: list[str] | None = None, max_distanc
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` (same columns) with one document of each component: the one with
     the smallest doc_id (ties: smallest row hash; equal rows: one of them)."""
+    docs, back = shield(docs, ["_row", "_id"])
     cols = docs.columns
     keyed = docs.withColumn("_row", F.xxhash64(*cols))
     marked = written(near_duplicates(keyed, ["_row"]), "sh-marked")
@@ -226,7 +227,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     if not twice.isEmpty():
         again = keyed.join(broadcast_if_small(twice), on, "left_semi").dropDuplicates(on)
         kept = kept.join(broadcast_if_small(twice), on, "left_anti").unionByName(again)
-    return kept.select(*cols)
+    return kept.select(*cols).withColumnsRenamed(back)
 
 
 def _counted(marked: DataFrame, win: DataFrame) -> DataFrame:
