@@ -31,9 +31,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..operators.skew import broadcast_if_small
-from .common import prepare, table, written
+from .common import prepare, shield, table, written
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_KNOWN = 5
@@ -254,15 +255,34 @@ def entities(docs: DataFrame) -> DataFrame:
                        F.sha2(_written_out(F.col("b")), 256).alias("base_sha256"), _written_out(both).alias("spans"))
 
 
+def _cuts(base: DataFrame) -> DataFrame:
+    """Per key: ``_cut``, the spans that are masked by position. These are the
+    added ones, and all spans of a text in which entities of different kinds
+    overlap (masking one would hide the rest of the other); overlapping spans
+    are united under the kind that starts first."""
+    spans = F.array_sort(F.transform(F.concat(*[_of_kind(i, k) for i, k in enumerate(KINDS)]), lambda x: F.struct(
+        x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))))
+    crossing = F.exists(F.zip_with("x", F.slice("x", 2, F.size("x")), lambda a, b: b["s"] < a["e"]), lambda y: y)
+    over = base.select("_id", "_h", spans.alias("x")).filter(F.size("x") > 1).filter(crossing)
+    both = (added_spans(base).select("_id", "_h", F.inline("added")).select("_id", "_h", "s", "e", "kind")
+            .union(over.select("_id", "_h", F.inline("x"))).distinct())
+    order = Window.partitionBy("_id", "_h").orderBy("s", "e", "kind")
+    reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    both = both.withColumn("opens", (F.col("s") >= F.coalesce(reach, F.lit(0))).cast("int")).withColumn("no", F.sum("opens").over(order))
+    united = both.groupBy("_id", "_h", "no").agg(
+        F.min("s").alias("s"), F.max("e").alias("e"), F.min_by("kind", F.struct("s", "e", "kind")).alias("kind"))
+    return written(united.groupBy("_id", "_h").agg(F.array_sort(F.collect_list(F.struct("s", "e", "kind"))).alias("_cut")), "pii-cuts")
+
+
 def mask(docs: DataFrame) -> DataFrame:
     """``docs`` (same columns) with every entity replaced by its kind, as in
     ``<EMAIL>``, and ``n_chars``, if there is one, counted anew. Discovered spans
-    go first, by position; then the patterns, kind by kind."""
-    added = added_spans(base_entities(docs))
-    out = keyed(docs).join(broadcast_if_small(added), ["_id", "_h"], "left")
+    and those of overlapping kinds go first, by position; then the patterns, kind
+    by kind."""
+    docs, back = shield(docs, ["_id", "_h", "_cut"])
+    cuts = _cuts(base_entities(docs))
+    out = keyed(docs).join(broadcast_if_small(cuts), ["_id", "_h"], "left")
     tags = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    cut = F.array_sort(F.transform("added", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))))
-    out = out.withColumn("_cut", cut)
     before = lambda i: F.coalesce(F.get("_cut", i - 1)["e"], F.lit(0))
     pieces = F.transform("_cut", lambda x, i: F.concat(F.substring(F.col("text"), before(i) + 1, x["s"] - before(i)), F.get(tags, x["kind"])))
     rest = F.substring(F.col("text"), before(F.size("_cut")) + 1, F.char_length("text"))
@@ -272,7 +292,7 @@ def mask(docs: DataFrame) -> DataFrame:
         out = out.withColumn("text", F.when(_guard(k, t), _masked(k, t)).otherwise(t))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*docs.columns).withColumnsRenamed(back)
 
 
 def q_op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -310,6 +310,39 @@ def test_pii_text_full_of_entities(spark):
     assert seeds[0] == 600 and seeds[2] == 600 and seeds[1] == 600 and seeds[None] == 900
 
 
+def test_pii_mask_of_overlapping_kinds(spark):
+    """Entities of different kinds that share characters go whole."""
+    rows = [(1, "é call +1.2.3.4 5678 or a@b.co"), (2, "at 10.1.2.3.a@b.co, yes"), (3, "+49 10.0.0.1 4111 1111 1111 1111"),
+            (4, "x 1.2.3.4 y a@b.co"), (1, "é call +1.2.3.4 5678 or a@b.co"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.text) for r in pii.mask(docs).collect()), key=repr)
+    assert not any(brute_base(t) for _, t in got if t)
+    assert got[:2] == [(1, "é call <PHONE> or <EMAIL>")] * 2
+    # once the address is gone, the digits after it are a card number of their own
+    assert got[2:] == [(2, "at <IP>, yes"), (3, "+49 <IP> <CARD>"), (4, "x <IP> y <EMAIL>"), (5, None)]
+
+
+CLASHING = ["score", "predicted", "_evidence", "_row", "_id", "_h", "_cut", "n_words", "n_hit", "hit_runs", "hit_items", "contaminated",
+            "whole", "cut", "cut_bucket", "docs", "copies", "_key", "_u"]
+
+
+def test_filters_keep_clashing_columns(spark):
+    """Columns named like an operator's own come through unchanged."""
+    rows = [(i, f"word{i} plain text a{i}@b.co " + "x " * i, "s", 1, *[f"{c}{i}" for c in CLASHING]) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint, " + ", ".join(f"{c} string" for c in CLASHING))
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    labels_ = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    want = key(docs.select("doc_id", *CLASHING).collect())
+    for out in (toxicity.remove_toxic(docs, labels_), decontaminate.remove_documents(docs, none), decontaminate.remove_spans(docs, none), pii.mask(docs)):
+        assert out.columns == docs.columns and key(out.select("doc_id", *CLASHING).collect()) == want
+    kept = simhash.keep_one(docs)
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert kept.columns == docs.columns and key(kept.select("doc_id", *CLASHING).collect()) == [r for r in want if r.doc_id in ids]
+    mixed = mixing.mixture(docs)
+    assert mixed.columns[:len(docs.columns)] == docs.columns
+    assert set(mixed.select("doc_id", *CLASHING).collect()) <= set(want)
+
+
 def test_pii_mask_keeps_the_rest(spark, edge):
     out = pii.mask(edge)
     assert out.columns == edge.columns and key(items(out)) == key(items(edge))
