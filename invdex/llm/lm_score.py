@@ -1,19 +1,21 @@
 """Language-model scoring by cross-entropy difference (operator 6).
 
 Two matched word-bigram models share one vocabulary and one set of bigrams: the
-background model is counted on every document, the target model on trusted
-documents (labelled quality = 1, bounded by ``labelled.sample``). A document's
-score is the mean over its tokens of loss under the target model minus loss
-under the background model; lower means closer to the target.
-
-* Vocabulary: words with at least ``MIN_SHARE`` of all corpus tokens; others are
-  one unknown word. Bigrams: those with at least ``MIN_SHARE`` of all tokens. A
-  share bounds both tables by 1 / MIN_SHARE entries for any corpus, which bounds
-  the broadcast; no count is capped. The counts behind them cover every word and
-  every bigram of the vocabulary in the corpus.
+background model is counted on every document, the target model on every trusted
+document (labelled quality = 1). A document's score is the mean over its tokens
+of loss under the target model minus loss under the background model; lower
+means closer to the target.
+
+* Vocabulary and bigrams: every word and every bigram of the corpus, without a
+  least count; a word never seen (in other documents) is one unknown word. Their
+  counts are written tables, which grow with the corpus.
 * Both models: p(w | h) = max(n(hw) - D, 0) / n(h) + rest(h) * p(w) over the
   shared bigrams, and add-one smoothed unigrams p(w); a document starts after a
   start symbol.
+* ``MIN_SHARE`` only divides the work: words and bigrams with at least this share
+  of all tokens (at most 1 / MIN_SHARE of each) are broadcast, as short word ids
+  and ready losses. All other bigrams of a document are joined with the written
+  counts; none of them is frequent, so no key is heavy.
 
 Defined cases: null, empty or blank texts have no tokens and score 0; without
 trusted labels the target model is uniform; repeated rows score alike.
@@ -27,33 +29,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.skew import broadcast_if_small, is_small, salted_join
 from . import words as W
-from .common import map_text, prepare, table, written
-from .labelled import count_text, sample
+from .common import map_text, prepare, shield, table, written
+from .labelled import count_text
 
-MIN_SHARE = 1e-6
+MIN_SHARE = 1e-6  # of all tokens: from here on an entry is broadcast, below it is joined
 DISCOUNT = 0.75
 THRESHOLD = 0.0  # selected: score at most this
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 
 
-def _sums(keys_of):
-    """Per task: (key, background count, target count) of the keys that
-    ``keys_of(hashes, row)`` makes of each slice."""
+def _sums(codes_of):
+    """Per task: (codes, background count, target count) of the codes, one or
+    two columns, that ``codes_of(hashes, row)`` makes of each slice."""
     held: list = []
     size = 0
 
     def merged():
-        keys, inv = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-        return keys, *(np.bincount(inv, weights=np.concatenate([h[k] for h in held]), minlength=len(keys)) for k in (1, 2))
+        cols = [np.concatenate(x) for x in zip(*held)]
+        _, first, inv = np.unique(_key(cols[2:]), return_index=True, return_inverse=True)
+        return [np.bincount(inv, weights=x, minlength=len(first)) for x in cols[:2]] + [x[first] for x in cols[2:]]
 
     def out():
         nonlocal held, size
         if held:
-            keys, n, t = merged()
+            n, t, *codes = merged()
             held, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(t.astype(np.int64))],
-                                             names=["key", "n", "t"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*codes, n.astype(np.int64), t.astype(np.int64))],
+                                             names=["c", "w"][-len(codes):] + ["n", "t"])
 
     def add(cols):
         nonlocal held, size
@@ -63,11 +67,11 @@ def _sums(keys_of):
             s, e, row = W.spans(buf, off, W.ALNUM)
             if not len(s):
                 continue
-            key, r = keys_of(W.word_hashes(buf, s, e, W.FOLD), row)
-            keys, inv = np.unique(key, return_inverse=True)
-            held.append((keys, np.bincount(inv, minlength=len(keys)),
-                         np.bincount(inv, weights=trusted[i:j][r], minlength=len(keys))))
-            size += len(keys)
+            codes = codes_of(W.word_hashes(buf, s, e, W.FOLD), row)
+            _, first, inv = np.unique(_key(codes), return_index=True, return_inverse=True)
+            held.append((np.bincount(inv, minlength=len(first)), np.bincount(inv, weights=trusted[i:j][row], minlength=len(first)),
+                         *[x[first] for x in codes]))
+            size += len(first)
             if size > FLUSH:
                 held = [merged()]
                 size = len(held[0][0])
@@ -77,98 +81,180 @@ def _sums(keys_of):
     return add, out
 
 
-def _ids(vocab: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Positions in the vocabulary; unknown words: its length."""
+def _key(codes: list[np.ndarray]) -> np.ndarray:
+    """One number for each word or bigram."""
+    key = codes[0].view(np.uint64)
+    return W.chain(W.mix(key), codes[1].view(np.uint64)) if len(codes) > 1 else key
+
+
+def _words(vocab: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Codes of words: the position in the (sorted) frequent words, or else the
+    hash as a negative number. The start symbol is ``len(vocab)``."""
+    other = (h | np.uint64(1 << 63)).view(np.int64)
     if not len(vocab):
-        return np.zeros(len(h), np.int64)
+        return other
     at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
-    return np.where(vocab[at] == h, at, len(vocab))
+    return np.where(vocab[at] == h, at, other)
 
 
-def _pairs(vocab: np.ndarray, h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bigram keys (context id * size + id) and the ids; contexts may be the
-    start symbol, len(vocab) + 1."""
-    ids = _ids(vocab, h)
-    ctx = np.concatenate(([len(vocab) + 1], ids[:-1]))
-    ctx[np.concatenate(([True], row[1:] != row[:-1]))] = len(vocab) + 1
-    return (ctx * (len(vocab) + 2) + ids).astype(np.uint64), ids
+def _pairs(vocab: np.ndarray, h: np.ndarray, row: np.ndarray) -> list[np.ndarray]:
+    """Codes of the context and of the word, for every token."""
+    w = _words(vocab, h)
+    c = np.concatenate(([len(vocab)], w[:-1]))
+    c[np.concatenate(([True], row[1:] != row[:-1]))] = len(vocab)
+    return [c, w]
 
 
-def _counts(flagged: DataFrame, keys_of, tag: str) -> DataFrame:
-    return written(count_text(flagged, ["text", "trusted"], "key bigint, n bigint, t bigint", lambda: _sums(keys_of()))
-                   .groupBy("key").agg(F.sum("n").alias("n"), F.sum("t").alias("t")), tag)
+def _coded(vocab):
+    """Word hashes of a counts table to codes."""
+    def run(batches):
+        for b in batches:
+            w = _words(vocab.value, b.column("w").to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(w), b.column("n"), b.column("t")], names=["w", "n", "t"])
 
+    return run
 
-def _common(counts: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys with at least MIN_SHARE of the total (at most 1 / MIN_SHARE rows)."""
-    t = counts.filter(F.col("n") >= F.lit(MIN_SHARE * total)).toArrow()
-    key = t.column("key").to_numpy().astype(np.int64).view(np.uint64)
-    at = np.argsort(key, kind="stable")
-    return key[at], t.column("n").to_numpy()[at].astype(float), t.column("t").to_numpy()[at].astype(float)
+
+def _counts(flagged: DataFrame, codes_of, names: list[str], tag: str) -> DataFrame:
+    schema = ", ".join(f"{x} bigint" for x in [*names, "n", "t"])
+    return written(count_text(flagged, ["text", "trusted"], schema, lambda: _sums(codes_of()))
+                   .groupBy(*names).agg(F.sum("n").alias("n"), F.sum("t").alias("t")), tag)
+
+
+def _join(big: DataFrame, small: DataFrame, key: str, weight: str, spread: str) -> DataFrame:
+    """Left join with a table of words, which grows with the corpus."""
+    return big.join(F.broadcast(small), key, "left") if is_small(small) else salted_join(big, small, key, weight, spread, how="left")
+
+
+def _losses(pairs: DataFrame, model: dict) -> DataFrame:
+    """``pairs`` (c, w, n, t; counts may be null) with both losses, lt and lb."""
+    both = _join(_join(pairs, model["contexts"], "c", "fn", "w"), model["words"], "w", "un", "c")
+
+    def loss(n, total, kinds, uni, tokens):
+        n, total, kinds, uni = (F.coalesce(x, F.lit(0)) for x in (n, total, kinds, uni))
+        most = F.greatest(total, F.lit(1))
+        rest = F.greatest(1 - (total - DISCOUNT * kinds) / most, F.lit(1e-9))
+        return -F.log(F.greatest(n - DISCOUNT, F.lit(0.0)) / most + rest * (uni + 1) / F.lit(float(tokens + model["size"] + 1)))
+
+    col = F.col
+    return both.select("c", "w", "n", loss(col("t"), col("ct"), col("ft"), col("ut"), model["tokens_t"]).alias("lt"),
+                       loss(col("n"), col("cn"), col("fn"), col("un"), model["tokens"]).alias("lb"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
-    """The two matched models as numpy tables of bounded size."""
+    """The two matched models: counts as written tables, and the frequent part
+    of the vocabulary and of the bigrams as numpy tables of bounded size."""
     spark = docs.sparkSession
     prepare(spark)
-    trusted = sample(labels, "quality").filter("y = 1").select("doc_id", F.lit(True).alias("trusted"))
-    flagged = docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left")
-    words = _counts(flagged, lambda: lambda h, row: (h, row), "lm-words")
-    total, total_t = (int(x or 0) for x in words.agg(F.sum("n"), F.sum("t")).first())
-    vocab, n1, t1 = _common(words, total)
+    trusted = labels.filter("doc_id IS NOT NULL AND cast(quality AS int) = 1").select("doc_id").distinct().withColumn("trusted", F.lit(True))
+    flagged = docs.select("doc_id", "text").join(broadcast_if_small(trusted), "doc_id", "left")
+    words = _counts(flagged, lambda: lambda h, row: [h.view(np.int64)], ["w"], "lm-words")
+    size, tokens, tokens_t = (int(x or 0) for x in words.agg(F.count(F.lit(1)), F.sum("n"), F.sum("t")).first())
+    often = words.filter(F.col("n") >= F.lit(MIN_SHARE * tokens)).select("w").toArrow()
+    vocab = np.sort(often.column("w").to_numpy().astype(np.int64).view(np.uint64))
     shared = spark.sparkContext.broadcast(vocab)
-    pairs = _counts(flagged, lambda: lambda h, row: (_pairs(shared.value, h, row)[0], row), "lm-pairs")
-    pair, n2, t2 = _common(pairs, total)
-    size = len(vocab) + 2
-    ctx, wid = (pair // np.uint64(size)).astype(np.int64), (pair % np.uint64(size)).astype(np.int64)
-    model = {"vocab": vocab, "pair": pair}
-    # context totals over all bigrams: how often each word (or the start) is a context
-    by_ctx = pairs.groupBy(F.expr(f"key div {size}").alias("c")).agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()
-    for name, n_, p_, tot, col in (("b", n1, n2, total, "n"), ("t", t1, t2, total_t, "t")):
-        uni = np.concatenate((n_, [max(0, tot - n_.sum())])) + 1.0
-        uni /= uni.sum()
-        context = np.zeros(size)
-        context[by_ctx.column("c").to_numpy()] = by_ctx.column(col).to_numpy()
-        direct = np.maximum(p_ - DISCOUNT, 0) / np.maximum(context[ctx], 1)
-        rest = np.maximum(1 - np.bincount(ctx, direct, minlength=size), 1e-9)
-        model[name] = (np.log(uni), np.log(rest), np.log(direct + rest[ctx] * uni[wid]))
+    pairs = _counts(flagged, lambda: lambda h, row: _pairs(shared.value, h, row), ["c", "w"], "lm-pairs")
+    contexts = written(pairs.groupBy("c").agg(F.sum("n").alias("cn"), F.sum("t").alias("ct"), F.count(F.lit(1)).alias("fn"),
+                                              F.count_if(F.col("t") > 0).alias("ft")), "lm-contexts")
+    coded = written(words.mapInArrow(_coded(shared), "w bigint, n bigint, t bigint")
+                    .select("w", F.col("n").alias("un"), F.col("t").alias("ut")), "lm-coded")
+    model = {"vocab": shared, "words": coded, "contexts": contexts, "size": size, "tokens": tokens, "tokens_t": tokens_t}
+    model["often"] = F.col("n") >= F.lit(MIN_SHARE * tokens)
+    model["pairs"] = pairs
+    ready = _losses(pairs.filter(model["often"]), model).toArrow()
+    key = _key([ready.column(k).to_numpy().astype(np.int64) for k in ("c", "w")])
+    at = np.argsort(key, kind="stable")
+    model["ready"] = spark.sparkContext.broadcast((key[at], *[ready.column(k).to_numpy()[at].astype(float) for k in ("lt", "lb")]))
     return model
 
 
-class _Losses:
-    def __init__(self, model):
-        self.m = model
+def _found(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in the frequent bigrams, and which are there."""
+    if not len(keys):
+        return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    return at, keys[at] == key
+
+
+class _Sums:
+    """Batch function: tokens, tokens of rarer bigrams, and both sums of losses
+    over frequent bigrams."""
+
+    def __init__(self, vocab, ready):
+        self.vocab, self.ready = vocab, ready
 
     def __call__(self, text):
-        out = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))]
-        m, size = self.m, len(self.m["vocab"]) + 2
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0))]
+        keys, *losses = self.ready
         for i, j, buf, off in W.slices(text):
             s, e, row = W.spans(buf, off, W.ALNUM)
-            n = np.bincount(row, minlength=j - i)
+            count = lambda r, x=None: np.bincount(r, x, minlength=j - i)  # noqa: B023, E731
             if not len(s):
-                out.append((n, np.zeros(j - i), np.zeros(j - i)))
+                out.append((count(row), count(row), np.zeros(j - i), np.zeros(j - i)))
                 continue
-            key, ids = _pairs(m["vocab"], W.word_hashes(buf, s, e, W.FOLD), row)
-            ctx = (key // np.uint64(size)).astype(np.int64)
-            at = np.minimum(np.searchsorted(m["pair"], key), max(len(m["pair"]) - 1, 0))
-            known = m["pair"][at] == key if len(m["pair"]) else np.zeros(len(key), bool)
-            loss = []
-            for name in ("t", "b"):
-                uni, rest, pair = m[name]
-                lp = rest[ctx] + uni[ids]
-                lp[known] = pair[at[known]]
-                loss.append(np.bincount(row, -lp, minlength=j - i) / np.maximum(n, 1))
-            out.append((n, *loss))
+            at, known = _found(keys, _key(_pairs(self.vocab, W.word_hashes(buf, s, e, W.FOLD), row)))
+            out.append((count(row), count(row[~known]), *[count(row[known], x[at[known]]) for x in losses]))
         return [np.concatenate(x) for x in zip(*out)]
 
 
+def _rarer(vocab, ready):
+    """Per document the bigrams that are not frequent: (_ref, c, w, m)."""
+    def run(batches):
+        for b in batches:
+            ref = b.column("_ref").to_numpy()
+            for i, j, buf, off in W.slices(b.column("text").fill_null("")):
+                s, e, row = W.spans(buf, off, W.ALNUM)
+                if not len(s):
+                    continue
+                c, w = _pairs(vocab.value, W.word_hashes(buf, s, e, W.FOLD), row)
+                key = _key([c, w])
+                rare = np.flatnonzero(~_found(ready.value[0], key)[1])
+                rare = rare[np.lexsort((key[rare], row[rare]))]
+                k, r = key[rare], row[rare]
+                first = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (r[1:] != r[:-1])))) if len(rare) else rare
+                m = np.diff(np.concatenate((first, [len(rare)])))
+                one = rare[first]
+                yield pa.RecordBatch.from_arrays([pa.array(ref[i:j][row[one]]), pa.array(c[one]), pa.array(w[one]), pa.array(m.astype(np.int32))],
+                                                 names=["_ref", "c", "w", "m"])
+
+    return run
+
+
 def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with n_tokens, loss_target, loss_background, score, selected."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [("n_tokens", T.LongType()), ("loss_target", T.DoubleType()), ("loss_background", T.DoubleType())]
-    out = map_text(docs, "text", fields, lambda: _Losses(shared.value), keep=[c for c in docs.columns if c != "text"])
-    return (out.withColumn("score", F.col("loss_target") - F.col("loss_background"))
-            .withColumn("selected", F.col("score") <= threshold))
+    docs, back = shield(docs, ["_ref", "_rare", "_t", "_b", "_rt", "_rb"])
+    keyed = docs.withColumn("_ref", F.xxhash64("text"))
+    vocab, ready = model["vocab"], model["ready"]
+    fields = [("n_tokens", T.LongType()), ("_rare", T.LongType()), ("_t", T.DoubleType()), ("_b", T.DoubleType())]
+    out = map_text(keyed, "text", fields, lambda: _Sums(vocab.value, ready.value), keep=[c for c in keyed.columns if c != "text"])
+    rare = keyed.select("_ref", "text").mapInArrow(_rarer(vocab, ready), "_ref bigint, c bigint, w bigint, m int")
+    known = _losses(model["pairs"].filter(~model["often"]), model).select("c", "w", "lt", "lb")
+    rare = rare.join(known, ["c", "w"], "left")
+    # rows of equal texts share their reference, hence means over the rarer tokens
+    sums = written(rare.groupBy("_ref").agg(
+        F.sum("m").alias("m"), F.sum(F.col("m") * F.col("lt")).alias("lt"), F.sum(F.col("m") * F.col("lb")).alias("lb"),
+        F.count_if(F.col("lt").isNull()).alias("new")), "lm-rare")
+    new = sums.filter("new > 0").select("_ref")
+    if not new.isEmpty():  # bigrams the models never saw, in documents they were not fitted on
+        again = (keyed.select("_ref", "text").join(broadcast_if_small(new), "_ref", "left_semi")
+                 .mapInArrow(_rarer(vocab, ready), "_ref bigint, c bigint, w bigint, m int"))
+        unseen = written(again.join(model["pairs"].select("c", "w"), ["c", "w"], "left_anti"), "lm-new")
+        none = F.lit(None).cast("bigint")
+        pairs = unseen.select("c", "w").distinct().withColumns({"n": none, "t": none})
+        more = unseen.join(_losses(pairs, model), ["c", "w"]).groupBy("_ref").agg(
+            F.sum(F.col("m") * F.col("lt")).alias("lt"), F.sum(F.col("m") * F.col("lb")).alias("lb"))
+        sums = (sums.select("_ref", "m", "lt", "lb").unionByName(more.select("_ref", F.lit(0).cast("bigint").alias("m"), "lt", "lb"))
+                .groupBy("_ref").agg(F.sum("m").alias("m"), F.sum("lt").alias("lt"), F.sum("lb").alias("lb")))
+    mean = sums.select("_ref", (F.col("lt") / F.col("m")).alias("_rt"), (F.col("lb") / F.col("m")).alias("_rb"))
+    out = out.join(broadcast_if_small(mean), "_ref", "left")
+
+    def loss(a, b):
+        return (F.col(a) + F.col("_rare") * F.coalesce(b, F.lit(0.0))) / F.greatest("n_tokens", F.lit(1))
+
+    out = out.withColumn("loss_target", loss("_t", "_rt")).withColumn("loss_background", loss("_b", "_rb"))
+    out = (out.withColumn("score", F.col("loss_target") - F.col("loss_background"))
+           .withColumn("selected", F.col("score") <= threshold))
+    return out.drop("_ref", "_rare", "_t", "_b", "_rt", "_rb").withColumnsRenamed(back)
 
 
 def q_op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -267,6 +267,27 @@ def test_lm_score(spark, edge, nothing):
     assert lm_score.score(edge, lm_score.fit(edge, labels(spark, []))).count() == edge.count()
 
 
+def test_lm_score_keeps_rare_bigrams(spark, monkeypatch):
+    """Nothing below the share of the broadcast part is lost, nor new bigrams."""
+    rows = [(i, f"the cat sat on the mat a{i} b{i % 3} c{i % 7}") for i in range(30)] + [(50, None), (3, "the cat sat on the mat a3 b0 c3")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    lab = labels(spark, [(i, 1, 0) for i in range(5)])
+    more = [*rows[:30], (3, rows[31][1]), (50, None)]
+    want = {i: w for (i, _), w in zip(more, [brute_lm([(k, t) for k, (_, t) in enumerate(more)], [0, 1, 2, 3, 4, 30])[k] for k in range(32)])}
+    monkeypatch.setattr(lm_score, "MIN_SHARE", 0.05)  # only the words and bigrams of all texts
+    model = lm_score.fit(docs, lab)
+    got = lm_score.score(docs, model).collect()
+    assert len(got) == 32 and model["pairs"].count() > 70 and len(model["ready"].value[0]) < 10
+    for r in got:
+        assert (r.n_tokens, r.loss_target, r.loss_background) == pytest.approx(want[r.doc_id])
+    new = lm_score.score(spark.createDataFrame([(1, "mat zz cat"), (2, rows[1][1])], docs.schema), model).collect()
+    monkeypatch.setattr(lm_score, "MIN_SHARE", 0)
+    same = lm_score.score(spark.createDataFrame([(1, "mat zz cat"), (2, rows[1][1])], docs.schema), lm_score.fit(docs, lab)).collect()
+    for a, b in zip(sorted(new), sorted(same)):
+        assert (a.n_tokens, a.loss_target, a.loss_background) == pytest.approx((b.n_tokens, b.loss_target, b.loss_background))
+        assert a.loss_background > 0
+
+
 # 8 ------------------------------------------------------------------------
 PII = ["mail a.b+c@x-y.co.uk, or a@b.c@d.e f@g", "x@y.z_w@v.u", "ip 1.2.3.4.5.6.7.8 256.1.1.1 001.2.3.255 0000256.1.1.1", "card 4111 1111 1111 1111 and 4111-1111-1111-1112",
        "+1 (743) 555-3824, +12, +1 234 (567) 89 0 x +44 1 ", "é+49 30 1234567é 東1.1.1.1京", "9" * 30_000 + "." * 10, "+1" + " " * 20_000, "a" * 50_000 + "@", "(" * 3000,
