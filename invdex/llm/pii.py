@@ -11,13 +11,18 @@ Bootstrapped contextual extraction then adds identifiers the patterns miss:
 1. Candidates are runs of tokens that hold a digit or ``@``. Their lexical
    patterns are the word before, the two words before, and a label inside the
    token (``mail:x``). Candidates that overlap a base entity are seeds of its kind.
+   Inside a run, every run of neighbouring tokens that has the shape of a kind and
+   overlaps no base entity is a candidate too, with the words before it.
 2. Pattern-instance graph: a pattern's confidence for a kind is the share of its
-   distinct instances known to be of that kind; it needs ``MIN_KNOWN`` of them and
+   distinct instances known to be of that kind (candidates that start at the same
+   token count as one, by the longest); it needs ``MIN_KNOWN`` of them and
    ``MIN_CONFIDENCE``.
 3. An unknown instance whose shape fits the kind scores 1 - prod(1 - confidence)
    over the accepted patterns it occurs with anywhere; from ``MIN_SCORE`` on it is
    known too, wherever it occurs, and the next round starts. ``ROUNDS`` at most,
    or until nothing is new.
+4. Known instances are added wherever no base entity overlaps them; of nested ones
+   of a kind the longest.
 
 The graph holds distinct (pattern, instance) rows, so a frequent pattern is
 counted with partial aggregation and never gathered.
@@ -52,6 +57,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 CANDIDATE = rf"(?<![^\x20\x09-\x0D]){_TOKEN}(?:\x20{_TOKEN})*+"
+SUB = 19  # a shape has at most so many digits, and every token of it has one
 _TRIM = "()[]{}<>\"'.,;:!?"
 _SPANS = "array<struct<s:int,e:int,m:string,c:string>>"
 
@@ -175,20 +181,62 @@ def _with_near(cands: Column, ents: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), F.floor((F.size(cands) - 1) / PIECES).cast("int")), block))
 
 
+def _inside(runs: DataFrame) -> DataFrame:
+    """Neighbouring tokens of the runs (_id, _h, s, m, c, near) that could be
+    instances, apart from whole runs: _id, _h, s0, m, c and ``run``, the start's
+    longest one (for a run's first token the whole run)."""
+    toks = F.transform(_find(F.col("m"), r"[^\x20]++"), lambda x: F.struct(
+        (x["s"] + F.col("s")).alias("s"), (x["e"] + F.col("s")).alias("e"), x["m"].alias("m"), x["c"].alias("c")))
+    runs = runs.filter(F.contains("m", F.lit(" "))).select("_id", "_h", "m", "c", "near", toks.alias("toks"))
+    runs = runs.select("_id", "_h", "m", "c", _with_near(F.col("toks"), F.col("near")).alias("toks"))
+
+    def start(x, i):
+        two = F.array_join(F.transform(F.slice("toks", F.greatest(i - 1, F.lit(1)), F.when(i > 1, 2).otherwise(i)), lambda y: y["m"]), " ")
+        before = F.when(i > 1, two).when(i == 1, F.concat("c", F.lit(" "), two)).otherwise(F.col("c"))
+        return F.struct(i.alias("i"), before.alias("c"), F.when(i == 0, F.col("m")).alias("run"), F.slice("toks", i + 1, F.lit(SUB)).alias("x"))
+
+    free = lambda x: F.size(x["near"]) == 0
+    starts = runs.select("_id", "_h", F.size("toks").alias("n"), F.explode(F.filter(
+        F.transform("toks", start), lambda y: free(F.get(y["x"], F.lit(0))))).alias("y"))
+    starts = starts.select("_id", "_h", "n", "y.i", "y.c", "y.run", "y.x")
+    some = F.transform(F.sequence(F.lit(1), F.size("x")), lambda j: F.slice("x", F.lit(1), j))
+    some = F.filter(some, lambda part: F.forall(part, free) & (F.size(part) < F.col("n")))
+    texts = F.transform(some, lambda part: F.array_join(F.transform(part, lambda y: y["m"]), " "))
+    fits = F.filter(texts, lambda m: F.exists(F.array(*[_shape(k, _value(m)) for k in KINDS]), lambda y: y))
+    return (starts.select("_id", "_h", F.get("x", F.lit(0))["s"].alias("s0"), "c", "run", fits.alias("fits"))
+            .select("_id", "_h", "s0", "c", F.coalesce("run", F.element_at("fits", -1)).alias("run"), F.explode("fits").alias("m")))
+
+
+def _label(core: Column) -> Column:
+    return F.regexp_extract(core, r"^([A-Za-z][A-Za-z_-]{0,30})[=:](?=.)", 0)
+
+
+def _core(m: Column) -> tuple[Column, Column]:
+    """Characters trimmed off the left of a candidate, and what is left of it."""
+    left = F.char_length(m) - F.char_length(F.ltrim(m, F.lit(_TRIM)))
+    core = F.trim(m, F.lit(_TRIM))
+    # "(555) 1234": the bracket that a trimmed one closes belongs to the value
+    opened = F.contains(core, F.lit(")")) & ~F.contains(core, F.lit("(")) & (F.substring(m, left, F.lit(1)) == "(")
+    return left - opened.cast("int"), F.when(opened, F.concat(F.lit("("), core)).otherwise(core)
+
+
+def _value(m: Column) -> Column:
+    core = _core(m)[1]
+    return F.substring(core, F.char_length(_label(core)) + 1, F.char_length(core))
+
+
 def occurrences(base: DataFrame) -> DataFrame:
-    """Candidates as rows: key, span, value hash, fitting kinds, seed kind (kind
-    of an overlapping base entity) and lexical patterns."""
+    """Candidates as rows: key, span, value hash, hash ``u`` of the longest that
+    starts there, fitting kinds, seed kind (kind of an overlapping base entity)
+    and lexical patterns."""
     ents = F.concat(*[_of_kind(i, k) for i, k in enumerate(KINDS)]).alias("ents")
     c = base.filter(F.size("cands") > 0).select("_id", "_h", "cands", ents)
     c = c.select("_id", "_h", F.explode(_with_near(F.col("cands"), F.col("ents"))).alias("x"))
-    left = F.char_length("m") - F.char_length(F.ltrim(F.col("m"), F.lit(_TRIM)))
-    core = F.trim(F.col("m"), F.lit(_TRIM))
-    # "(555) 1234": the bracket that a trimmed one closes belongs to the value
-    opened = F.contains(core, F.lit(")")) & ~F.contains(core, F.lit("(")) & (F.substring(F.col("m"), left, F.lit(1)) == "(")
-    left, core = left - opened.cast("int"), F.when(opened, F.concat(F.lit("("), core)).otherwise(core)
-    label = F.regexp_extract("core", r"^([A-Za-z][A-Za-z_-]{0,30})[=:](?=.)", 0)
-    c = (c.select("_id", "_h", F.col("x.s").alias("s0"), F.col("x.m").alias("m"), F.col("x.c").alias("c"), F.col("x.near").alias("near"))
-         .withColumn("core", core).withColumn("at", F.col("s0") + left).withColumn("label", label)
+    runs = c.select("_id", "_h", "x.s", "x.m", "x.c", "x.near")
+    c = (runs.select("_id", "_h", F.col("s").alias("s0"), "m", "c", "near", F.col("m").alias("run"))
+         .unionByName(_inside(runs), allowMissingColumns=True))
+    left, core = _core(F.col("m"))
+    c = (c.withColumn("core", core).withColumn("at", F.col("s0") + left).withColumn("label", _label(F.col("core")))
          .withColumn("v", F.substring(F.col("core"), F.char_length("label") + 1, F.char_length("core")))
          .withColumn("s", F.col("at") + F.char_length("label")).withColumn("e", F.col("s") + F.char_length("v"))
          .filter(F.col("v") != ""))
@@ -200,31 +248,35 @@ def occurrences(base: DataFrame) -> DataFrame:
         F.when(F.col("nw") >= 2, F.concat(F.lit("2 "), F.element_at("w", -2), F.lit(" "), F.element_at("w", -1))),
         F.when(F.col("label") != "", F.concat(F.lit("= "), F.lower("label")))))
     shapes = F.array_compact(F.array(*[F.when(_shape(k, F.col("v")), F.lit(i)) for i, k in enumerate(KINDS)]))
-    return written(c.select("_id", "_h", "s", "e", F.xxhash64("v").alias("v"), seed.alias("seed"), shapes.alias("shapes"), pats.alias("pats")), "pii-cands")
+    return written(c.select("_id", "_h", "s", "e", F.xxhash64("v").alias("v"), F.xxhash64(_value(F.col("run"))).alias("u"),
+                            seed.alias("seed"), shapes.alias("shapes"), pats.alias("pats")), "pii-cands")
 
 
 def discover(occ: DataFrame) -> DataFrame:
-    """(v, kind) of the instances that high-confidence patterns find."""
-    inst = written(occ.groupBy("v").agg(F.min("seed").alias("kind"), F.first("shapes", True).alias("shapes")), "pii-inst")
-    edges = written(occ.select("v", F.explode("pats").alias("p")).distinct(), "pii-edges")
+    """(v, kind) of the instances that high-confidence patterns find, and of the
+    seeds that also occur where no base entity is found."""
+    inst = written(occ.groupBy("v").agg(F.min("seed").alias("kind"), F.first("shapes", True).alias("shapes"),
+                                        F.bool_or(F.col("seed").isNull()).alias("free")), "pii-inst")
+    edges = written(occ.select("v", "u", F.explode("pats").alias("p")).distinct(), "pii-edges")
     known = written(inst.filter("kind IS NOT NULL").select("v", "kind"), "pii-known")
-    new = None
+    new = written(inst.filter("free AND array_contains(shapes, kind)").select("v", "kind"), "pii-new")
     for _ in range(ROUNDS):
-        stat = (edges.join(known, "v", "left").groupBy("p")
+        slots = edges.join(known, "v", "left").groupBy("p", "u").agg(F.min("kind").alias("kind"))
+        stat = (slots.groupBy("p")
                 .agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("kind") == i).alias(f"k{i}") for i in range(len(KINDS))]))
         sure = written(stat.select("p", "n", F.posexplode(F.array(*[f"k{i}" for i in range(len(KINDS))])).alias("kind", "k"))
                        .filter((F.col("k") >= MIN_KNOWN) & (F.col("k") >= MIN_CONFIDENCE * F.col("n")))
                        .select("p", "kind", F.least(F.col("k") / F.col("n"), F.lit(0.999)).alias("conf")), "pii-sure")
         free = inst.join(known.select("v"), "v", "left_anti").filter(F.size("shapes") > 0).select("v", "shapes")
-        score = (edges.join(free, "v").join(broadcast_if_small(sure), "p").filter(F.array_contains("shapes", F.col("kind")))
+        score = (edges.select("v", "p").distinct().join(free, "v").join(broadcast_if_small(sure), "p").filter(F.array_contains("shapes", F.col("kind")))
                  .groupBy("v", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("conf"))))).alias("score")).filter(F.col("score") >= MIN_SCORE))
         found = written(score.groupBy("v").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"))).alias("b"))
                         .select("v", (-F.col("b.k")).alias("kind")), "pii-found")
         if found.isEmpty():
             break
-        new = found if new is None else written(new.unionByName(found), "pii-new")
+        new = written(new.unionByName(found), "pii-new")
         known = written(known.unionByName(found), "pii-known")
-    return new if new is not None else known.limit(0)
+    return new
 
 
 def added_spans(base: DataFrame) -> DataFrame:
@@ -232,6 +284,8 @@ def added_spans(base: DataFrame) -> DataFrame:
     occ = occurrences(base)
     new = discover(occ)
     hit = occ.filter("seed IS NULL").join(broadcast_if_small(new), "v").select("_id", "_h", "kind", "s", "e").distinct()
+    before = Window.partitionBy("_id", "_h", "kind").orderBy("s", F.desc("e")).rowsBetween(Window.unboundedPreceding, -1)
+    hit = hit.withColumn("reach", F.max("e").over(before)).filter("reach IS NULL OR reach < e")
     return written(hit.groupBy("_id", "_h").agg(F.array_sort(F.collect_list(F.struct("kind", "s", "e"))).alias("added")), "pii-added")
 
 

@@ -319,6 +319,25 @@ def test_pii_discovers_by_context(spark):
     assert masked[100] == "please call office number <PHONE> now" and masked[3] == masked[100] and masked[101] == rows[21][1]
 
 
+def test_pii_discovers_inside_runs(spark):
+    """Identifiers beside other numbers, and beside base entities."""
+    rows = [(i, f"please call office number +1 (555) 555-{1000 + i} now, pay by card {c} now") for i, c in enumerate(CARDS)]
+    rows += [(100, "please call office number 555-1234, 555-9999 now"), (101, "call office number 555-777-1111 555-777-2222 555-777-3333 x"),
+             (102, f"see {CARDS[0]} {CARDS[1]} there"), (103, "write to a@b.co 555-1234 now"), (104, "see 555-777-1111 there 555-9999")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: set(filter(None, r.spans.split(","))) for r in pii.entities(docs).collect()}
+    assert got[100] == {"phone:26:34"}
+    assert got[101] == {"phone:19:31"} and got[104] == {"phone:4:16"}
+    assert got[102] == {"card:4:20", "card:21:37"}  # 32 digits are no card, but both occur elsewhere
+    assert got[103] == {"email:9:15", "phone:16:24"}
+    masked = {r.doc_id: r.text for r in pii.mask(docs).collect()}
+    assert masked[102] == "see <CARD> <CARD> there" and masked[103] == "write to <EMAIL> <PHONE> now"
+
+
+CARDS = [f"{n}{next(d for d in range(10) if sum(int(x) if k % 2 else sum(divmod(2 * int(x), 10)) for k, x in enumerate(f'{n}{d}')) % 10 == 0)}"
+         for n in range(411111111111000, 411111111111012)]
+
+
 def test_pii_text_full_of_entities(spark):
     """More matches than one block of positions holds, one text and several rows."""
     t = "mail a1@b.co\nnumber 4111 1111 1111 1111 x 1.2.3.4\n" * 600 + "7\n" * 900
