@@ -19,8 +19,7 @@ Bootstrapped contextual extraction then adds identifiers the patterns miss:
    ``MIN_CONFIDENCE``.
 3. An unknown instance whose shape fits the kind scores 1 - prod(1 - confidence)
    over the accepted patterns it occurs with anywhere; from ``MIN_SCORE`` on it is
-   known too, wherever it occurs, and the next round starts. ``ROUNDS`` at most,
-   or until nothing is new.
+   known too, wherever it occurs, and the next round starts, until nothing is new.
 4. Known instances are added wherever no base entity overlaps them; of nested ones
    of a kind the longest.
 
@@ -45,7 +44,6 @@ KINDS = ("email", "ip", "card", "phone")
 MIN_KNOWN = 5
 MIN_CONFIDENCE = 0.8
 MIN_SCORE = 0.8
-ROUNDS = 3
 CONTEXT = 48  # characters before a candidate that are looked at for its words
 PIECES = 256  # matches whose positions are summed in one go
 
@@ -260,7 +258,7 @@ def discover(occ: DataFrame) -> DataFrame:
     edges = written(occ.select("v", "u", F.explode("pats").alias("p")).distinct(), "pii-edges")
     known = written(inst.filter("kind IS NOT NULL").select("v", "kind"), "pii-known")
     new = written(inst.filter("free AND array_contains(shapes, kind)").select("v", "kind"), "pii-new")
-    for _ in range(ROUNDS):
+    while True:  # known only grows, and the instances are finite
         slots = edges.join(known, "v", "left").groupBy("p", "u").agg(F.min("kind").alias("kind"))
         stat = (slots.groupBy("p")
                 .agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("kind") == i).alias(f"k{i}") for i in range(len(KINDS))]))
@@ -273,10 +271,9 @@ def discover(occ: DataFrame) -> DataFrame:
         found = written(score.groupBy("v").agg(F.max(F.struct("score", (-F.col("kind")).alias("k"))).alias("b"))
                         .select("v", (-F.col("b.k")).alias("kind")), "pii-found")
         if found.isEmpty():
-            break
+            return new
         new = written(new.unionByName(found), "pii-new")
         known = written(known.unionByName(found), "pii-known")
-    return new
 
 
 def added_spans(base: DataFrame) -> DataFrame:

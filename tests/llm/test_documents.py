@@ -338,6 +338,18 @@ CARDS = [f"{n}{next(d for d in range(10) if sum(int(x) if k % 2 else sum(divmod(
          for n in range(411111111111000, 411111111111012)]
 
 
+def test_pii_rounds_go_on(spark):
+    """A chain of patterns: each link's instances are known by the one before."""
+    step = ["alpha one", "beta two", "gamma three", "delta four", "epsilon five"]
+    rows = [(99, "alpha one +1 555 555 9999 .")]
+    for k, words in enumerate(step):  # four seeds, one instance of the link before, and a new one
+        rows += [(10 * k + i, f"{words} +1 555 555 {k}{i}00 .") for i in range(4)]
+        rows += [(10 * k + 4 + j, f"{words} 555-{k + 1 - j}{k + 1 - j}0-1234 .") for j in range(2) if k + 1 - j]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = {r.doc_id: r.spans for r in pii.entities(docs).collect()}
+    assert all(spans.values()), spans
+
+
 def test_pii_text_full_of_entities(spark):
     """More matches than one block of positions holds, one text and several rows."""
     t = "mail a1@b.co\nnumber 4111 1111 1111 1111 x 1.2.3.4\n" * 600 + "7\n" * 900
