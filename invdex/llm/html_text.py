@@ -11,7 +11,11 @@ long, nearly link-free text.
 Left out before scoring: scripts, styles and other non-text elements, menus,
 page headers, footers, sidebars, forms, hidden parts, and blocks whose class, id
 or role names them as advert, notice, navigation, sharing box, related links or
-reader comments. A ``header`` inside an article belongs to the article.
+reader comments. A ``header`` inside an article belongs to the article. Apart
+from hidden parts, an element is never left out when it holds an article or the
+main part from outside, or, if only its attributes speak against it, most of the
+page's unlinked text: it and all below then score half. Ids of headings, and of
+sections with headings inside an article, are anchors and name nothing.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined in page order by newlines. The whole html is read;
@@ -50,6 +54,9 @@ notification alert popup popover modal overlay newsletter subscribe subscription
 navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar comment comments commentlist disqus discussion replies
 reply respond share sharing social related recommended recommendations recirculation widget widgets pagination pager search
 contentinfo complementary hidden advert adverts advertisement advertising skip""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# reasons against an element: hidden, its tag, its class or role, the id of a section in an article
+HIDDEN, TAG, NAME, ANCHOR = 1, 2, 3, 4
 PREFIX = frozenset("has with no without is".split())
 
 _TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/><]*)((?:[^<>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|["'=])*+)>|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)(?:>|\Z|(?=<))""", re.S)
@@ -57,27 +64,24 @@ _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:
 _WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
 
-def _unwanted(tag: str, attrs: str, in_article: bool) -> bool:
-    """Is this element, by its name or its attributes, not main text?"""
-    if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+def _unwanted(tag: str, attrs: str, in_article: bool) -> int:
+    """What says that this element is not main text (0: nothing)?"""
+    why = TAG if tag in DROPPED or (tag == "header" and not in_article) else 0
     if not attrs or tag in KEEP:
-        return False
+        return why
     for name, *vals in _ATTR.findall(attrs):
         name, val = name.lower(), next((v for v in vals if v), "")
         if name == "hidden" or (name == "aria-hidden" and val.lower() == "true"):
-            return True
+            return HIDDEN
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", val, re.I):
-                return True
-        elif name in ("class", "id", "role"):
+                return HIDDEN
+        elif name in ("class", "id", "role") and why not in (TAG, NAME) and not (name == "id" and tag in HEADINGS):
             for one in val.split():
                 words = {w.lower() for w in _WORD.findall(one)}
-                if words & NAMES and not words & PREFIX:
-                    return True
-                if "header" in words and not in_article:
-                    return True
-    return False
+                if not words & PREFIX and (words & NAMES or ("header" in words and not in_article)):
+                    why = ANCHOR if name == "id" and tag == "section" and in_article else NAME
+    return why
 
 
 class _Page:
@@ -85,6 +89,7 @@ class _Page:
 
     def __init__(self):
         self.parent, self.tag, self.out, self.art = [-1], [""], [False], [False]
+        self.why = [0]
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         self.stack: list[tuple[str, int]] = []        # open elements and their nodes
         self.open: dict[str, int] = {}
@@ -148,13 +153,14 @@ class _Page:
         if tag == "hr":
             return
         up = self.node()
-        bad = self.out[up] or _unwanted(tag, attrs, self.art[up])
+        why = HIDDEN if self.out[up] else _unwanted(tag, attrs, self.art[up])
         node = up
-        if block or (bad and not self.out[up]):  # an inline element left out gets a node of its own
+        if block or (why and not self.out[up]):  # an inline element left out gets a node of its own
             node = len(self.parent)
             self.parent.append(up)
             self.tag.append(tag)
-            self.out.append(bad)
+            self.out.append(why == HIDDEN)
+            self.why.append(why)
             self.art.append(self.art[up] or tag in ("article", "main"))
             if not block:
                 self.flush(up)  # what the block holds so far stays
@@ -191,11 +197,40 @@ def _parse(doc: str) -> _Page:
     return page
 
 
+def _leave_out(page: _Page) -> list[float]:
+    """Marks what is left out in ``page.out``, drops its blocks, and gives each
+    node the share of its score that counts."""
+    n = len(page.parent)
+    own, holds, heading = [0] * n, [False] * n, [False] * n
+    for node, text, in_links in page.blocks:
+        own[node] += len(text) - in_links
+    for k in range(n - 1, 0, -1):  # children come after their parents
+        up = page.parent[k]
+        own[up] += own[k]
+        # only articles with text of their own count
+        holds[up] |= holds[k] or (page.tag[k] in ("article", "main") and own[k] > 0 and not page.out[k])
+        heading[up] |= heading[k] or page.tag[k] in HEADINGS
+    share = [1.0] * n
+    for k in range(1, n):
+        up, why = page.parent[k], page.why[k]
+        share[k] = share[up]
+        if page.out[up]:
+            page.out[k] = True
+        elif why in (TAG, NAME) or (why == ANCHOR and not heading[k]):
+            if (holds[k] and not page.art[up]) or (why != TAG and own[k] * 2 > own[0]):
+                share[k] /= 2
+            else:
+                page.out[k] = True
+    page.blocks = [b for b in page.blocks if not page.out[b[0]]]
+    return share
+
+
 def main_text(doc: str) -> str:
     """The main text of one page."""
     if not doc:
         return ""
     page = _parse(doc)
+    share_of = _leave_out(page)
     if not page.blocks:
         return ""
     n = len(page.parent)
@@ -214,6 +249,7 @@ def main_text(doc: str) -> str:
     for k in range(n - 1, 0, -1):  # children come after their parents
         chars[page.parent[k]] += chars[k]
         linked[page.parent[k]] += linked[k]
+    score = [x * y for x, y in zip(score, share_of)]
     plain = lambda k: 1 - linked[k] / chars[k] if chars[k] else 0.0
     best = max(range(n), key=lambda k: (score[k] * plain(k), -k))
     k, chosen = best, {best}

@@ -37,6 +37,24 @@ def test_main_text(doc):
     assert html_text.main_text(doc) == PAGES[doc]
 
 
+BODY = "<p>First, a long paragraph of the story, with commas, and words.</p><p>Second one, also long enough, to count as text.</p>"
+STORY = "First, a long paragraph of the story, with commas, and words.\nSecond one, also long enough, to count as text."
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='site has-header'><article>{BODY}</article></div>", f"<div class='layout sidebar-left'><article>{BODY}</article></div>",
+    f"<form id='f'><div><main>{BODY}</main></div></form>", f"<div class='widget'>{BODY}</div><p class='ad'>buy</p>",
+    f"<div class='sidebar-left'><article>{BODY}<div class='ad'>buy</div></article><div class='comments'><p>Nice, very nice.</p></div></div>",
+    f"<div hidden><article>gone</article></div><article>{BODY}</article>"])
+def test_names_do_not_cut_the_page(page):
+    assert html_text.main_text(f"<html><body>{page}</body></html>") == STORY
+
+
+def test_anchors_of_sections_are_no_names():
+    page = f"<article>{BODY}<section id='discussion'><h2 id='related-work'>Related</h2><p>Kept.</p></section><h2 id='search'>Search</h2><section id='comments'><p>no</p></section></article>"
+    assert html_text.main_text(page) == STORY + "\nRelated\nKept.\nSearch"
+
+
 def test_extract_is_linear_on_odd_pages():
     assert html_text.main_text("<div>" * 30_000 + "deep") == "deep"
     assert html_text.main_text("<a href=\"" * 20_000 + "x") == ""
