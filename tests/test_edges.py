@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import write_corpus
+from corpus_helpers import write_corpus
 from invdex.operators import index as X
 from invdex.operators import search as S
 from invdex.sources.corpus import encode_query_text, file_count, list_corpus, read_directory

@@ -4,7 +4,7 @@ import, query files with line ids, text results, IN-list escaping."""
 import os
 
 
-from conftest import SF
+from corpus_helpers import SF
 from invdex.operators import compress as C
 from invdex.operators import index as X
 from invdex.operators import search as S

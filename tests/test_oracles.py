@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF
+from corpus_helpers import SF
 from invdex.plans.catalog import QUERIES
 from invdex.plans.oracles import ORACLES
 

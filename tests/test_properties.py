@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from conftest import SF
+from corpus_helpers import SF
 from invdex.operators import index as X
 from invdex.operators import search as S
 from invdex.operators.ids import dense_ids, global_rank_in_group

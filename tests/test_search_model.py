@@ -6,7 +6,7 @@ import random
 
 import pyarrow.parquet as pq
 
-from conftest import SF
+from corpus_helpers import SF
 from invdex.operators import index as X
 from invdex.operators import search as S
 from invdex.sources.corpus import documents_corpus

@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import write_corpus
+from corpus_helpers import write_corpus
 from invdex.operators import index as X
 from invdex.sources.corpus import read_directory
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import TOY, TOY_GOLDEN, TOY_QUERIES, write_corpus
+from corpus_helpers import TOY, TOY_GOLDEN, TOY_QUERIES, write_corpus
 from invdex.operators import compress as C
 from invdex.operators import index as X
 from invdex.operators import search as S
