@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, html_text, lm_score, mixing, pii, quality, simhash, toxicity, warc
+from . import (chat, decontaminate, fingerprints, html_text, lm_score, mixing, periodic_runs, pii, quality, ranked_search, simhash,
+               toxicity, warc)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.q_op1_decontaminate,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_pii": pii.q_op8_pii,
     "op9_warc": warc.q_op9_warc,
     "op10_quality": quality.q_op10_quality,
+    "op11_ranked_search": ranked_search.q_op11_ranked_search,
+    "op12_fingerprints": fingerprints.q_op12_fingerprints,
+    "op13_periodic_runs": periodic_runs.q_op13_periodic_runs,
 }
 
 # Queries without an entry are tested against brute force in tests/llm.
@@ -23,4 +27,5 @@ ORACLES = {
     "op3_mixing": mixing.ORACLE,
     "op4_chat": chat.ORACLE,
     "op9_warc": warc.ORACLE,
+    "op11_ranked_search": ranked_search.ORACLE,
 }

@@ -1,0 +1,136 @@
+"""Fingerprints against a plain digest, and neighbours against a plain order."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+import __spark_entry__ as E
+from invdex.llm import fingerprints as P
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_bin(window):
+    s = sum(P._F[window.count(bytes([c]))] for c in set(window))
+    return int((P._FULL - s) * 1000 // P._FULL)
+
+
+def plain_features(data, rank):
+    """Selected windows of one text, distinct, in text order."""
+    if not data:
+        return []
+    if len(data) < 64:
+        return [data]
+    r = [(rank[plain_bin(data[i:i + 64])], i) for i in range(len(data) - 63)]
+    runs = [r[j:j + 64] for j in range(len(r) - 63)] or [r]
+    wins = {}
+    for run in runs:
+        at = min(run)[1]
+        wins[at] = wins.get(at, 0) + 1
+    least = min(16, max(wins.values()))
+    return list(dict.fromkeys(data[i:i + 64] for i in sorted(wins) if wins[i] >= least))
+
+
+@pytest.fixture(scope="module")
+def rank():
+    rng = np.random.default_rng(3)
+    return rng.permutation(1001).astype(np.int64)
+
+
+def texts():
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij é") for _ in range(rng.randrange(1, 9))) for _ in range(80)]
+    out = ["", "a", "x" * 63, "x" * 64, "ab" * 40, "q" * 500, "x" * 126, "x" * 127, ""]
+    return out + [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 150))) for _ in range(40)] + [""]
+
+
+def test_entropy():
+    data = " ".join(texts()).encode()[:3000]
+    got = P.entropy_bins(np.frombuffer(data, np.uint8))
+    assert got.tolist() == [plain_bin(data[i:i + 64]) for i in range(len(data) - 63)]
+    assert P.entropy_bins(np.frombuffer(bytes(range(64)), np.uint8)).tolist() == [1000]
+    assert P.entropy_bins(np.frombuffer(b"a" * 64, np.uint8)).tolist() == [0]
+    h = -sum(p * math.log2(p) for p in (0.5, 0.25, 0.25))
+    assert abs(P.entropy_bins(np.frombuffer(b"a" * 32 + b"b" * 16 + b"c" * 16, np.uint8))[0] - 1000 * h / 6) <= 1
+
+
+def test_features_of_many_rows(rank):
+    ts = [t.encode() for t in texts()]
+    buf = np.frombuffer(b"".join(ts), np.uint8)
+    off = np.concatenate(([0], np.cumsum([len(t) for t in ts])))
+    row, h = P._features(buf, off, rank)
+    for k, t in enumerate(ts):
+        want = plain_features(t, rank)
+        each = [P._hashes(np.frombuffer(f, np.uint8), np.array([0]), np.array([len(f)]))[0] for f in want]
+        assert h[row == k].tolist() == [int(x) for x in each]
+
+
+def test_digests(rank):
+    ts = texts()
+    alone = [P.digests(pa.array([t]), rank)[0].text for t in ts]
+    assert [d.text for d in P.digests(pa.array(ts), rank)] == alone
+    # runs of one letter hold one feature, however long they are
+    assert alone[0] == "" and len(set(alone)) == len(set(ts)) - 2
+    long = P.digests(pa.array([" ".join(ts * 9) + str(range(5000))]), rank)[0]
+    assert len(long.counts) > 1 and (long.counts[:-1] == P.FEATURES).all()
+    back = P.Digest.read(long.text)
+    assert back.text == long.text and (back.bits == long.bits).all() and P.likeness(back, long) == 1.0
+
+
+def test_likeness(rank):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    a, b = (" ".join(word() for _ in range(900)) for _ in range(2))
+    d = lambda t: P.digests(pa.array([t]), rank)[0]
+    assert P.likeness(d(""), d("")) == 1.0 and P.likeness(d(""), d("a")) == 0.0 == P.likeness(d("a"), d(""))
+    assert P.likeness(d(a), d(a)) == 1.0 and P.likeness(d(a), d(b)) < 0.02
+    assert P.likeness(d(a), d(P.edited(a, b))) == P.likeness(d(P.edited(a, b)), d(a)) > 0.5
+    assert P.likeness(d(a), d(a[:3000] + b[:3000])) < P.likeness(d(a), d(P.edited(a, b)))
+
+
+def plain_next(rows):
+    """(doc_id, text, next text) in ascending order, nulls first."""
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    return [(x[0], x[1] or "", y[1] or "") for x, y in zip(order, order[1:] + order[:1])]
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_query(spark, parts):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = {r.doc_id: r for r in E.queries()["op12_fingerprints"](spark, SF).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rank = P.rarity(docs)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert len(got) == len(rows)
+    for i, t, after in plain_next(rows):
+        new = P.edited(t, after)
+        a, b, c = P.digests(pa.array([t, new, after]), rank)
+        assert tuple(got[i]) == (i, len(t), hashlib.sha256(new.encode()).hexdigest(), a.text, b.text, P.likeness(a, b), P.likeness(a, c))
+
+
+def test_edges(spark, edge, nothing):
+    out = P.with_next(edge).collect()
+    rows = [(r.doc_id, r.text) for r in edge.select("doc_id", "text").collect()]
+    assert len(out) == len(rows)
+    assert sorted((r.n_chars for r in out)) == sorted(len(t or "") for _, t in rows)
+    by_id = {r.doc_id: r for r in out if r.doc_id not in (None, 6)}
+    order = [x for x in plain_next(rows) if x[0] not in (None, 6)]
+    for i, t, after in order:
+        assert by_id[i].edited_sha256 == hashlib.sha256(P.edited(t, after).encode()).hexdigest()
+    assert by_id[1].fingerprint == "" and by_id[1].near_next == 1.0 and by_id[2].near_next == 0.0
+    assert len({r.fingerprint for r in out if r.doc_id == 6}) == 1
+    assert P.with_next(nothing).collect() == []
+    one = P.with_next(edge.where("doc_id = 7")).collect()
+    assert len(one) == 1 and one[0].near_next == 1.0
+    kept = P.fingerprint(edge)
+    assert set(edge.columns) < set(kept.columns) and kept.count() == len(rows)
+    near = P.compare(kept.select("doc_id", "fingerprint", kept.fingerprint.alias("other")), "fingerprint", "other")
+    assert {r.near for r in near.collect()} == {1.0}
