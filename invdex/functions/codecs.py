@@ -205,17 +205,19 @@ def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 def encode_batches(batches):
     """C1 + C3 + C5 as a mapInArrow function: (term_id, seg, base, dids) to
-    (term_id, seg, base, n, vb, gamma, gamma_pad), without a Python object per list."""
+    (term_id, seg, base, n, first, last, vb, gamma, gamma_pad), without a Python
+    object per list. Lists aren't empty."""
     for b in batches:
         lists = b.column("dids")
         counts = np.asarray(lists.value_lengths().to_numpy(zero_copy_only=False), np.int64)
         ids = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), np.int64)
         gaps = _batch_gaps(ids, counts, b.column("base").to_numpy(zero_copy_only=False))
         data, sizes, pad = _gamma(gaps, counts)
+        ends = np.cumsum(counts)
         yield pa.RecordBatch.from_arrays(
-            [b.column("term_id"), b.column("seg"), b.column("base"), pa.array(counts), _binary(*_vb(gaps, counts)),
-             _binary(data, sizes), pa.array(pad.astype(np.int32))],
-            names=["term_id", "seg", "base", "n", "vb", "gamma", "gamma_pad"])
+            [b.column("term_id"), b.column("seg"), b.column("base"), pa.array(counts), pa.array(ids[ends - counts]), pa.array(ids[ends - 1]),
+             _binary(*_vb(gaps, counts)), _binary(data, sizes), pa.array(pad.astype(np.int32))],
+            names=["term_id", "seg", "base", "n", "first", "last", "vb", "gamma", "gamma_pad"])
 
 
 @F.pandas_udf(BinaryType())
@@ -224,52 +226,48 @@ def vb_encode_gaps(gaps: pd.Series) -> pd.Series:
     return pd.Series(vb_encode_batch(*_flat(gaps)), dtype=object)
 
 
-@F.pandas_udf(ArrayType(LongType()))
-def ungap_ids(gaps: pd.Series, base: pd.Series) -> pd.Series:
-    """Running sums plus base, in linear time."""
-    return pd.Series([np.cumsum(np.asarray(g, np.int64)) + b for g, b in zip(gaps, base)], dtype=object)
+# ---------------------------------------------------------------- C4 / C6 decoders
 
+def _ids(gaps: np.ndarray, counts: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """C2 for a whole batch: one running sum, restarted at each list's base."""
+    run = np.cumsum(gaps)
+    starts = np.cumsum(counts) - counts
+    before = np.where(starts > 0, run[np.maximum(starts - 1, 0)], 0) if len(run) else np.zeros(len(counts), np.int64)
+    return run + np.repeat(base - before, counts)
+
+
+def _vb_decode_batch(a: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of all lists, numbers per list) from the bytes of all lists:
+    every byte >= 128 ends a number, digits are summed with their place value."""
+    ends = np.flatnonzero(a >= 128)
+    if not len(ends):
+        return np.zeros(0, np.int64), np.zeros(len(lens), np.int64)
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    place = np.repeat(ends, ends - starts + 1) - np.arange(ends[-1] + 1)
+    vals = np.add.reduceat(np.left_shift(a[:ends[-1] + 1].astype(np.int64) & 127, 7 * place), starts)
+    stops = np.cumsum(lens)
+    return vals, np.diff(np.concatenate(([0], np.searchsorted(ends, stops - 1, side="right"))))
 
-# ---------------------------------------------------------------- C4 / C6 decoders
 
 @F.pandas_udf(ArrayType(LongType()))
 def vb_decode_ids(buf: pd.Series, base: pd.Series) -> pd.Series:
-    """C4 + C2: VB bytes of one segment -> its doc ids (base + running sum).
-
-    The whole Arrow batch is decoded at once: bytes are concatenated, every
-    byte >= 128 ends a number, and digits are summed with their place value."""
+    """C4 + C2: VB bytes of one segment -> its doc ids (base + running sum)."""
     lens = np.fromiter((len(b) for b in buf), dtype=np.int64, count=len(buf))
-    if lens.sum() == 0:
-        return pd.Series([np.zeros(0, dtype=np.int64) for _ in range(len(buf))])
-    a = np.frombuffer(b"".join(buf), dtype=np.uint8).astype(np.int64)
-    term = a >= 128
-    ends = np.flatnonzero(term)
-    num_of_byte = np.cumsum(term) - term            # index of the number each byte belongs to
-    place = ends[num_of_byte] - np.arange(a.size)   # 0 for the last byte of a number
-    vals = np.zeros(ends.size, dtype=np.int64)
-    np.add.at(vals, num_of_byte, np.left_shift(a & 127, 7 * place))
-    # numbers per segment: terminators inside each segment's byte range
-    stops = np.cumsum(lens)
-    counts = np.diff(np.concatenate(([0], np.searchsorted(ends, stops - 1, side="right"))))
-    starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
-    run = np.cumsum(vals)
-    before = np.where(starts > 0, run[np.maximum(starts - 1, 0)], 0)
-    ids = run - np.repeat(before, counts) + np.repeat(base.to_numpy(dtype=np.int64), counts)
-    return pd.Series(np.split(ids, np.cumsum(counts)[:-1]))
+    gaps, counts = _vb_decode_batch(np.frombuffer(b"".join(buf), np.uint8), lens)
+    return pd.Series(np.split(_ids(gaps, counts, base.to_numpy(dtype=np.int64)), np.cumsum(counts)[:-1]))
 
 
-def _gamma_decode_batch(bufs, pads) -> tuple[np.ndarray, np.ndarray]:
+def _gamma_decode_batch(data: np.ndarray, lens: np.ndarray, pads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Decode the gamma bit strings of many segments at once.
 
     Returns (values, counts): all gaps in segment order and the number of
     gaps per segment. Every step decodes the next code of every segment that
     still has bits, so the Python loop runs once per code position (at most
     the segment width), not once per number."""
-    lens = np.fromiter((len(b) for b in bufs), dtype=np.int64, count=len(bufs))
-    n = len(bufs)
+    n = len(lens)
     if n == 0 or lens.sum() == 0:
         return np.zeros(0, dtype=np.int64), np.zeros(n, dtype=np.int64)
-    bits = np.unpackbits(np.frombuffer(b"".join(bytes(b) for b in bufs), dtype=np.uint8))
+    bits = np.unpackbits(data)
     ends = np.cumsum(lens) * 8
     pos = ends - lens * 8 + np.asarray(pads, dtype=np.int64)
     # run of ones starting at every bit: distance to the next zero
@@ -302,11 +300,64 @@ def _gamma_decode_batch(bufs, pads) -> tuple[np.ndarray, np.ndarray]:
 @F.pandas_udf(ArrayType(LongType()))
 def gamma_decode_ids(buf: pd.Series, pad: pd.Series, base: pd.Series) -> pd.Series:
     """C6 + C2: gamma bytes of one segment (with its front pad) -> doc ids."""
-    gaps, counts = _gamma_decode_batch(list(buf), pad.to_numpy(dtype=np.int64))
-    if gaps.size == 0:
-        return pd.Series([np.zeros(0, dtype=np.int64) for _ in range(len(buf))])
-    run = np.cumsum(gaps)
-    starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
-    before = np.where(starts > 0, run[np.maximum(starts - 1, 0)], 0)
-    ids = run - np.repeat(before, counts) + np.repeat(base.to_numpy(dtype=np.int64), counts)
-    return pd.Series(np.split(ids, np.cumsum(counts)[:-1]))
+    lens = np.fromiter((len(b) for b in buf), dtype=np.int64, count=len(buf))
+    gaps, counts = _gamma_decode_batch(np.frombuffer(b"".join(buf), np.uint8), lens, pad.to_numpy(dtype=np.int64))
+    return pd.Series(np.split(_ids(gaps, counts, base.to_numpy(dtype=np.int64)), np.cumsum(counts)[:-1]))
+
+
+# ---------------------------------------------------------------- whole batches
+
+def _raw(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all values, bytes per value) of a binary column."""
+    col = col.cast(pa.binary())
+    off = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
+    data = np.frombuffer(col.buffers()[2] or b"", np.uint8)
+    return data[off[0]:off[-1]], np.diff(off)
+
+
+def _numbers(col: pa.Array) -> np.ndarray:
+    return np.asarray(col.to_numpy(zero_copy_only=False), np.int64)
+
+
+def _vb_column(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return _vb_decode_batch(*_raw(b.column("vb")))
+
+
+def _gamma_column(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return _gamma_decode_batch(*_raw(b.column("gamma")), _numbers(b.column("gamma_pad")))
+
+
+def _gap_column(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return _numbers(b.column("gaps").flatten()), _numbers(b.column("gaps").value_lengths())
+
+
+# how each stored form gives its gaps; with the column(s) it is read from
+FORMS = {"vb": (_vb_column, ["vb"]), "gamma": (_gamma_column, ["gamma", "gamma_pad"]), "gaps": (_gap_column, ["gaps"])}
+
+
+def id_batches(form: str):
+    """C4 or C6 and C2 as a mapInArrow function: lists of gaps in that form to
+    (term_id, did) rows, without a Python object per list."""
+    read = FORMS[form][0]
+
+    def run(batches):
+        for b in batches:
+            gaps, counts = read(b)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(_numbers(b.column("term_id")), counts)),
+                                              pa.array(_ids(gaps, counts, _numbers(b.column("base"))))], names=["term_id", "did"])
+
+    return run
+
+
+def list_batches(form: str):
+    """As ``id_batches``, but one row per list: (term_id, seg, dids)."""
+    read = FORMS[form][0]
+
+    def run(batches):
+        for b in batches:
+            gaps, counts = read(b)
+            ends = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+            ids = pa.ListArray.from_arrays(ends, pa.array(_ids(gaps, counts, _numbers(b.column("base")))))
+            yield pa.RecordBatch.from_arrays([b.column("term_id"), b.column("seg"), ids], names=["term_id", "seg", "dids"])
+
+    return run

@@ -6,10 +6,14 @@ gap reference the whole-list coding of the reference would use there. Each
 segment is therefore decodable on its own, and VB segment bytes joined in
 ``seg`` order are exactly the whole-list bytes.
 
-``base`` is found from the long-form postings with a two-level lag so that no task ever sees a whole
-stop-word list: level 1 inside groups of FANOUT consecutive segments,
-level 2 over the per-group maxima of one term (at most
-max_doc_id / (SEGMENT * FANOUT) rows per term).
+``base`` comes from a two-level lag, so that no task ever sees a whole stop-word
+list: level 1 inside groups of FANOUT consecutive segments, level 2 over the
+per-group maxima of one term (at most max_doc_id / (SEGMENT * FANOUT) rows per
+term). The lists are built once, dealt by group, so level 1 needs no shuffle of
+its own; level 2 reads two narrow columns of the written lists.
+
+``skips(term_id, seg, first, last, n)`` is the narrow table that search uses to
+decide which segments have to be decoded.
 """
 
 from __future__ import annotations
@@ -18,40 +22,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.codecs import encode_batches, gamma_decode_ids, gaps_array, vb_decode_ids
-from .index import SEGMENT, seg_of, segment_lists
+from ..functions.codecs import FORMS, encode_batches, gaps_array, id_batches, list_batches
+from ..session import stored
+from .index import SEGMENT, seg_of
+from .skew import broadcast_if_small
 
 FANOUT = 1024
-
-
-def segment_bases(post: DataFrame, seg_width: int = SEGMENT, fanout: int = FANOUT) -> DataFrame:
-    """(term_id, seg, base) from long-form postings.
-
-    The last id of every segment is a fixed-width, partially aggregated
-    max; the lags then run on that lean table, never on id arrays."""
-    lean = (
-        post.withColumn("seg", seg_of("did", seg_width))
-        .groupBy("term_id", "seg").agg(F.max("did").alias("_last"))
-        .withColumn("_hi", F.expr(f"seg div {int(fanout)}"))
-    )
-    lvl1 = lean.withColumn("_prev", F.lag("_last").over(Window.partitionBy("term_id", "_hi").orderBy("seg")))
-    lvl2 = (
-        lean.groupBy("term_id", "_hi").agg(F.max("_last").alias("_hi_last"))
-        .withColumn("_hi_prev", F.lag("_hi_last").over(Window.partitionBy("term_id").orderBy("_hi")))
-        .select("term_id", "_hi", "_hi_prev")
-    )
-    return lvl1.join(lvl2, ["term_id", "_hi"]).select(
-        "term_id", "seg", F.coalesce("_prev", "_hi_prev", F.lit(0).cast("bigint")).alias("base")
-    )
+ENCODED = ("term_id bigint, seg bigint, base bigint, n bigint, first bigint, last bigint, vb binary, gamma binary, "
+           "gamma_pad int")
+SKIPS = ["term_id", "seg", "first", "last", "n"]
 
 
 def segments(post: DataFrame, seg_width: int = SEGMENT, fanout: int = FANOUT) -> DataFrame:
-    """(term_id, seg, base, dids) from long-form postings. The lists keep the
-    partitioning of their own group-by; only the lean bases are shuffled to
-    meet them."""
-    lists = segment_lists(post, seg_width=seg_width)
-    return lists.join(segment_bases(post, seg_width, fanout), ["term_id", "seg"]).select(
-        "term_id", "seg", "base", "dids")
+    """(term_id, seg, base, dids) from long-form postings (each pair once). One
+    shuffle, by (term_id, group of segments): at most ``seg_width * fanout`` ids
+    share a key."""
+    rows = post.withColumn("seg", seg_of("did", seg_width)).withColumn("_hi", F.expr(f"seg div {int(fanout)}"))
+    lists = (rows.repartition("term_id", "_hi").groupBy("term_id", "_hi", "seg").agg(F.array_sort(F.collect_list("did")).alias("dids"))
+             .withColumn("_last", F.element_at("dids", -1)))
+    in_group = Window.partitionBy("term_id", "_hi").orderBy("seg")
+    lists = stored(lists.withColumn("_prev", F.lag("_last").over(in_group)), "lists")
+    groups = (lists.groupBy("term_id", "_hi").agg(F.max("_last").alias("_hi_last"))
+              .withColumn("_hi_prev", F.lag("_hi_last").over(Window.partitionBy("term_id").orderBy("_hi")))
+              .where(F.col("_hi_prev").isNotNull()).select("term_id", "_hi", "_hi_prev"))
+    # only a group's first segment lacks a base; terms within one group have none to add
+    return lists.join(broadcast_if_small(groups), ["term_id", "_hi"], "left").select(
+        "term_id", "seg", F.coalesce("_prev", "_hi_prev", F.lit(0).cast("bigint")).alias("base"), "dids")
 
 
 def gap_segments(segs: DataFrame) -> DataFrame:
@@ -59,21 +55,35 @@ def gap_segments(segs: DataFrame) -> DataFrame:
     return segs.withColumn("gaps", gaps_array("dids", "base"))
 
 
+def ungap(gaps: DataFrame) -> DataFrame:
+    """(term_id, did) from lists of gaps and their bases."""
+    return gaps.select("term_id", "base", "gaps").mapInArrow(id_batches("gaps"), "term_id bigint, did bigint")
+
+
 def encode(segs: DataFrame) -> DataFrame:
     """C3 + C5: the compressed index, one row per (term_id, seg):
-    n, base, vb (binary), gamma (binary), gamma_pad."""
-    return segs.select("term_id", "seg", "base", "dids").mapInArrow(
-        encode_batches, "term_id bigint, seg bigint, base bigint, n bigint, vb binary, gamma binary, gamma_pad int")
+    base, n, first, last, vb (binary), gamma (binary), gamma_pad."""
+    return segs.select("term_id", "seg", "base", "dids").mapInArrow(encode_batches, ENCODED)
+
+
+def _ids(enc: DataFrame, form: str) -> DataFrame:
+    return enc.select("term_id", "base", *FORMS[form][1]).mapInArrow(id_batches(form), "term_id bigint, did bigint")
 
 
 def decode_vb(enc: DataFrame) -> DataFrame:
     """C4 + C2: (term_id, did) from VB segments."""
-    return enc.select("term_id", F.explode(vb_decode_ids("vb", "base")).alias("did"))
+    return _ids(enc, "vb")
 
 
 def decode_gamma(enc: DataFrame) -> DataFrame:
     """C6 + C2: (term_id, did) from gamma segments."""
-    return enc.select("term_id", F.explode(gamma_decode_ids("gamma", "gamma_pad", "base")).alias("did"))
+    return _ids(enc, "gamma")
+
+
+def decode_lists(enc: DataFrame, form: str) -> DataFrame:
+    """C4 or C6 with C2, one row per segment: (term_id, seg, dids)."""
+    return enc.select("term_id", "seg", "base", *FORMS[form][1]).mapInArrow(
+        list_batches(form), "term_id bigint, seg bigint, dids array<bigint>")
 
 
 def index_size(post: DataFrame, enc: DataFrame) -> DataFrame:

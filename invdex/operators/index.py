@@ -3,11 +3,17 @@
 Data flow of a build (``build_index``)::
 
     corpus(block, file, text)
-      -> doc_dict(did, block, file, doc_name)          I1: dense ids from 1
-      -> doc_terms(did, dpos, token)                   P1: distinct tokens per doc
+      -> keyed_terms(key, block, file, terms)          row-local: provisional document keys, distinct
+                                                       tokens; written once, the text never moves
+      -> doc_dict(did, block, file, doc_name)          I1: dense ids from 1, from the names alone
       -> word_dict(term_id, token, df)                 I2: dense ids from 0 by first occurrence
-      -> postings(term_id, did)                        A1+A5: join on token (checked broadcast
-                                                       of the dictionary, else salted shuffle join)
+      -> postings(term_id, did)                        A1+A5
+
+Keys become ids on narrow rows only. A key map that passes the size check is
+broadcast into the rows of tokens. A larger one is met by rows of three numbers:
+tokens first become provisional term numbers (checked broadcast of the words,
+else salted shuffle join), then (key, dpos, number) rows meet the key map on the
+key, which no document makes heavy, and the term ids on the number, salted.
 
 Every id is a pure function of the corpus, so rebuilding, merging blocks or
 growing the index block by block gives the same tables.
@@ -17,11 +23,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import distinct_tokens, doc_name, tokens
+from ..session import stored
 from .ids import dense_ids
 from .skew import is_small, salted_join
 
@@ -35,12 +41,24 @@ def seg_of(did_col: str = "did", seg_width: int = SEGMENT):
     return F.expr(f"({did_col} - 1) div {int(seg_width)}")
 
 
+def keyed_terms(corpus: DataFrame) -> DataFrame:
+    """(key, block, file, terms): every document under a provisional key, with
+    its distinct tokens in order of first occurrence. Built row by row in the
+    scan's own tasks and written, which fixes the keys."""
+    return stored(corpus.select(F.monotonically_increasing_id().alias("key"), "block", "file",
+                                distinct_tokens("text").alias("terms")), "doc-terms")
+
+
+def keyed_docs(corpus: DataFrame, start: int = 1) -> DataFrame:
+    """I1 + P2 with the provisional keys of ``keyed_terms``, if there are any."""
+    cols = [c for c in ("block", "file", "key") if c in corpus.columns]
+    return dense_ids(corpus.select(*cols), cols, "did", start=start).select(
+        "did", "block", "file", doc_name("block", "file").alias("doc_name"), *cols[2:])
+
+
 def doc_dict(corpus: DataFrame) -> DataFrame:
     """I1 + P2: ``did`` from 1 in (block, file) byte order; ``doc_name``."""
-    keys = corpus.select("block", "file")
-    return dense_ids(keys, ["block", "file"], "did", start=1).select(
-        "did", "block", "file", doc_name("block", "file").alias("doc_name")
-    )
+    return keyed_docs(corpus).drop("key")
 
 
 def check_keys(docs: DataFrame) -> None:
@@ -52,22 +70,26 @@ def check_keys(docs: DataFrame) -> None:
         raise ValueError(f"document key is null or not unique: block={bad[0]['block']!r}, file={bad[0]['file']!r}")
 
 
-def with_doc_ids(corpus: DataFrame, docs: DataFrame) -> DataFrame:
-    """Attach ``did`` to the documents (one shuffle of the text on the
-    unique key (block, file); no key is hot)."""
-    return corpus.join(docs.select("block", "file", "did"), ["block", "file"])
+def swap_keys(rows: DataFrame, docs: DataFrame, key: list[str], small: bool | None = None) -> DataFrame:
+    """Narrow ``rows`` with the columns ``key`` replaced by ``did``. The map is
+    broadcast if its size allows, else shuffled; no document is a hot key."""
+    ids = docs.select(*key, "did")
+    if small is None:
+        small = is_small(ids)
+    return rows.join(F.broadcast(ids) if small else ids, key).drop(*key)
 
 
-def token_positions(corpus_with_ids: DataFrame) -> DataFrame:
-    """One row per token occurrence: (did, pos, token), pos from 0."""
-    return corpus_with_ids.select("did", F.posexplode(tokens("text")).alias("pos", "token")).select(
-        "did", F.col("pos").cast("bigint").alias("pos"), "token")
+def token_positions(corpus: DataFrame, docs: DataFrame) -> DataFrame:
+    """One row per token occurrence: (did, pos, token), pos from 0. Tokenised
+    in the scan's tasks; only (block, file, pos, token) rows meet the ids."""
+    rows = corpus.select("block", "file", F.posexplode(tokens("text")).alias("pos", "token"))
+    return swap_keys(rows, docs, ["block", "file"]).select("did", F.col("pos").cast("bigint").alias("pos"), "token")
 
 
-def doc_terms(corpus_with_ids: DataFrame) -> DataFrame:
-    """Each (did, token) once, with ``dpos`` = rank of its first occurrence
-    among the document's distinct tokens. Built row-locally, no shuffle."""
-    return corpus_with_ids.select("did", F.posexplode(distinct_tokens("text")).alias("dpos", "token"))
+def doc_terms(keyed: DataFrame) -> DataFrame:
+    """Each (key, token) once, with ``dpos`` = rank of its first occurrence
+    among the document's distinct tokens."""
+    return keyed.select("key", F.posexplode("terms").alias("dpos", "token"))
 
 
 def word_dict(terms: DataFrame) -> DataFrame:
@@ -103,9 +125,9 @@ def postings(terms: DataFrame, words: DataFrame) -> DataFrame:
     return attach_term_ids(terms.select("did", "token"), words).select("term_id", "did")
 
 
-def occurrences(corpus_with_ids: DataFrame, words: DataFrame) -> DataFrame:
+def occurrences(corpus: DataFrame, docs: DataFrame, words: DataFrame) -> DataFrame:
     """A1: every occurrence, duplicates kept: (did, pos, term_id)."""
-    return attach_term_ids(token_positions(corpus_with_ids), words).select("did", "pos", "term_id")
+    return attach_term_ids(token_positions(corpus, docs), words).select("did", "pos", "term_id")
 
 
 def document_frequency(post: DataFrame) -> DataFrame:
@@ -126,11 +148,12 @@ def segment_lists(post: DataFrame, extra_keys: tuple[str, ...] = (), seg_width:
     )
 
 
-def block_postings(corpus_with_ids: DataFrame, words: DataFrame) -> DataFrame:
-    """A3: per block, per term, the sorted distinct doc ids (segmented)."""
-    terms = corpus_with_ids.select("block", "did", F.explode(distinct_tokens("text")).alias("token"))
-    post = attach_term_ids(terms, words)
-    return segment_lists(post.select("block", "term_id", "did"), extra_keys=("block",))
+def block_postings(post: DataFrame, docs: DataFrame) -> DataFrame:
+    """A3: per block, per term, the sorted distinct doc ids (segmented). The
+    postings meet the doc dictionary's (did, block), not the texts."""
+    blocks = docs.select("did", "block")
+    rows = post.join(F.broadcast(blocks) if is_small(blocks) else blocks, "did")
+    return segment_lists(rows.select("block", "term_id", "did"), extra_keys=("block",))
 
 
 def merge_blocks(*block_lists: DataFrame) -> DataFrame:
@@ -155,22 +178,35 @@ class InvertedIndex:
     doc_dict: DataFrame    # did, block, file, doc_name
     word_dict: DataFrame   # term_id, token, df
     postings: DataFrame    # term_id, did
-    doc_terms: DataFrame | None = None   # did, dpos, token (persisted working set of a build)
-    corpus: DataFrame | None = None      # block, file, text, did (a build's input)
+    corpus: DataFrame | None = None      # block, file, text (a build's input)
+
 
-    def release(self) -> None:
-        if self.doc_terms is not None:
-            self.doc_terms.unpersist()
+def _narrow_index(terms: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(word_dict, postings) when the key map is too large to broadcast: tokens
+    become provisional numbers before anything is shuffled by document."""
+    counted = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    seen = stored(counted.withColumn("term_id", F.monotonically_increasing_id()), "seen-words")  # unique, not dense
+    numbered = attach_term_ids(terms, seen, "key").select("key", "dpos", F.col("term_id").alias("_no"))
+    rows = stored(swap_keys(numbered, docs, ["key"], small=False), "numbered-postings")
+    first = rows.groupBy("_no").agg(F.min("did").alias("_fdid"), F.min_by("dpos", "did").alias("_fpos"))
+    words = stored(dense_ids(first.join(seen.withColumnRenamed("term_id", "_no"), "_no"), ["_fdid", "_fpos"], "term_id", start=0)
+                   .select("term_id", "token", "df", "_no"), "word-dict")
+    ids = words.select("_no", "term_id", "df")
+    post = rows.join(F.broadcast(ids), "_no") if is_small(ids) else salted_join(rows, ids, "_no", "df", "did")
+    return words.drop("_no"), post.select("term_id", "did")
 
 
 def build_index(corpus: DataFrame) -> InvertedIndex:
-    """A5: the full build in one pass of shuffles (no merge queue)."""
-    docs = doc_dict(corpus)
+    """A5: the full build in one pass of shuffles (no merge queue). What is read
+    twice is written to the shared folder, so a lost executor costs no rebuild."""
+    keyed = keyed_terms(corpus)
+    docs = stored(keyed_docs(keyed), "doc-dict")
     check_keys(docs)
-    with_ids = with_doc_ids(corpus, docs)
-    # Used twice (word statistics, then postings): keep it instead of
-    # re-reading and re-shuffling the text. Lost blocks are recomputed
-    # from lineage, so an executor loss is harmless.
-    terms = doc_terms(with_ids).persist(StorageLevel.MEMORY_AND_DISK)
-    words = word_dict(terms)
-    return InvertedIndex(docs, words, postings(terms, words), terms, with_ids)
+    terms = doc_terms(keyed)
+    if is_small(docs.select("key", "did")):
+        rows = swap_keys(terms, docs, ["key"], small=True)
+        words = stored(word_dict(rows), "word-dict")
+        post = postings(rows, words)
+    else:
+        words, post = _narrow_index(terms, docs)
+    return InvertedIndex(docs.drop("key"), words, post, corpus)

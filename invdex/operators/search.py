@@ -21,9 +21,15 @@ Plan, for a batch:
           largest result is known to fit one task, else a global numbering
           that splits a huge result across partitions.
 
-Postings are read only for the batch's terms (a semi-join, or a literal
+Postings are read only for the batch's terms (a broadcast semi-join, or a literal
 ``term_id IN (...)`` that Parquet row-group statistics prune when the index
-is stored sorted by term and the term set is small).
+is stored sorted by term and the term set is small). A batch too large to
+broadcast meets the postings in salted joins.
+
+Over compressed lists (``skip_hits``) steps 4 and 5 run on segments first: the
+rarest term's segments, from the narrow skip table, name the segments of the
+other terms; a segment counts only if every term has it and their id ranges
+overlap. Only those lists are read and decoded, each once, and intersected.
 """
 
 from __future__ import annotations
@@ -110,13 +116,15 @@ def answerable(lookup: DataFrame) -> DataFrame:
 
 
 def _batch_postings(post: DataFrame, lookup: DataFrame, seek: bool, small: bool) -> DataFrame:
-    """Postings restricted to the batch's known terms."""
+    """Postings restricted to the batch's known terms. A batch too large to
+    broadcast isn't filtered here: a semi-join on term_id would bring all postings
+    of a stop word into one task, and the salted joins that follow drop the rest."""
     term_ids = lookup.where(F.col("term_id").isNotNull()).select("term_id").distinct()
     if seek:
         ids = [r[0] for r in term_ids.limit(MAX_SEEK_TERMS + 1).collect()]
         if len(ids) <= MAX_SEEK_TERMS:
             return post.where(in_list("term_id", ids))
-    return post.join(F.broadcast(term_ids) if small else term_ids, "term_id", "left_semi")
+    return post.join(F.broadcast(term_ids), "term_id", "left_semi") if small else post
 
 
 def lookup_is_small(lookup: DataFrame) -> bool:
@@ -140,7 +148,9 @@ def conjunctive_hits(post: DataFrame, lookup: DataFrame, seek: bool = False, sma
     ok = answerable(lookup)
     bp = _batch_postings(post, lookup, seek, small)
     if decode is not None:
-        bp = decode(bp)
+        if not small:
+            bp = bp.join(lookup.select("term_id").distinct(), "term_id", "left_semi")  # a term's lists, not its ids
+        bp = stored(decode(bp), "batch-postings")  # read by the candidates and by the checks
     first = ok.select("query_id", "n_terms", "rare_df", F.col("rare_term").alias("term_id"))
     needed = (
         lookup.join(ok.select("query_id", "rare_term", "rare_df"), "query_id")
@@ -167,23 +177,91 @@ def conjunctive_hits(post: DataFrame, lookup: DataFrame, seek: bool = False, sma
     )
 
 
-def intersect_lists(seg_lists: DataFrame, lookup: DataFrame) -> DataFrame:
+def _by_query(rows: DataFrame, terms: DataFrame, weight: str, spread: str, small: bool) -> DataFrame:
+    """``rows`` joined with the batch's (query_id, ...) ``terms``; a query that owns
+    many rows is salted."""
+    if small:
+        return rows.join(F.broadcast(terms.drop(weight)), "query_id")
+    return salted_join(rows, terms, "query_id", weight, spread).drop(weight)
+
+
+def _rare_segments(skips: DataFrame, ok: DataFrame, small: bool) -> DataFrame:
+    """The segments of each query's rarest term."""
+    first = ok.select("query_id", "n_terms", "rare_df", F.col("rare_term").alias("term_id"))
+    rows = skips.join(F.broadcast(first), "term_id") if small else salted_join(skips, first, "term_id", "rare_df", "seg")
+    return rows.drop("rare_df")
+
+
+def segment_plan(skips: DataFrame, lookup: DataFrame, small: bool | None = None) -> DataFrame:
+    """Q3 on segments: (query_id, seg, n_terms) where every term of the query has
+    ids, in overlapping ranges. Starts from the rarest term's segments; the other
+    terms' rows are met on (term_id, seg), which is unique."""
+    if small is None:
+        small = lookup_is_small(lookup)
+    ok = answerable(lookup)
+    rare = _rare_segments(skips, ok, small).select("query_id", "seg", "n_terms", "first", "last")
+    needed = (lookup.join(ok.select("query_id", "rare_term", "rare_df"), "query_id")
+              .where(F.col("term_id") != F.col("rare_term")).select("query_id", "term_id", "rare_df"))
+    checks = _by_query(rare.where("n_terms > 1").withColumnsRenamed({"first": "_rf", "last": "_rl"}), needed, "rare_df", "seg", small)
+    met = checks.join(skips.select("term_id", "seg", "first", "last"), ["term_id", "seg"])
+    counted = met.groupBy("query_id", "seg", "n_terms").agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.greatest("first", "_rf")).alias("_from"), F.min(F.least("last", "_rl")).alias("_to"))
+    return (counted.where("_n = n_terms - 1 AND _from <= _to").select("query_id", "seg", "n_terms")
+            .unionByName(rare.where("n_terms = 1").select("query_id", "seg", "n_terms")))
+
+
+def skip_hits(enc: DataFrame, skips: DataFrame, lookup: DataFrame, decode: Callable[[DataFrame], DataFrame],
+              seek: bool = False, small: bool | None = None) -> DataFrame:
+    """Q3 + Q5 over compressed lists: (query_id, did). ``decode`` gives (term_id,
+    seg, dids); below it the lists are reduced to those that ``segment_plan``
+    names, so stop words cost the segments their partners touch."""
+    if small is None:
+        small = lookup_is_small(lookup)
+    plan = segment_plan(skips, lookup, small)
+    known = lookup.join(answerable(lookup).select("query_id", "rare_df"), "query_id").select("query_id", "term_id", "rare_df")
+    pairs = stored(_by_query(plan, known, "rare_df", "seg", small), "segment-pairs")
+    wanted = pairs.groupBy("term_id", "seg").agg(F.count(F.lit(1)).alias("_w"))
+    lists = _batch_postings(enc, lookup, seek, small) if seek else enc
+    # decoded once; a segment that many queries want is salted by its number of them
+    found = stored(decode(lists.join(broadcast_if_small(wanted.select("term_id", "seg")), ["term_id", "seg"], "left_semi")), "segment-lists")
+    key = F.struct("term_id", "seg").alias("_key")
+    if is_small(found):
+        rows = pairs.join(F.broadcast(found), ["term_id", "seg"])
+    else:
+        weighted = found.join(wanted, ["term_id", "seg"]).select(key, "_w", "dids")
+        rows = salted_join(pairs.select("query_id", "n_terms", key), weighted, "_key", "_w", "query_id")
+    return (rows.select("query_id", "n_terms", F.explode("dids").alias("did")).groupBy("query_id", "did", "n_terms")
+            .agg(F.count(F.lit(1)).alias("_n")).where("_n = n_terms").select("query_id", "did"))
+
+
+def skip_report(skips: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Per query, the segments of its known terms and those that have to be
+    decoded: (query_id, n_segments, n_decoded)."""
+    small = lookup_is_small(lookup)
+    per_term = skips.groupBy("term_id").agg(F.count(F.lit(1)).alias("_segs"))
+    have = lookup.where(F.col("term_id").isNotNull()).select("query_id", "term_id", "df")
+    mine = per_term.join(F.broadcast(have), "term_id") if small else salted_join(have, per_term, "term_id", "_segs", "query_id")
+    all_ = mine.groupBy("query_id").agg(F.sum("_segs").alias("n_segments"))
+    read = segment_plan(skips, lookup, small).groupBy("query_id").agg(F.sum("n_terms").alias("n_decoded"))
+    return (lookup.select("query_id").distinct().join(all_, "query_id", "left").join(read, "query_id", "left")
+            .select("query_id", F.coalesce("n_segments", F.lit(0)).cast("bigint").alias("n_segments"),
+                    F.coalesce("n_decoded", F.lit(0)).cast("bigint").alias("n_decoded")))
+
+
+def intersect_lists(seg_lists: DataFrame, lookup: DataFrame, small: bool | None = None) -> DataFrame:
     """Q3 in array form: per query, intersect the segment arrays of its terms.
 
     Only segments where the rarest term has ids are touched; a segment that
-    lacks any term drops out because fewer than n arrays arrive."""
-    ok = broadcast_if_small(answerable(lookup))
-    rare_segs = (
-        ok.select("query_id", F.col("rare_term").alias("term_id"))
-        .join(seg_lists.select("term_id", "seg"), "term_id")
-        .select("query_id", "seg")
-    )
-    needed = lookup.join(ok.select("query_id"), "query_id").select("query_id", "term_id")
-    per_term = rare_segs.join(broadcast_if_small(needed), "query_id").join(seg_lists, ["term_id", "seg"])
-    grouped = per_term.groupBy("query_id", "seg").agg(
-        F.collect_list("dids").alias("_lists"), F.count(F.lit(1)).alias("_k")
-    )
-    joined = grouped.join(ok.select("query_id", "n_terms"), "query_id").where(F.col("_k") == F.col("n_terms"))
+    lacks any term drops out because fewer than n arrays arrive. Joins on a term
+    or query are broadcast or salted, as in the long form."""
+    if small is None:
+        small = lookup_is_small(lookup)
+    ok = answerable(lookup)
+    rare_segs = _rare_segments(seg_lists.select("term_id", "seg"), ok, small).select("query_id", "seg", "n_terms")
+    needed = lookup.join(ok.select("query_id", "rare_df"), "query_id").select("query_id", "term_id", "rare_df")
+    per_term = _by_query(rare_segs, needed, "rare_df", "seg", small).join(seg_lists, ["term_id", "seg"])
+    joined = per_term.groupBy("query_id", "seg", "n_terms").agg(
+        F.collect_list("dids").alias("_lists"), F.count(F.lit(1)).alias("_k")).where(F.col("_k") == F.col("n_terms"))
     # Rarest (shortest) list first, then fold with array_intersect.
     ordered = F.array_sort("_lists", lambda a, b: F.size(a) - F.size(b))
     inter = F.aggregate(F.slice(ordered, 2, 1 << 30), F.element_at(ordered, 1),
@@ -223,15 +301,20 @@ def sort_results(results: DataFrame, max_group: int | None = None) -> DataFrame:
 
 
 def search(post: DataFrame, words: DataFrame, docs: DataFrame, queries: DataFrame, seek: bool = False,
-           decode: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+           decode: Callable[[DataFrame], DataFrame] | None = None, skips: DataFrame | None = None) -> DataFrame:
     """Q5 end to end: (query_id, rank, doc_name).
 
-    Two small tables (the batch's term lookup and the named results) are
-    written to the shared folder, so that the size checks do not recompute the
-    work and nothing stays cached. ``decode``: see ``conjunctive_hits``."""
+    Small tables (the batch's term lookup, the hits and the named results) are
+    written to the shared folder, so that the size checks and the branches do not
+    recompute the work and nothing stays cached. ``decode``: see
+    ``conjunctive_hits``; with ``skips``, see ``skip_hits``."""
     lookup = stored(term_lookup(parse_queries(queries), words, seek=seek), "lookup")
-    hits = conjunctive_hits(post, lookup, seek=seek, small=lookup_is_small(lookup), decode=decode)
-    named = stored(name_results(hits, docs, lookup), "named")
+    small = lookup_is_small(lookup)
+    if skips is not None:
+        hits = skip_hits(post, skips, lookup, decode, seek=seek, small=small)
+    else:
+        hits = conjunctive_hits(post, lookup, seek=seek, small=small, decode=decode)
+    named = stored(name_results(stored(hits, "hits"), docs, lookup), "named")
     return sort_results(named, largest_group(named))
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codecs import ungap_ids, vb_encode_gaps
+from ..functions.codecs import vb_encode_gaps
 from ..operators import compress as C
 from ..operators import index as X
 from ..operators import search as S
@@ -41,7 +41,7 @@ def segments_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     segs = _CACHE.get(key)
     if segs is None:
         # Reused by every codec query: cut the lineage once.
-        segs = C.segments(index_for(spark, sf_dir).postings).checkpoint(eager=True)
+        segs = stored(C.segments(index_for(spark, sf_dir).postings), "segments")
         _CACHE[key] = segs
     return segs
 
@@ -75,13 +75,14 @@ def q_word_dict(spark, sf_dir):
 
 def q_tokenize(spark, sf_dir):
     """Every token occurrence with its position."""
-    return X.token_positions(index_for(spark, sf_dir).corpus)
+    ix = index_for(spark, sf_dir)
+    return X.token_positions(ix.corpus, ix.doc_dict)
 
 
 def q_occurrences(spark, sf_dir):
     """A1: occurrence list (term_id, did), duplicates kept, with position."""
     ix = index_for(spark, sf_dir)
-    return X.occurrences(ix.corpus, ix.word_dict)
+    return X.occurrences(ix.corpus, ix.doc_dict, ix.word_dict)
 
 
 def q_postings(spark, sf_dir):
@@ -103,7 +104,7 @@ def q_segment_lists(spark, sf_dir):
 def q_block_postings(spark, sf_dir):
     """A3: per-block posting lists."""
     ix = index_for(spark, sf_dir)
-    bl = X.block_postings(ix.corpus, ix.word_dict)
+    bl = X.block_postings(ix.postings, ix.doc_dict)
     return bl.select("block", "term_id", "seg", _ids_text().alias("doc_ids"))
 
 
@@ -112,7 +113,7 @@ def q_merge_blocks(spark, sf_dir):
     the doc ids, merged with those of the other blocks; equal to the full
     build's lists."""
     ix = index_for(spark, sf_dir)
-    bl = stored(X.block_postings(ix.corpus, ix.word_dict), "block-lists")
+    bl = stored(X.block_postings(ix.postings, ix.doc_dict), "block-lists")
     half = ix.doc_dict.count() // 2
     starts = ix.doc_dict.groupBy("block").agg(F.min("did").alias("_first"))
     tagged = bl.join(broadcast_if_small(starts), "block")
@@ -137,8 +138,7 @@ def q_gaps(spark, sf_dir):
 
 def q_ungap(spark, sf_dir):
     """Gaps back to doc ids."""
-    g = C.gap_segments(segments_for(spark, sf_dir))
-    return g.select("term_id", F.explode(ungap_ids("gaps", "base")).alias("did"))
+    return C.ungap(C.gap_segments(segments_for(spark, sf_dir)))
 
 
 def q_vb_encode(spark, sf_dir):
@@ -274,21 +274,29 @@ def q_stored_gamma_decode(spark, sf_dir):
     return C.decode_gamma(IO.read_compressed(spark, stored_index_for(spark, sf_dir)))
 
 
-def _search_compressed(spark, sf_dir, queries, decode):
+def _search_compressed(spark, sf_dir, queries, form):
     root = stored_index_for(spark, sf_dir)
     ix = IO.read_index(spark, root)
-    return S.search(IO.read_compressed(spark, root), ix.word_dict, ix.doc_dict, queries, seek=True, decode=decode)
+    return S.search(IO.read_compressed(spark, root), ix.word_dict, ix.doc_dict, queries, seek=True,
+                    decode=lambda enc: C.decode_lists(enc, form), skips=IO.read_skips(spark, root))
 
 
 def q_search_vb(spark, sf_dir):
-    """Q1-Q8 over the stored VB lists: only the dev queries' lists are read
-    and decoded."""
-    return _search_compressed(spark, sf_dir, W.dev_queries(spark), C.decode_vb)
+    """Q1-Q8 over the stored VB lists: only the segments that the dev queries'
+    rarest terms touch are read and decoded."""
+    return _search_compressed(spark, sf_dir, W.dev_queries(spark), "vb")
 
 
 def q_search_gamma(spark, sf_dir):
     """Q1-Q8 over the stored gamma lists, for every benchmark passage."""
-    return _search_compressed(spark, sf_dir, W.benchmark_queries(spark, sf_dir), C.decode_gamma)
+    return _search_compressed(spark, sf_dir, W.benchmark_queries(spark, sf_dir), "gamma")
+
+
+def q_skip_segments(spark, sf_dir):
+    """Q3 + C4/C6: per benchmark and dev query, the segments of its terms and those
+    that search decodes."""
+    queries = W.benchmark_queries(spark, sf_dir).unionByName(W.dev_queries(spark, -1))
+    return S.skip_report(IO.read_skips(spark, stored_index_for(spark, sf_dir)), _lookup(spark, sf_dir, queries))
 
 
 def q_term_stats(spark, sf_dir):
@@ -408,6 +416,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_index_search": q_stream_index_search,
     "search_vb": q_search_vb,
     "search_gamma": q_search_gamma,
+    "skip_segments": q_skip_segments,
     "term_stats": q_term_stats,
     "directory_scan": q_directory_scan,
 }

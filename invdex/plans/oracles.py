@@ -161,6 +161,16 @@ ORACLES: dict[str, str] = {
     "stream_index_search": _search(dev_queries_sql()),
     "directory_scan": "SELECT coalesce(source, '') AS block, CAST(doc_id AS VARCHAR) AS file, "
                       "CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes, md5(coalesce(text, '')) AS md5 FROM documents",
+    "skip_segments": _with(DOCS, TOKS, WORDS, POST, *_qterms(f"(SELECT * FROM {BENCHMARK_QUERIES_SQL} UNION ALL "
+                                                            f"SELECT * FROM {dev_queries_sql(-1)})"),
+                           f"sk AS (SELECT term_id, (did - 1) // {SEG} AS seg, min(did) AS f, max(did) AS l FROM post GROUP BY 1, 2)",
+                           "known AS (SELECT query_id, count(term_id) AS k FROM lk GROUP BY query_id)",
+                           "met AS (SELECT query_id, seg, count(*) AS c, max(f) AS f, min(l) AS l FROM lk JOIN sk USING (term_id) GROUP BY 1, 2)",
+                           "rd AS (SELECT query_id, sum(n) AS n_decoded FROM met JOIN nq USING (query_id) JOIN known USING (query_id) "
+                           "WHERE k = n AND c = n AND f <= l GROUP BY 1)",
+                           "al AS (SELECT query_id, sum(c) AS n_segments FROM met GROUP BY 1)")
+    + """SELECT query_id, CAST(coalesce(n_segments, 0) AS BIGINT) AS n_segments, CAST(coalesce(n_decoded, 0) AS BIGINT) AS n_decoded
+  FROM nq LEFT JOIN al USING (query_id) LEFT JOIN rd USING (query_id)""",
     "term_stats": _index(GAPS, f"pt AS (SELECT term_id, count(*) AS df, sum(length({VBHEX})) // 2 AS vb, "
                                f"sum(length({GAMMA})) AS bits FROM gp GROUP BY 1)")
     + """SELECT term_id, df, CAST(vb AS BIGINT) AS vb_bytes, CAST((bits + 7) // 8 AS BIGINT) AS gamma_bytes,

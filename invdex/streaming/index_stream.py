@@ -7,24 +7,30 @@ order of first occurrence. Postings of the batch are appended. When the
 micro-batches arrive in ascending (block, file) order - as the reference
 processes its blocks - the result equals a batch build of all documents.
 
-State lives in Parquet tables under ``state_dir``, one folder per epoch
-(``epoch=<id>``): doc_dict, word_dict, word_df, postings, and a one-row
-counters table with the next doc and term ids. Readers use only epochs that
-have counters (written last). A replayed epoch reads only earlier epochs and
-overwrites its own folders, so replays are harmless. ``stage_corpus`` orders
-its files by modification time, so it needs a store that keeps set times
-(local, HDFS).
+State lives in Parquet tables under ``state_dir``: per epoch (``epoch=<id>``)
+doc_dict, word_df, postings, runs and a one-row counters table with the next doc
+and term ids. Readers use only epochs that have counters (written last). A
+replayed epoch reads only earlier epochs and overwrites its own folders, so
+replays are harmless. ``stage_corpus`` orders its files by modification time, so
+it needs a store that keeps set times (local, HDFS).
+
+The dictionary is a list of runs, newest last. An epoch writes one run,
+``word_runs/run=<epoch>``: its new words, merged with the newest runs as long as
+those aren't over twice as large, so sizes fall geometrically and about log2(words) runs live
+(a word is rewritten about as often). A run is dealt by token hash into folders of
+about ``BUCKET_WORDS`` words. An epoch looks its tokens up only in the folders
+that their hashes name, so what it reads of the dictionary follows its own
+tokens and not the epochs before it. ``runs/epoch=<id>`` lists the live runs.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ids import dense_ids
-from ..functions.text import doc_name
-from ..operators.index import InvertedIndex, attach_term_ids, doc_terms, explode_lists, merge_blocks, segment_lists
+from ..operators.index import (InvertedIndex, attach_term_ids, doc_terms, explode_lists, keyed_docs, keyed_terms, merge_blocks,
+                               segment_lists, swap_keys)
 from ..operators.skew import broadcast_if_small
 from ..session import stored
 from ..sources.index_store import read_index, write_index
@@ -33,6 +39,10 @@ CORPUS_SCHEMA = "block string, file string, text string"
 DOCS = "did bigint, block string, file string, doc_name string"
 WORDS = "term_id bigint, token string"
 POSTS = "term_id bigint, did bigint"
+RUNS = "run bigint, n_words bigint, buckets bigint"
+BUCKET_WORDS = 1 << 18
+# Above so many folders to look into, the folders aren't listed in the filter.
+MAX_BUCKETS_LISTED = 10_000
 
 
 def stage_corpus(corpus: DataFrame, source_dir: str, num_files: int) -> None:
@@ -77,6 +87,86 @@ def _next_ids(spark: SparkSession, state_dir: str, epoch_id: int) -> tuple[int,
     return (int(row[0]) if row[0] is not None else 1, int(row[1]) if row[1] is not None else 0)
 
 
+def live_runs(spark: SparkSession, state_dir: str, before: int | None = None) -> list:
+    """The dictionary's runs after the last committed epoch, oldest first (about
+    log2(words) of them)."""
+    runs = _epochs(spark, state_dir, "runs", RUNS, before)
+    rows = runs.join(F.broadcast(runs.agg(F.max("epoch").alias("epoch"))), "epoch").orderBy("run").collect()
+    return [(r["run"], r["n_words"], r["buckets"]) for r in rows]
+
+
+def _run(spark: SparkSession, state_dir: str, run: int, slots: list[int] | None = None, buckets: int = 1) -> DataFrame:
+    """A run's words; only those in the folders that hash slots fall into."""
+    df = spark.read.schema(WORDS + ", bucket bigint").parquet(f"{state_dir}/word_runs/run={run}")
+    if slots is not None:
+        df = df.where(F.col("bucket").isin(sorted({s % buckets for s in slots})))
+    return df.select("term_id", "token")
+
+
+def _all_words(spark: SparkSession, state_dir: str, runs: list) -> DataFrame:
+    df = spark.createDataFrame([], WORDS)
+    for run, _, _ in runs:
+        df = df.unionByName(_run(spark, state_dir, run))
+    return df
+
+
+def known_words(tokens: DataFrame, state_dir: str, runs: list) -> DataFrame:
+    """(term_id, token) of those ``tokens`` that the runs hold. Numbers of folders
+    are powers of two, so slots of the largest run name the folders of all."""
+    spark = tokens.sparkSession
+    most = max([b for _, _, b in runs], default=1)
+    slots = [r[0] for r in tokens.select(F.pmod(F.xxhash64("token"), F.lit(most))).distinct().limit(MAX_BUCKETS_LISTED + 1).collect()]
+    slots = slots if len(slots) <= MAX_BUCKETS_LISTED else None
+    df = spark.createDataFrame([], WORDS)
+    for run, _, buckets in runs:
+        df = df.unionByName(_run(spark, state_dir, run, slots, buckets))
+    return df.join(tokens.select("token"), "token", "left_semi").select("term_id", "token")
+
+
+def _write_run(new_words: DataFrame, n_new: int, state_dir: str, epoch_id: int, runs: list) -> list:
+    """Writes the epoch's run, which takes in the newest runs that are at most
+    twice as large as what it holds so far; returns the live runs."""
+    spark, words, n = new_words.sparkSession, new_words, n_new
+    runs = list(runs)
+    while runs and runs[-1][1] <= 2 * n:
+        run, size, _ = runs.pop()
+        words, n = words.unionByName(_run(spark, state_dir, run)), n + size
+    if not n:
+        return runs
+    buckets = 1 << max(0, (n - 1).bit_length() - (BUCKET_WORDS - 1).bit_length())
+    parts = min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (words.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets))).repartition(parts, "bucket")
+     .sortWithinPartitions("bucket", "token").write.mode("overwrite").partitionBy("bucket").parquet(f"{state_dir}/word_runs/run={epoch_id}"))
+    return [*runs, (epoch_id, n, buckets)]
+
+
+def grow(batch: DataFrame, epoch_id: int, state_dir: str) -> None:
+    """One epoch: ids for the batch's documents and new words, and its postings."""
+    s = batch.sparkSession
+    next_did, next_term = _next_ids(s, state_dir, epoch_id)
+    runs = live_runs(s, state_dir, epoch_id)
+    # tokenised once per epoch and written; the texts don't move
+    keyed = keyed_terms(batch)
+    docs = stored(keyed_docs(keyed, next_did), "epoch-docs")
+    docs.drop("key").write.mode("overwrite").parquet(f"{state_dir}/doc_dict/epoch={epoch_id}")
+    terms = swap_keys(doc_terms(keyed), docs, ["key"])
+    stats = stored(terms.groupBy("token").agg(
+        F.min("did").alias("_fdid"), F.min_by("dpos", "did").alias("_fpos"), F.count(F.lit(1)).alias("df")), "epoch-words")
+    known = stored(known_words(stats, state_dir, runs), "known-words")
+    fresh = stats.join(known, "token", "left_anti").select("token", "_fdid", "_fpos")
+    new_words = stored(dense_ids(fresh, ["_fdid", "_fpos"], "term_id", start=next_term).select("term_id", "token"), "new-words")
+    n_new = new_words.count()
+    runs = _write_run(new_words, n_new, state_dir, epoch_id, runs)
+    s.createDataFrame(runs, RUNS).write.mode("overwrite").parquet(f"{state_dir}/runs/epoch={epoch_id}")
+    words_b = known.unionByName(new_words).join(stats.select("token", "df"), "token")
+    words_b.select("term_id", "df").write.mode("overwrite").parquet(f"{state_dir}/word_df/epoch={epoch_id}")
+    post = attach_term_ids(terms.select("did", "token"), words_b).select("term_id", "did")
+    post.write.mode("overwrite").parquet(f"{state_dir}/postings/epoch={epoch_id}")
+    # counters last: an epoch without them is not read, and is replayed
+    s.createDataFrame([(next_did + docs.count(), next_term + n_new)], "next_did bigint, next_term bigint") \
+        .write.mode("overwrite").parquet(f"{state_dir}/counters/epoch={epoch_id}")
+
+
 def start_index_stream(spark: SparkSession, source_dir: str, state_dir: str, checkpoint_dir: str,
                        available_now: bool = True, files_per_trigger: int = 1):
     docs = (
@@ -84,44 +174,15 @@ def start_index_stream(spark: SparkSession, source_dir: str, state_dir: str, che
         .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(source_dir)
     )
-
-    def grow(batch: DataFrame, epoch_id: int) -> None:
-        s = batch.sparkSession
-        next_did, next_term = _next_ids(s, state_dir, epoch_id)
-        old_words = _epochs(s, state_dir, "word_dict", WORDS, epoch_id).drop("epoch")
-
-        ids = dense_ids(batch.select("block", "file"), ["block", "file"], "did", start=next_did)
-        ids = ids.select("did", "block", "file", doc_name("block", "file").alias("doc_name"))
-        ids.write.mode("overwrite").parquet(f"{state_dir}/doc_dict/epoch={epoch_id}")
-        ids = s.read.schema(DOCS).parquet(f"{state_dir}/doc_dict/epoch={epoch_id}")
-        # tokenised once per epoch; statistics, ids and postings read the result
-        terms = doc_terms(batch.join(ids.select("block", "file", "did"), ["block", "file"])).persist(StorageLevel.MEMORY_AND_DISK)
-        stats = terms.groupBy("token").agg(
-            F.min("did").alias("_fdid"), F.min_by("dpos", "did").alias("_fpos"), F.count(F.lit(1)).alias("df")
-        ).persist(StorageLevel.MEMORY_AND_DISK)
-        known = stored(old_words.join(stats.select("token"), "token", "left_semi").select("term_id", "token"), "known-words")
-        fresh = stats.join(known, "token", "left_anti").select("token", "_fdid", "_fpos")
-        new_words = dense_ids(fresh, ["_fdid", "_fpos"], "term_id", start=next_term).select("term_id", "token")
-        new_words.write.mode("overwrite").parquet(f"{state_dir}/word_dict/epoch={epoch_id}")
-        new_words = s.read.schema(WORDS).parquet(f"{state_dir}/word_dict/epoch={epoch_id}")
-        words_b = known.unionByName(new_words).join(stats.select("token", "df"), "token")
-        words_b.select("term_id", "df").write.mode("overwrite").parquet(f"{state_dir}/word_df/epoch={epoch_id}")
-        post = attach_term_ids(terms.select("did", "token"), words_b).select("term_id", "did")
-        post.write.mode("overwrite").parquet(f"{state_dir}/postings/epoch={epoch_id}")
-        # counters last: an epoch without them is not read, and is replayed
-        s.createDataFrame([(next_did + ids.count(), next_term + new_words.count())], "next_did bigint, next_term bigint") \
-            .write.mode("overwrite").parquet(f"{state_dir}/counters/epoch={epoch_id}")
-        stats.unpersist()
-        terms.unpersist()
-
-    w = docs.writeStream.foreachBatch(grow).option("checkpointLocation", checkpoint_dir)
+    w = docs.writeStream.foreachBatch(lambda batch, epoch_id: grow(batch, epoch_id, state_dir))
+    w = w.option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
 def read_stream_index(spark: SparkSession, state_dir: str) -> dict[str, DataFrame]:
     """The committed epochs as one index; ``df`` is summed over the epochs."""
-    words = _epochs(spark, state_dir, "word_dict", WORDS).drop("epoch")
+    words = _all_words(spark, state_dir, live_runs(spark, state_dir))
     df = _epochs(spark, state_dir, "word_df", "term_id bigint, df bigint").groupBy("term_id").agg(F.sum("df").alias("df"))
     return {
         "doc_dict": _epochs(spark, state_dir, "doc_dict", DOCS).drop("epoch"),

@@ -41,7 +41,7 @@ def test_global_rank_matches_window(spark):
 
 
 def test_merge_equals_build(spark, ix):
-    bl = X.block_postings(ix.corpus, ix.word_dict)
+    bl = X.block_postings(ix.postings, ix.doc_dict)
     blocks = [r.block for r in bl.select("block").distinct().collect()]
     merged = X.merge_blocks(*[bl.where(F.col("block") == b) for b in blocks])
     full = X.segment_lists(ix.postings)
@@ -94,7 +94,7 @@ def test_stream_search_equals_batch(spark, ix):
 
 def test_salted_join_equals_plain_join(spark, ix):
     from invdex.operators.skew import salted_join
-    rows = ix.doc_terms.select("did", "token")
+    rows = X.token_positions(ix.corpus, ix.doc_dict).select("did", "token").distinct()
     w = ix.word_dict.select("token", "term_id", "df")
     salted = salted_join(rows, w, "token", "df", "did", hot_keys=16, buckets=5).select("term_id", "did")
     plain = rows.join(w, "token").select("term_id", "did")

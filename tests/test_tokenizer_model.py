@@ -27,7 +27,7 @@ def test_random_corpus_matches_model(spark, tmp_path):
     expected_order = sorted(files, key=lambda k: tuple(p.encode() for p in k.split("/")))
     got_order = [r.doc_name for r in ix.doc_dict.orderBy("did").collect()]
     assert got_order == expected_order
-    toks = (X.token_positions(ix.corpus).join(ix.doc_dict.select("did", "doc_name"), "did")
+    toks = (X.token_positions(ix.corpus, ix.doc_dict).join(ix.doc_dict.select("did", "doc_name"), "did")
             .groupBy("doc_name").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("t"))
             .collect())
     got = {r.doc_name: [x.token.encode("latin-1") for x in r.t] for r in toks}

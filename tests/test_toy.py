@@ -58,7 +58,7 @@ def test_word_dict_and_postings(toy):
 
 def test_block_postings(toy):
     corpus, ix = toy
-    bl = X.block_postings(ix.corpus, ix.word_dict).collect()
+    bl = X.block_postings(ix.postings, ix.doc_dict).collect()
     got = {(r.block, r.term_id): list(r.dids) for r in bl}
     expect = {}
     for block, spec in {"0": "0:1 1:1 2:1 3:1 4:1,2 5:2 6:2 7:2 8:2",
@@ -68,7 +68,7 @@ def test_block_postings(toy):
             t, ids = item.split(":")
             expect[(block, int(t))] = [int(x) for x in ids.split(",")]
     assert got == expect
-    merged = X.merge_blocks(*[X.block_postings(ix.corpus, ix.word_dict).where(F.col("block") == b)
+    merged = X.merge_blocks(*[X.block_postings(ix.postings, ix.doc_dict).where(F.col("block") == b)
                               for b in ["0", "1", "2"]])
     assert sorted((r.term_id, list(r.dids)) for r in merged.collect()) == \
         sorted((v[0], v[2]) for v in TERMS.values())

@@ -25,7 +25,8 @@ def main() -> None:
     IO.write_index(ix, root)
     st = IO.read_index(spark, root)
     plans = {
-        "word statistics (first occurrence, df)": ix.doc_terms.groupBy("token").count(),
+        "documents under provisional keys": X.doc_terms(X.keyed_terms(ix.corpus)),
+        "occurrences": X.occurrences(ix.corpus, ix.doc_dict, ix.word_dict),
         "postings (salted token -> term_id join)": ix.postings,
         "segments with gap bases": C.segments(st.postings),
         "encode VB + gamma": C.encode(C.segments(st.postings)),
