@@ -22,32 +22,63 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.codecs import FORMS, encode_batches, gaps_array, id_batches, list_batches
+from ..functions.codecs import FORMS, encode_batches, gaps_array, id_batches, list_batches, merge_batches
 from ..session import stored
 from .index import SEGMENT, seg_of
-from .skew import broadcast_if_small
+from .skew import broadcast_if_small, is_small
 
 FANOUT = 1024
 ENCODED = ("term_id bigint, seg bigint, base bigint, n bigint, first bigint, last bigint, vb binary, gamma binary, "
            "gamma_pad int")
+ENCODED_COLUMNS = [c.split()[0] for c in ENCODED.split(", ")]
 SKIPS = ["term_id", "seg", "first", "last", "n"]
 
 
-def segments(post: DataFrame, seg_width: int = SEGMENT, fanout: int = FANOUT) -> DataFrame:
-    """(term_id, seg, base, dids) from long-form postings (each pair once). One
-    shuffle, by (term_id, group of segments): at most ``seg_width * fanout`` ids
-    share a key."""
+def _with_bases(rows: DataFrame, keys: list[str], order: str, last: str, tag: str) -> DataFrame:
+    """``rows`` (written) with ``_base``: the ``last`` of the row before, per ``keys``.
+    They are dealt by (keys, _hi), within which a window may run; groups further
+    back count by their largest ``last``."""
+    in_group = Window.partitionBy(*keys, "_hi").orderBy(order)
+    rows = stored(rows.withColumn("_prev", F.lag(last).over(in_group)), tag)
+    groups = (rows.groupBy(*keys, "_hi").agg(F.max(last).alias("_hi_last"))
+              .withColumn("_hi_prev", F.lag("_hi_last").over(Window.partitionBy(*keys).orderBy("_hi")))
+              .where(F.col("_hi_prev").isNotNull()).select(*keys, "_hi", "_hi_prev"))
+    # only a group's first row lacks a base; terms within one group have none to add
+    return (rows.join(broadcast_if_small(groups), [*keys, "_hi"], "left")
+            .withColumn("_base", F.coalesce("_prev", "_hi_prev", F.lit(0).cast("bigint"))).drop("_prev", "_hi_prev"))
+
+
+def segments(post: DataFrame, seg_width: int = SEGMENT, fanout: int = FANOUT, extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """(extra_keys..., term_id, seg, base, dids) from long-form postings (each pair
+    once). One shuffle, by (term_id, group of segments): at most
+    ``seg_width * fanout`` ids share a key."""
+    keys = [*extra_keys, "term_id"]
     rows = post.withColumn("seg", seg_of("did", seg_width)).withColumn("_hi", F.expr(f"seg div {int(fanout)}"))
-    lists = (rows.repartition("term_id", "_hi").groupBy("term_id", "_hi", "seg").agg(F.array_sort(F.collect_list("did")).alias("dids"))
+    lists = (rows.repartition(*keys, "_hi").groupBy(*keys, "_hi", "seg").agg(F.array_sort(F.collect_list("did")).alias("dids"))
              .withColumn("_last", F.element_at("dids", -1)))
-    in_group = Window.partitionBy("term_id", "_hi").orderBy("seg")
-    lists = stored(lists.withColumn("_prev", F.lag("_last").over(in_group)), "lists")
-    groups = (lists.groupBy("term_id", "_hi").agg(F.max("_last").alias("_hi_last"))
-              .withColumn("_hi_prev", F.lag("_hi_last").over(Window.partitionBy("term_id").orderBy("_hi")))
-              .where(F.col("_hi_prev").isNotNull()).select("term_id", "_hi", "_hi_prev"))
-    # only a group's first segment lacks a base; terms within one group have none to add
-    return lists.join(broadcast_if_small(groups), ["term_id", "_hi"], "left").select(
-        "term_id", "seg", F.coalesce("_prev", "_hi_prev", F.lit(0).cast("bigint")).alias("base"), "dids")
+    return _with_bases(lists, keys, "seg", "_last", "lists").select(*keys, "seg", F.col("_base").alias("base"), "dids")
+
+
+def block_segments(post: DataFrame, docs: DataFrame) -> DataFrame:
+    """A3 coded: every block as an index of its own, its lists starting at base 0;
+    one row per (block, term_id, seg)."""
+    blocks = docs.select("did", "block")
+    rows = post.join(F.broadcast(blocks) if is_small(blocks) else blocks, "did").select("block", "term_id", "did")
+    return encode(segments(rows, extra_keys=("block",)))
+
+
+def merge_compressed(*parts: DataFrame, fanout: int = FANOUT) -> DataFrame:
+    """A4 without decoding: indexes whose lists don't overlap (blocks of documents
+    in ascending order) become one, with the bytes of a whole build. A part's list
+    keeps its code but for the first gap, whose base is now the list before it."""
+    union = parts[0].select(*ENCODED_COLUMNS)
+    for p in parts[1:]:
+        union = union.unionByName(p.select(*ENCODED_COLUMNS))
+    rows = union.withColumn("_hi", F.expr(f"seg div {int(fanout)}")).repartition("term_id", "_hi")
+    linked = _with_bases(rows, ["term_id"], "first", "last", "coded-parts")
+    part = F.struct("first", "last", "n", F.col("_base").alias("new_base"), "vb", "gamma", "gamma_pad")
+    joined = linked.groupBy("term_id", "seg").agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    return joined.mapInArrow(merge_batches, ENCODED)
 
 
 def gap_segments(segs: DataFrame) -> DataFrame:

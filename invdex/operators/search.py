@@ -300,22 +300,52 @@ def sort_results(results: DataFrame, max_group: int | None = None) -> DataFrame:
     return global_rank_in_group(results, "query_id", ["doc_name"], "rank").select("query_id", "rank", "doc_name")
 
 
+def query_classes(qterms: DataFrame) -> DataFrame:
+    """(query_id, class_id): queries with the same set of terms share a class, named
+    by its smallest query_id. A query's terms are one row; a class that many
+    queries share is a partially aggregated minimum."""
+    keyed = qterms.groupBy("query_id").agg(F.sort_array(F.collect_set("token")).alias("_terms"))
+    keyed = stored(keyed.select("query_id", F.sha2(F.to_json("_terms"), 256).alias("_set")), "query-sets")
+    reps = keyed.groupBy("_set").agg(F.min("query_id").alias("class_id"), F.count(F.lit(1)).alias("_w"))
+    if is_small(reps):
+        return keyed.join(F.broadcast(reps), "_set").select("query_id", "class_id")
+    return salted_join(keyed, reps, "_set", "_w", "query_id").select("query_id", "class_id")
+
+
+def fan_out(results: DataFrame, classes: DataFrame) -> DataFrame:
+    """The ranked results of the classes, handed to every query of a class."""
+    if is_small(classes):
+        rows = results.withColumnRenamed("query_id", "class_id").join(F.broadcast(classes), "class_id")
+    else:
+        sizes = results.groupBy("query_id").agg(F.count(F.lit(1)).alias("_w")).withColumnRenamed("query_id", "class_id")
+        rows = salted_join(results.withColumnRenamed("query_id", "class_id"), classes.join(sizes, "class_id"), "class_id", "_w", "rank")
+    return rows.select("query_id", "rank", "doc_name")
+
+
 def search(post: DataFrame, words: DataFrame, docs: DataFrame, queries: DataFrame, seek: bool = False,
            decode: Callable[[DataFrame], DataFrame] | None = None, skips: DataFrame | None = None) -> DataFrame:
     """Q5 end to end: (query_id, rank, doc_name).
 
-    Small tables (the batch's term lookup, the hits and the named results) are
+    Queries with one set of terms are evaluated, named and ranked once. Small
+    tables (the batch's term lookup, the hits and the named results) are
     written to the shared folder, so that the size checks and the branches do not
     recompute the work and nothing stays cached. ``decode``: see
     ``conjunctive_hits``; with ``skips``, see ``skip_hits``."""
-    lookup = stored(term_lookup(parse_queries(queries), words, seek=seek), "lookup")
+    qterms = stored(parse_queries(queries), "query-terms")
+    classes = stored(query_classes(qterms), "classes")
+    shared = classes.where("query_id <> class_id").limit(1).count() > 0
+    if shared:
+        reps = classes.where("query_id = class_id").select("query_id")
+        qterms = qterms.join(broadcast_if_small(reps), "query_id", "left_semi")
+    lookup = stored(term_lookup(qterms, words, seek=seek), "lookup")
     small = lookup_is_small(lookup)
     if skips is not None:
         hits = skip_hits(post, skips, lookup, decode, seek=seek, small=small)
     else:
         hits = conjunctive_hits(post, lookup, seek=seek, small=small, decode=decode)
     named = stored(name_results(stored(hits, "hits"), docs, lookup), "named")
-    return sort_results(named, largest_group(named))
+    ranked = sort_results(named, largest_group(named))
+    return fan_out(ranked, classes) if shared else ranked
 
 
 def result_diff(actual: DataFrame, expected: DataFrame) -> DataFrame:

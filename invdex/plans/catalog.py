@@ -122,6 +122,15 @@ def q_merge_blocks(spark, sf_dir):
     return X.merge_blocks(left, right).select("term_id", "seg", _ids_text().alias("doc_ids"))
 
 
+def q_merge_compressed(spark, sf_dir):
+    """A4 + C3 + C5: the blocks' own coded lists joined without decoding them;
+    the bytes of the whole build's lists."""
+    ix = index_for(spark, sf_dir)
+    coded = C.merge_compressed(C.block_segments(ix.postings, ix.doc_dict))
+    return coded.select("term_id", "seg", F.lower(F.hex("vb")).alias("vb_hex"), F.lower(F.hex("gamma")).alias("gamma_hex"),
+                        F.col("gamma_pad").cast("bigint").alias("gamma_pad"))
+
+
 def q_index_size(spark, sf_dir):
     """A7."""
     return C.index_size(index_for(spark, sf_dir).postings, C.encode(segments_for(spark, sf_dir)))
@@ -207,6 +216,11 @@ def q_conjunctive_hits(spark, sf_dir):
     return S.conjunctive_hits(ix.postings, lk)
 
 
+def q_query_classes(spark, sf_dir):
+    """Q5: the class of every conversation and dev query."""
+    return S.query_classes(S.parse_queries(W.conversation_queries(spark, sf_dir).unionByName(W.dev_queries(spark, -1))))
+
+
 def _search(spark, sf_dir, queries):
     ix = index_for(spark, sf_dir)
     return S.search(ix.postings, ix.word_dict, ix.doc_dict, queries)
@@ -417,6 +431,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_vb": q_search_vb,
     "search_gamma": q_search_gamma,
     "skip_segments": q_skip_segments,
+    "merge_compressed": q_merge_compressed,
+    "query_classes": q_query_classes,
     "term_stats": q_term_stats,
     "directory_scan": q_directory_scan,
 }

@@ -48,6 +48,12 @@ VBHEX = """CASE
 
 GAMMA = "repeat('1', length(bin(gap)) - 1) || '0' || substr(bin(gap), 2)"
 
+GAMMA_LISTS = [f"gb AS (SELECT term_id, seg, string_agg({GAMMA}, '' ORDER BY did) AS bits FROM gp GROUP BY 1, 2)",
+               "gpad AS (SELECT term_id, seg, (8 - length(bits) % 8) % 8 AS pad, bits FROM gb)",
+               "gfull AS (SELECT term_id, seg, pad, repeat('0', pad) || bits AS pb FROM gpad)"]
+GAMMA_HEX = ("list_aggr([printf('%02x', ('0b' || substr(pb, i * 8 + 1, 8))::INTEGER) FOR i IN range(length(pb) // 8)], "
+             "'string_agg', '')")
+
 
 def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
@@ -117,14 +123,12 @@ ORACLES: dict[str, str] = {
     "ungap": _index() + "SELECT term_id, did FROM post",
     "vb_encode": _index(GAPS) + f"SELECT term_id, seg, string_agg({VBHEX}, '' ORDER BY did) AS vb_hex FROM gp GROUP BY 1, 2",
     "vb_decode": _index() + "SELECT term_id, did FROM post",
-    "gamma_encode": _index(GAPS, f"gb AS (SELECT term_id, seg, string_agg({GAMMA}, '' ORDER BY did) AS bits "
-                                 "FROM gp GROUP BY 1, 2)",
-                           "gpad AS (SELECT term_id, seg, (8 - length(bits) % 8) % 8 AS pad, bits FROM gb)",
-                           "gfull AS (SELECT term_id, seg, pad, repeat('0', pad) || bits AS pb FROM gpad)")
-    + """SELECT term_id, seg,
-  list_aggr([printf('%02x', ('0b' || substr(pb, i * 8 + 1, 8))::INTEGER) FOR i IN range(length(pb) // 8)],
-            'string_agg', '') AS gamma_hex,
-  CAST(pad AS BIGINT) AS gamma_pad FROM gfull""",
+    "gamma_encode": _index(GAPS, *GAMMA_LISTS) + f"SELECT term_id, seg, {GAMMA_HEX} AS gamma_hex, CAST(pad AS BIGINT) AS gamma_pad FROM gfull",
+    "merge_compressed": _index(GAPS, *GAMMA_LISTS, f"vbl AS (SELECT term_id, seg, string_agg({VBHEX}, '' ORDER BY did) AS vb_hex FROM gp GROUP BY 1, 2)")
+    + f"SELECT term_id, seg, vb_hex, {GAMMA_HEX} AS gamma_hex, CAST(pad AS BIGINT) AS gamma_pad FROM gfull JOIN vbl USING (term_id, seg)",
+    "query_classes": _with(*_qterms(f"(SELECT * FROM {CONVERSATION_QUERIES_SQL} UNION ALL SELECT * FROM {dev_queries_sql(-1)})")[:2],
+                           "st AS (SELECT query_id, list(token ORDER BY token) AS s FROM qt GROUP BY query_id)")
+    + "SELECT query_id, min(query_id) OVER (PARTITION BY s) AS class_id FROM st",
     "gamma_decode": _index() + "SELECT term_id, did FROM post",
     "parse_queries": _with(DOCS, TOKS, WORDS, *_qterms(CONVERSATION_QUERIES_SQL)) + "SELECT query_id, token FROM qt",
     "term_lookup": _with(DOCS, TOKS, WORDS, *_qterms(f"(SELECT * FROM {BENCHMARK_QUERIES_SQL} UNION ALL "
