@@ -355,6 +355,19 @@ def q_stream_search(spark, sf_dir):
     return SS.read_stream_results(spark, f"{root}/out")
 
 
+def q_stream_query_file(spark, sf_dir):
+    """S8 + T1: the benchmark passages arrive as a stream of text files, one query
+    per line; ids are (file, byte offset), numbered at the end."""
+    root = scratch_path(spark, "stream-lines")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (W.benchmark_queries(spark, sf_dir).repartitionByRange(n, "query_id").sortWithinPartitions("query_id")
+     .select("query_text").write.text(f"{root}/in"))
+    q = SS.start_line_search(spark, index_for(spark, sf_dir), f"{root}/in", f"{root}/out", f"{root}/ckpt",
+                             files_per_trigger=max(1, n // 2), split_bytes=1 << 10)
+    q.awaitTermination()
+    return SS.read_line_results(spark, f"{root}/out")
+
+
 def stream_index_for(spark: SparkSession, sf_dir: str) -> dict:
     key = (app_id(spark), sf_dir, "stream-index")
     tables = _CACHE.get(key)
@@ -425,6 +438,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_gamma_decode": q_stored_gamma_decode,
     "query_file_search": q_query_file_search,
     "stream_search": q_stream_search,
+    "stream_query_file": q_stream_query_file,
     "stream_index": q_stream_index,
     "stream_index_words": q_stream_index_words,
     "stream_index_search": q_stream_index_search,

@@ -159,6 +159,7 @@ ORACLES: dict[str, str] = {
     "stored_gamma_decode": _index() + "SELECT term_id, did FROM post",
     "query_file_search": _search(QUERY_FILE_SQL),
     "stream_search": _search(BENCHMARK_QUERIES_SQL),
+    "stream_query_file": _search(QUERY_FILE_SQL),
     "stream_index": _index() + "SELECT term_id, did FROM post",
     "search_vb": _search(dev_queries_sql()),
     "search_gamma": _search(BENCHMARK_QUERIES_SQL),

@@ -4,16 +4,17 @@ Two sources:
 
 * a table (the driver's ``documents`` Parquet): ``block = source``,
   ``file = cast(doc_id as string)``;
-* a two-level directory tree ``root/<block>/<file>`` (see ``read_directory``).
+* a two-level directory tree ``root/<block>/<file>`` (``directory_source``).
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .directory_source import filesystem, list_corpus, read_directory  # noqa: F401
+
 CORPUS_COLUMNS = ["block", "file", "text"]
 
 
@@ -42,121 +43,15 @@ def file_count(corpus: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- directories
 
-# dir_uri is the block directory; file names stay raw (never parsed as URIs)
-MANIFEST_SCHEMA = "block string, file string, dir_uri string, size bigint"
-_LISTING_SCHEMA = "block string, file string, dir_uri string, size bigint, is_dir boolean"
-
-
-def _filesystem(root_uri: str):
-    """pyarrow file system and path for a Hadoop-style URI (file:, hdfs:,
-    s3:, gs:, ...), used inside Python tasks."""
-    from urllib.parse import unquote, urlparse
-
-    from pyarrow import fs as pafs
-
-    u = urlparse(root_uri)
-    if u.scheme in ("", "file"):
-        return pafs.LocalFileSystem(), unquote(u.path)
-    return pafs.FileSystem.from_uri(root_uri)
-
-
-def _list_blocks(batches):
-    """mapInPandas: list the files of each block directory."""
-    from pyarrow import fs as pafs
-
-    for pdf in batches:
-        out = []
-        for block, uri in zip(pdf["block"], pdf["uri"]):
-            fs, path = _filesystem(uri)
-            for info in fs.get_file_info(pafs.FileSelector(path, recursive=False)):
-                out.append((block, info.base_name, uri, int(info.size or 0), info.type == pafs.FileType.Directory))
-        yield pd.DataFrame(out, columns=["block", "file", "dir_uri", "size", "is_dir"])
-
-
-def list_corpus(spark: SparkSession, root: str) -> DataFrame:
-    """Manifest of a two-level corpus: one row per file ``root/<block>/<file>``.
-
-    Spark's file sources skip names starting with ``_`` or ``.`` and zero-byte
-    files, which the reference indexes and counts, so the manifest is listed
-    directly: the driver lists only the root (one entry per block, with the
-    Hadoop FileSystem API), and the files of the blocks are listed in
-    parallel inside tasks. Raises ValueError on a file directly in ``root``
-    or a nested directory."""
-    sc = spark.sparkContext
-    rpath = sc._jvm.org.apache.hadoop.fs.Path(root)
-    fs = rpath.getFileSystem(sc._jsc.hadoopConfiguration())
-    if not fs.exists(rpath):
-        raise ValueError(f"corpus root does not exist: {root}")
-    blocks = []
-    for top in fs.listStatus(rpath):
-        if not top.isDirectory():
-            raise ValueError(f"file directly under the corpus root: {top.getPath().getName()}")
-        u = top.getPath().toUri()
-        scheme = u.getScheme() or "file"
-        authority = u.getAuthority() or ""
-        blocks.append((top.getPath().getName(), f"{scheme}://{authority}{u.getPath()}"))
-    if not blocks:
-        return spark.createDataFrame([], MANIFEST_SCHEMA)
-    n = max(1, min(len(blocks), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    listing = (
-        spark.createDataFrame(blocks, "block string, uri string").repartition(n, "block")
-        .mapInPandas(_list_blocks, _LISTING_SCHEMA)
-        .persist()
-    )
-    nested = listing.where("is_dir").select("block", "file").limit(1).collect()
-    if nested:
-        listing.unpersist()
-        raise ValueError(f"nested directory in block {nested[0].block}: {nested[0].file}")
-    return listing.drop("is_dir")
-
-
-def _read_paths(batches):
-    """mapInPandas: read whole files by path (files Spark's sources skip)."""
-    for pdf in batches:
-        contents = []
-        for d, name in zip(pdf["dir_uri"], pdf["file"]):
-            fs, path = _filesystem(d)
-            with fs.open_input_stream(f"{path.rstrip('/')}/{name}") as fh:
-                contents.append(fh.read())
-        yield pd.DataFrame({"block": pdf["block"], "file": pdf["file"], "content": contents})
-
-
-def read_directory(spark: SparkSession, root: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """A two-level directory corpus as ``documents(block, file, text)``.
-
-    The manifest says how each file is read: names that Spark's sources skip
-    (starting with ``_`` or ``.``) by path in Python tasks, zero-byte files as
-    empty texts, all others straight from the ``binaryFile`` source, so no
-    contents are joined or shuffled.
-
-    ``encoding='ISO-8859-1'`` (default) maps every byte to one character, so
-    tokens are exact byte strings even for invalid UTF-8; read queries with
-    the same encoding (``read_query_lines``, ``encode_query_text``)."""
-    manifest = list_corpus(spark, root)
-    if manifest.isEmpty():
-        return spark.createDataFrame([], "block string, file string, text string")
-    try:
-        raw = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*")
-    except AnalysisException:  # every file is hidden or empty
-        raw = spark.createDataFrame([], "path string, content binary")
-    hidden = F.col("file").rlike("^[_.]")
-    bulk = raw.select(F.element_at(F.split("path", "/"), -2).alias("block"), F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    bulk = bulk.where(~hidden & (F.length("content") > 0))
-    empty = manifest.where(F.col("size") == 0).select("block", "file", F.lit(b"").alias("content"))
-    skipped = (manifest.where(hidden & (F.col("size") > 0)).select("block", "file", "dir_uri")
-               .mapInPandas(_read_paths, "block string, file string, content binary"))
-    return bulk.unionByName(empty).unionByName(skipped).select("block", "file", F.decode("content", encoding).alias("text"))
-
-
 def write_directory(corpus: DataFrame, root: str) -> None:
     """A corpus as a two-level directory, one UTF-8 file per document. Tasks
     write the files; a repeated task writes the same bytes again."""
     uri = root if "://" in root or root.startswith("file:") else f"file://{root}"
 
     def write(batches):
+        fs, path = filesystem(uri)
         for pdf in batches:
             for block, file, text in zip(pdf["block"], pdf["file"], pdf["text"]):
-                fs, path = _filesystem(uri)
                 fs.create_dir(f"{path}/{block}", recursive=True)
                 with fs.open_output_stream(f"{path}/{block}/{file}", compression=None) as out:
                     out.write(text.encode())
