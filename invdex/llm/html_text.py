@@ -12,10 +12,19 @@ Left out before scoring: scripts, styles and other non-text elements, menus,
 page headers, footers, sidebars, forms, hidden parts, and blocks whose class, id
 or role names them as advert, notice, navigation, sharing box, related links or
 reader comments. A ``header`` inside an article belongs to the article. Apart
-from hidden parts, an element is never left out when it holds an article or the
-main part from outside, or, if only its attributes speak against it, most of the
-page's unlinked text: it and all below then score half. Ids of headings, and of
-sections with headings inside an article, are anchors and name nothing.
+from hidden parts, an element stays, its score halved, if it holds all text of
+the page's main articles, or is a frame (a name like ``sidebar-left`` or
+``layout-header`` often says how the page is laid out) around the largest of
+them. Main articles are outermost ``article`` and ``main`` elements that don't lie
+in a menu, sidebar, footer, advert or comments; what lies inside one is never
+protected, and the names of an article within an article count. A page without
+main articles keeps frames that hold most of its unlinked text. If nothing would
+be left of a page, first what layout words name stays, then all but hidden parts.
+Ids of headings, and of sections with headings inside an article, are anchors and
+name nothing, unless they say comments.
+
+A ``div`` or ``section`` that holds text and no blocks is a paragraph: it scores
+its parent, so paragraphs of any length stay together.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined in page order by newlines. The whole html is read;
@@ -49,14 +58,18 @@ KEEP = frozenset("html body article main".split())
 # a start tag of the first kind ends an open element of the second
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",)}
-NAMES = frozenset("""ad ads adv adbox adslot banner banners sponsor sponsored promo cookie cookies consent gdpr notice notices
-notification alert popup popover modal overlay newsletter subscribe subscription signup login sidebar sidebars rail menu menus nav
-navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar comment comments commentlist disqus discussion replies
-reply respond share sharing social related recommended recommendations recirculation widget widgets pagination pager search
-contentinfo complementary hidden advert adverts advertisement advertising skip""".split())
+COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
+INSERTS = COMMENTS | frozenset("""ad ads adv adbox adslot banner banners sponsor sponsored promo advert adverts advertisement advertising
+cookie cookies consent gdpr notice notices notification alert popup popover modal overlay newsletter subscribe subscription signup
+login""".split())
+NAMES = INSERTS | frozenset("""sidebar sidebars rail menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar
+discussion share sharing social related recommended recommendations recirculation widget widgets pagination pager search
+contentinfo complementary hidden skip""".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# reasons against an element: hidden, its tag, its class or role, the id of a section in an article
-HIDDEN, TAG, NAME, ANCHOR = 1, 2, 3, 4
+ASIDES = frozenset("nav aside footer".split())
+# reasons against an element: the id of a section in an article, a layout word within a name, its tag, a layout word as its
+# name, a name of comments, adverts or notices, hidden
+ANCHOR, FRAME, TAG, NAME, INSERT, HIDDEN = 1, 2, 3, 4, 5, 6
 PREFIX = frozenset("has with no without is".split())
 
 _TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/><]*)((?:[^<>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|["'=])*+)>|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)(?:>|\Z|(?=<))""", re.S)
@@ -64,32 +77,47 @@ _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:
 _WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
 
-def _unwanted(tag: str, attrs: str, in_article: bool) -> int:
+def _unwanted(tag: str, attrs: str, in_article: bool, nested: bool) -> int:
     """What says that this element is not main text (0: nothing)?"""
-    why = TAG if tag in DROPPED or (tag == "header" and not in_article) else 0
-    if not attrs or tag in KEEP:
+    why = NAME if tag in ASIDES else TAG if tag in DROPPED or (tag == "header" and not in_article) else 0
+    if not attrs:
         return why
     for name, *vals in _ATTR.findall(attrs):
         name, val = name.lower(), next((v for v in vals if v), "")
         if name == "hidden" or (name == "aria-hidden" and val.lower() == "true"):
-            return HIDDEN
-        if name == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", val, re.I):
-                return HIDDEN
-        elif name in ("class", "id", "role") and why not in (TAG, NAME) and not (name == "id" and tag in HEADINGS):
+            why = HIDDEN if tag not in KEEP or nested else why
+        elif name == "style":
+            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", val, re.I) and (tag not in KEEP or nested):
+                why = HIDDEN
+        elif name in ("class", "id", "role") and not (name == "id" and tag in HEADINGS):
             for one in val.split():
-                words = {w.lower() for w in _WORD.findall(one)}
-                if not words & PREFIX and (words & NAMES or ("header" in words and not in_article)):
-                    why = ANCHOR if name == "id" and tag == "section" and in_article else NAME
+                one_why = _named(one, in_article)
+                if tag in KEEP and not nested:  # the page's own article: only if it is a comment or advert itself
+                    one_why = INSERT if tag == "article" and one.lower() in INSERTS else 0
+                elif name == "id" and tag == "section" and in_article and one_why != INSERT:
+                    one_why = min(one_why, ANCHOR)
+                why = max(why, one_why)
     return why
 
 
+def _named(one: str, in_article: bool) -> int:
+    """What one name of an element says."""
+    words = {w.lower() for w in _WORD.findall(one)}
+    if words & PREFIX:
+        return 0
+    if words & INSERTS:
+        return INSERT
+    if words & NAMES or ("header" in words and not in_article):
+        return NAME if len(words) == 1 else FRAME
+    return 0
+
+
 class _Page:
     """Blocks of text and the tree of block elements of one page."""
 
     def __init__(self):
         self.parent, self.tag, self.out, self.art = [-1], [""], [False], [False]
-        self.why = [0]
+        self.why, self.nested = [0], [False]  # nested: in an article
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         self.stack: list[tuple[str, int]] = []        # open elements and their nodes
         self.open: dict[str, int] = {}
@@ -153,7 +181,7 @@ class _Page:
         if tag == "hr":
             return
         up = self.node()
-        why = HIDDEN if self.out[up] else _unwanted(tag, attrs, self.art[up])
+        why = HIDDEN if self.out[up] else _unwanted(tag, attrs, self.art[up], self.nested[up])
         node = up
         if block or (why and not self.out[up]):  # an inline element left out gets a node of its own
             node = len(self.parent)
@@ -162,6 +190,7 @@ class _Page:
             self.out.append(why == HIDDEN)
             self.why.append(why)
             self.art.append(self.art[up] or tag in ("article", "main"))
+            self.nested.append(self.nested[up] or tag == "article")
             if not block:
                 self.flush(up)  # what the block holds so far stays
         self.stack.append((tag, node))
@@ -201,27 +230,44 @@ def _leave_out(page: _Page) -> list[float]:
     """Marks what is left out in ``page.out``, drops its blocks, and gives each
     node the share of its score that counts."""
     n = len(page.parent)
-    own, holds, heading = [0] * n, [False] * n, [False] * n
+    own, heading = [0] * n, [False] * n
     for node, text, in_links in page.blocks:
         own[node] += len(text) - in_links
     for k in range(n - 1, 0, -1):  # children come after their parents
-        up = page.parent[k]
-        own[up] += own[k]
-        # only articles with text of their own count
-        holds[up] |= holds[k] or (page.tag[k] in ("article", "main") and own[k] > 0 and not page.out[k])
-        heading[up] |= heading[k] or page.tag[k] in HEADINGS
-    share = [1.0] * n
+        own[page.parent[k]] += own[k]
+        heading[page.parent[k]] |= heading[k] or page.tag[k] in HEADINGS
+    why = [0 if page.why[k] == ANCHOR and heading[k] else page.why[k] for k in range(n)]
+    under = [False] * n  # in a menu, sidebar, footer, advert or comments
+    held, largest, mains = [0] * n, [0] * n, 0
     for k in range(1, n):
-        up, why = page.parent[k], page.why[k]
-        share[k] = share[up]
-        if page.out[up]:
-            page.out[k] = True
-        elif why in (TAG, NAME) or (why == ANCHOR and not heading[k]):
-            if (holds[k] and not page.art[up]) or (why != TAG and own[k] * 2 > own[0]):
-                share[k] /= 2
-            else:
-                page.out[k] = True
-    page.blocks = [b for b in page.blocks if not page.out[b[0]]]
+        under[k] = under[page.parent[k]] or why[k] in (NAME, INSERT, HIDDEN)
+        if page.tag[k] in ("article", "main") and not page.art[page.parent[k]] and not under[k]:
+            held[k] = largest[k] = own[k]
+            mains += own[k]
+    for k in range(n - 1, 0, -1):
+        held[page.parent[k]] += held[k]
+        largest[page.parent[k]] = max(largest[page.parent[k]], largest[k])
+
+    def protected(k: int) -> bool:
+        if mains:
+            return not page.art[page.parent[k]] and (held[k] == mains or (why[k] == FRAME and largest[k] == largest[0]))
+        return why[k] == FRAME and own[k] * 2 > own[0]
+
+    # reasons that count; fewer if nothing would be left
+    for counted in ((ANCHOR, FRAME, TAG, NAME, INSERT), (TAG, INSERT), (INSERT,), ()):
+        share, out = [1.0] * n, [False] * n
+        for k in range(1, n):
+            up = page.parent[k]
+            share[k], out[k] = share[up], out[up] or page.out[k]
+            if why[k] and not out[k]:
+                if why[k] in counted and not protected(k):
+                    out[k] = True
+                else:
+                    share[k] /= 2
+        if any(not out[b[0]] for b in page.blocks):
+            break
+    page.out = out
+    page.blocks = [b for b in page.blocks if not out[b[0]]]
     return share
 
 
@@ -234,11 +280,17 @@ def main_text(doc: str) -> str:
     if not page.blocks:
         return ""
     n = len(page.parent)
-    score, chars, linked = [0.0] * n, [0] * n, [0] * n
+    score, chars, linked, inner = [0.0] * n, [0] * n, [0] * n, [False] * n
+    for node, _, _ in page.blocks:
+        up = page.parent[node]
+        while up > 0 and not inner[up]:
+            inner[up] = True
+            up = page.parent[up]
     for node, text, in_links in page.blocks:
         points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - in_links / len(text))
         # a paragraph scores its ancestors; text lying directly in a container scores that
-        up = page.parent[node] if page.tag[node] not in ("div", "section", "article", "main", "body", "td", "") else node
+        holds = page.tag[node] in ("article", "main", "body", "td", "") or (page.tag[node] in ("div", "section") and inner[node])
+        up = node if holds else page.parent[node]
         for share in (1, 2, 3, 4):
             if up < 0:
                 break
@@ -252,12 +304,14 @@ def main_text(doc: str) -> str:
     score = [x * y for x, y in zip(score, share_of)]
     plain = lambda k: 1 - linked[k] / chars[k] if chars[k] else 0.0
     best = max(range(n), key=lambda k: (score[k] * plain(k), -k))
-    k, chosen = best, {best}
-    while k > 0:  # the article or main part it lies in
+    k, chosen, around = best, {best}, {}
+    while k > 0:  # the outermost article it lies in, or else the main part
         if page.tag[k] in ("article", "main"):
-            best, chosen = k, {k}
-            break
+            around[page.tag[k]] = k
         k = page.parent[k]
+    if around:
+        best = around.get("article", around.get("main"))
+        chosen = {best}
     if page.tag[best] not in ("article", "main"):
         least = score[best] * plain(best) / 5
         for k in range(1, n):

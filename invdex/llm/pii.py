@@ -44,7 +44,8 @@ KINDS = ("email", "ip", "card", "phone")
 MIN_KNOWN = 5
 MIN_CONFIDENCE = 0.8
 MIN_SCORE = 0.8
-CONTEXT = 48  # characters before a candidate that are looked at for its words
+# the last two words of a text, read from its end
+CONTEXT = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D]*+[\x20\x09-\x0D]*+[^\x20\x09-\x0D]*+"
 PIECES = 256  # matches whose positions are summed in one go
 
 _TOKEN = r"[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
@@ -67,14 +68,14 @@ def _guard(kind: str, t: Column) -> Column:
 
 
 def _find(t: Column, pattern: str, context: bool = False) -> Column:
-    """All matches with code point spans (and the text before each).
+    """All matches with code point spans (and the two words before each).
 
     Positions are running sums over the pieces between matches. They are summed
     in blocks of ``PIECES``, since appending to one long array copies it: a text
     of numbers only stays far from quadratic."""
     both = F.zip_with(F.split(t, pattern, -1), F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda p, m: F.struct(
         F.char_length(p).alias("p"), F.char_length(m).alias("n"), m.alias("m"),
-        (F.right(p, F.lit(CONTEXT)) if context else F.lit("")).alias("c")))
+        (F.reverse(F.regexp_extract(F.reverse(p), CONTEXT, 0)) if context else F.lit("")).alias("c")))
     none = F.expr(f"cast(array() as {_SPANS})")
 
     def step(a, x):
@@ -206,7 +207,7 @@ def _inside(runs: DataFrame) -> DataFrame:
 
 
 def _label(core: Column) -> Column:
-    return F.regexp_extract(core, r"^([A-Za-z][A-Za-z_-]{0,30})[=:](?=.)", 0)
+    return F.regexp_extract(core, r"^([A-Za-z][A-Za-z_-]*+)[=:](?=.)", 0)
 
 
 def _core(m: Column) -> tuple[Column, Column]:

@@ -194,8 +194,9 @@ def links(classes: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, extra: list[str] | None = None, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """One row per document: ``doc_id``, ``extra`` columns, ``fp`` and
-    ``component_id`` (smallest doc_id reachable over links, itself included)."""
+    """One row per document: ``doc_id``, ``extra`` columns, ``fp``, ``root`` (a
+    fingerprint that names its component) and ``component_id`` (smallest doc_id
+    reachable over links, itself included)."""
     fps = written(fingerprints(docs, ["doc_id", *(extra or [])]), "sh-fps")
     classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "sh-classes")
     roots = components(links(classes, max_distance))
@@ -203,9 +204,10 @@ def near_duplicates(docs: DataFrame, extra: list[str] | None = None, max_distanc
     linked = written(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left"), "sh-linked")
     named = linked.withColumn("root", F.coalesce("root", "fp"))
     by_root = written(named.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("n").alias("members")), "sh-roots")
-    label = written(named.join(by_root.filter("members > 1"), "root").select("fp", "component_id"), "sh-labels")
+    label = written(named.join(by_root.filter("members > 1"), "root").select("fp", "root", "component_id"), "sh-labels")
     out = fps.join(broadcast_if_small(label.withColumn("_many", F.lit(True))), "fp", "left")
-    return out.withColumn("component_id", F.when(F.col("_many"), F.col("component_id")).otherwise(F.col("doc_id"))).drop("_many")
+    out = out.withColumn("component_id", F.when(F.col("_many"), F.col("component_id")).otherwise(F.col("doc_id")))
+    return out.withColumn("root", F.coalesce("root", "fp")).drop("_many")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -215,7 +217,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     cols = docs.columns
     keyed = docs.withColumn("_row", F.xxhash64(*cols))
     marked = written(near_duplicates(keyed, ["_row"]), "sh-marked")
-    groups = marked.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_null"))
+    groups = marked.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("root")).alias("_null"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id"), F.col("_row"))).alias("w")
     win = groups.agg(best).select("w.doc_id", "w._row")
     rows = written(_counted(marked, win), "sh-rows")

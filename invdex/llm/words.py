@@ -29,7 +29,8 @@ FOLD[0x41:0x5B] += 32
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_POW = np.cumprod(np.full(1024, np.uint64(0x9E3779B97F4A7C15), dtype=np.uint64), dtype=np.uint64)
+CHUNK = 1024
+_POW = np.cumprod(np.full(CHUNK, np.uint64(0x9E3779B97F4A7C15), dtype=np.uint64), dtype=np.uint64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -72,27 +73,53 @@ def spans(buf: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.nda
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray,
                 most: int | None = None, block: int = 1 << 19) -> np.ndarray:
-    """One 64-bit hash per word, over blocks of about ``block`` bytes.
+    """One 64-bit hash per word, over blocks of about ``block`` bytes. Words are read
+    whole: longer ones in chunks of 1,024 bytes, chained in their order.
 
     ``most``: hash only the first so many bytes (word prefixes)."""
     lens = ends - starts
     if most is not None:
         lens = np.minimum(lens, most)
-    out = np.empty(len(starts), np.uint64)
     if not len(starts):
-        return out
-    cum = np.concatenate(([0], np.cumsum(lens)))
+        return np.empty(0, np.uint64)
+    chunks = np.maximum(-(-lens // CHUNK), 1)
+    first = np.cumsum(chunks) - chunks
+    within = (np.arange(int(chunks.sum())) - np.repeat(first, chunks)) * CHUNK
+    at, size = np.repeat(starts, chunks) + within, np.minimum(np.repeat(lens, chunks) - within, CHUNK)
+    sums = np.empty(len(at), np.uint64)
+    cum = np.concatenate(([0], np.cumsum(size)))
     a = 0
-    while a < len(starts):
+    while a < len(at):
         b = max(a + 1, int(np.searchsorted(cum, cum[a] + block, "right")) - 1)
-        ls = np.minimum(lens[a:b], block)  # a giant word: its head and length
-        cs = np.cumsum(ls) - ls
-        pos = np.arange(int(ls.sum())) - np.repeat(cs, ls)
-        at = np.repeat(starts[a:b], ls) + pos
-        v = _BYTE[fold[buf[at]]] * _POW[pos & 1023]
-        out[a:b] = mix(np.add.reduceat(v, cs) + lens[a:b].astype(np.uint64) * _M2)
+        cs = cum[a:b] - cum[a]
+        pos = np.arange(int(cum[b] - cum[a])) - np.repeat(cs, size[a:b])
+        sums[a:b] = np.add.reduceat(_BYTE[fold[buf[np.repeat(at[a:b], size[a:b]) + pos]]] * _POW[pos], cs)
         a = b
-    return out
+    out = sums[first]
+    long = np.flatnonzero(chunks > 1)
+    k = 1
+    while len(long):
+        out[long] = mix(out[long] * _M1 + np.uint64(k)) + sums[first[long] + k]
+        k += 1
+        long = long[chunks[long] > k]
+    return mix(out + lens.astype(np.uint64) * _M2)
+
+
+def same_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 1 << 19) -> np.ndarray:
+    """Do the words number ``a`` and ``b`` have the same bytes, pair by pair?"""
+    lens = ends - starts
+    ok = lens[a] == lens[b]
+    todo = np.flatnonzero(ok & (a != b))
+    cum = np.concatenate(([0], np.cumsum(lens[a[todo]])))
+    i = 0
+    while i < len(todo):
+        j = max(i + 1, int(np.searchsorted(cum, cum[i] + block, "right")) - 1)
+        one = todo[i:j]
+        size, cs = lens[a[one]], cum[i:j] - cum[i]
+        pos = np.arange(int(cum[j] - cum[i])) - np.repeat(cs, size)
+        ok[one] = np.logical_and.reduceat(buf[np.repeat(starts[a[one]], size) + pos] == buf[np.repeat(starts[b[one]], size) + pos], cs)
+        i = j
+    return ok
 
 
 def chain(acc: np.ndarray, nxt: np.ndarray) -> np.ndarray:

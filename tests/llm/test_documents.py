@@ -457,3 +457,56 @@ def test_very_long_text(spark):
     docs = spark.createDataFrame([(1, t)], "doc_id bigint, text string")
     r = quality.assess(docs, labels(spark, [])).first()
     assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_quality(t)
+
+
+def test_long_words_are_read_whole(spark):
+    """Words that differ in swapped parts of 1,024 bytes, or only far behind."""
+    a, b = "x" * 1024, "y" * 1024
+    words = [a + b + str(k) for k in range(5)]
+    swapped = [b + a + str(k) for k in range(5)]
+    far = ["q" * 600_000 + str(k) for k in range(10)]
+    texts = [" ".join(words + swapped), " ".join(words + words), " ".join(far), " ".join(far[:5] + far[:5]), " ".join(far[:5] + far[5:])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in quality.assess(docs, labels(spark, [])).collect()}
+    for i, t in enumerate(texts):
+        r = rows[i]
+        assert (r["n_words"], r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_quality(t)
+    assert [rows[i].n_repeat_words for i in range(5)] == [0, 10, 0, 10, 0]
+
+
+def test_windows_of_one_hash_are_told_apart(spark, monkeypatch):
+    import numpy as np
+
+    from invdex.llm import words as W
+
+    texts = ["a b c d e f a b c d e g h i j k l m", "n o p q r n o p q r n o p q r", "only six words are in here", ""]
+    monkeypatch.setattr(W, "word_hashes", lambda buf, s, e, fold, **k: np.ones(len(s), np.uint64))
+    off = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    got = quality._Features(np.zeros(1 << quality.BITS))._slice(len(texts), np.frombuffer("".join(texts).encode(), np.uint8), off)
+    assert got[4].tolist() == [brute_quality(t)[4] for t in texts]
+
+
+def test_keep_one_of_linked_documents_without_ids(spark):
+    text = BASE + " tail"
+    rows = [(None, BASE), (None, text), (None, BASE.upper()), (None, "quite another text altogether, as it is"), (7, "a third one, with an id of its own")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    near = simhash.near_duplicates(df).where("doc_id IS NULL").select("fp", "root").distinct().collect()
+    assert len(near) == 3 and len({r.root for r in near}) == 2  # two fingerprints linked, one alone
+    kept = [r.text for r in simhash.keep_one(df).collect()]
+    assert len(kept) == 3 and len({BASE, text, BASE.upper()} & set(kept)) == 1
+
+
+def test_pii_context_is_whole_words(spark):
+    """Two long words with one common end share no pattern; a word that stands
+    before identifiers often enough has one, however long it is."""
+    tail = "t" * 60
+
+    def spans(words):
+        rows = [(i, f"{w}{tail} +1 555 010 20{i:02d} end") for i, w in enumerate(words)]
+        rows += [(90, f"three{tail} 555-0199-77 end"), (91, f"one{tail} 555-0199-78 end")]
+        return {r.doc_id: r.spans for r in pii.entities(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+
+    mixed = spans(["one"] * 3 + ["two"] * 3)
+    assert mixed[90] == mixed[91] == ""
+    known = spans(["one"] * 6)
+    assert known[90] == "" and known[91] == "phone:64:75"

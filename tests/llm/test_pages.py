@@ -55,6 +55,61 @@ def test_anchors_of_sections_are_no_names():
     assert html_text.main_text(page) == STORY + "\nRelated\nKept.\nSearch"
 
 
+COMMENT = "<p>I, too, disagree, a lot, with this, and will write, at length, about it, all day long, as I always do.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<article>{BODY}</article><section class='comments'><article>{COMMENT * 4}</article></section>",
+    f"<div id='post'>{BODY}</div><section class='comments'><article>{COMMENT * 4}</article></section>",
+    f"<div>{BODY}</div><aside><article>{COMMENT * 2}</article></aside><footer><article>{COMMENT}</article></footer>",
+    f"<article>{BODY}<article class='comment'>{COMMENT * 3}</article></article>",
+    f"<article>{BODY}<div class='comment-list'><article>{COMMENT * 3}</article></div></article>",
+    f"<div>{BODY}</div><article class='comment'>{COMMENT}</article>",
+    f"<main><article>{BODY}</article><section id='comments'><h2>Comments</h2>{COMMENT}</section></main>",
+    f"<div class='layout sidebar-left'><article>{BODY}</article><aside>{COMMENT}</aside></div><div class='related'><article><p>Teaser, short.</p></article></div>"])
+def test_comments_never_replace_the_story(page):
+    assert html_text.main_text(f"<html><body>{page}</body></html>") == STORY
+
+
+def test_a_div_per_paragraph():
+    page = "<div id='text'><div>Short.</div><div>A much longer paragraph, with commas, that scores high.</div><div>Tiny</div><div>End, of it.</div></div>"
+    assert html_text.main_text(page + f"<div class='sidebar'>{COMMENT}</div>") == (
+        "Short.\nA much longer paragraph, with commas, that scores high.\nTiny\nEnd, of it.")
+
+
+def generated(rng):
+    """(page, its story): known paragraphs in one of many layouts, with parts around
+    and inside that aren't main text."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+    text = lambda n: " ".join(word() + rng.choice(["", "", ","]) for _ in range(n)).rstrip(",")
+    story = [text(rng.randint(8, 60)) for _ in range(rng.randint(3, 8))]
+    story += [text(rng.randint(1, 4))]
+    one = rng.choice(["p", "div"])
+    noise = [lambda: f"<nav><a href='/'>{word()}</a><a href='/x'>{word()}</a></nav>", lambda: f"<aside><article><p>{text(30)}</p></article></aside>",
+             lambda: f"<div class='comments'><article class='comment'><p>{text(40)}</p></article><p>{text(30)}</p></div>",
+             lambda: f"<div class='ad-slot'>{text(5)}</div>", lambda: f"<form action='x'><label>{word()}</label><input name=q></form>",
+             lambda: f"<script>var {word()} = '<p>{word()}</p>';</script>", lambda: f"<div class='cookie-notice'><p>{text(9)}</p></div>",
+             lambda: f"<div class='sidebar'><p>{text(12)}</p></div>", lambda: f"<section class='comment-list'><p>{text(25)}</p></section>"]
+    some = lambda k: "".join(rng.choice(noise)() for _ in range(rng.randint(0, k)))
+    inner = "".join(f"<{one}>{s}</{one}>" + (some(1) if rng.random() < 0.3 else "") for s in story)
+    kind = rng.choice(["article", "main", "div id='content'", "section class='post'"])
+    body = f"<{kind}>{inner}</{kind.split()[0]}>"
+    for _ in range(rng.randint(0, 2)):
+        wrap = rng.choice(["div", "div class='wrapper'", "div class='has-sidebar'"] + ["div class='layout sidebar-right'"] * (kind in ("article", "main")))
+        body = f"<{wrap}>{body}</div>"
+    head = f"<header><h1>{text(3)}</h1></header>" if rng.random() < 0.5 else ""
+    return f"<html><head><title>{word()}</title></head><body>{head}{some(2)}{body}{some(3)}<footer><p>{text(6)}</p></footer></body></html>", "\n".join(story)
+
+
+def test_generated_pages():
+    import random
+
+    rng = random.Random(17)
+    for _ in range(400):
+        page, story = generated(rng)
+        assert html_text.main_text(page) == story, page
+
+
 def test_extract_is_linear_on_odd_pages():
     assert html_text.main_text("<div>" * 30_000 + "deep") == "deep"
     assert html_text.main_text("<a href=\"" * 20_000 + "x") == ""
