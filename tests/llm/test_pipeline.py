@@ -28,9 +28,9 @@ def test_query_matches_sql(spark, name):
     assert key(tuple(r[c] for c in cols) for r in df.collect()) == key(res.fetchall())
 
 
-def test_eleven_queries():
+def test_fourteen_queries():
     names = [n for n in E.queries() if n.startswith("op") or n == "pipeline"]
-    assert len(names) == 11
+    assert len(names) == 14
 
 
 def test_stages(spark):
