@@ -10,7 +10,8 @@ segment is therefore decodable on its own, and VB segment bytes joined in
 list: level 1 inside groups of FANOUT consecutive segments, level 2 over the
 per-group maxima of one term (at most max_doc_id / (SEGMENT * FANOUT) rows per
 term). The lists are built once, dealt by group, so level 1 needs no shuffle of
-its own; level 2 reads two narrow columns of the written lists.
+its own; level 2 reads two narrow columns of the written lists, and is left out
+while all documents fall into one group.
 
 ``skips(term_id, seg, first, last, n)`` is the narrow table that search uses to
 decide which segments have to be decoded.
@@ -34,12 +35,15 @@ ENCODED_COLUMNS = [c.split()[0] for c in ENCODED.split(", ")]
 SKIPS = ["term_id", "seg", "first", "last", "n"]
 
 
-def _with_bases(rows: DataFrame, keys: list[str], order: str, last: str, tag: str) -> DataFrame:
+def _with_bases(rows: DataFrame, keys: list[str], order: str, last: str, tag: str, one_group: bool) -> DataFrame:
     """``rows`` (written) with ``_base``: the ``last`` of the row before, per ``keys``.
     They are dealt by (keys, _hi), within which a window may run; groups further
     back count by their largest ``last``."""
     in_group = Window.partitionBy(*keys, "_hi").orderBy(order)
-    rows = stored(rows.withColumn("_prev", F.lag(last).over(in_group)), tag)
+    rows = rows.withColumn("_prev", F.lag(last).over(in_group))
+    if one_group:  # then there is nothing further back
+        return rows.withColumn("_base", F.coalesce("_prev", F.lit(0).cast("bigint"))).drop("_prev")
+    rows = stored(rows, tag)
     groups = (rows.groupBy(*keys, "_hi").agg(F.max(last).alias("_hi_last"))
               .withColumn("_hi_prev", F.lag("_hi_last").over(Window.partitionBy(*keys).orderBy("_hi")))
               .where(F.col("_hi_prev").isNotNull()).select(*keys, "_hi", "_hi_prev"))
@@ -56,7 +60,8 @@ def segments(post: DataFrame, seg_width: int = SEGMENT, fanout: int = FANOUT, ex
     rows = post.withColumn("seg", seg_of("did", seg_width)).withColumn("_hi", F.expr(f"seg div {int(fanout)}"))
     lists = (rows.repartition(*keys, "_hi").groupBy(*keys, "_hi", "seg").agg(F.array_sort(F.collect_list("did")).alias("dids"))
              .withColumn("_last", F.element_at("dids", -1)))
-    return _with_bases(lists, keys, "seg", "_last", "lists").select(*keys, "seg", F.col("_base").alias("base"), "dids")
+    top = post.agg(F.max("did")).first()[0] or 0
+    return _with_bases(lists, keys, "seg", "_last", "lists", top <= seg_width * fanout).select(*keys, "seg", F.col("_base").alias("base"), "dids")
 
 
 def block_segments(post: DataFrame, docs: DataFrame) -> DataFrame:
@@ -75,7 +80,8 @@ def merge_compressed(*parts: DataFrame, fanout: int = FANOUT) -> DataFrame:
     for p in parts[1:]:
         union = union.unionByName(p.select(*ENCODED_COLUMNS))
     rows = union.withColumn("_hi", F.expr(f"seg div {int(fanout)}")).repartition("term_id", "_hi")
-    linked = _with_bases(rows, ["term_id"], "first", "last", "coded-parts")
+    top = union.agg(F.max("seg")).first()[0] or 0
+    linked = _with_bases(rows, ["term_id"], "first", "last", "coded-parts", top < fanout)
     part = F.struct("first", "last", "n", F.col("_base").alias("new_base"), "vb", "gamma", "gamma_pad")
     joined = linked.groupBy("term_id", "seg").agg(F.array_sort(F.collect_list(part)).alias("parts"))
     return joined.mapInArrow(merge_batches, ENCODED)

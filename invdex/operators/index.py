@@ -200,12 +200,12 @@ def build_index(corpus: DataFrame) -> InvertedIndex:
     """A5: the full build in one pass of shuffles (no merge queue). What is read
     twice is written to the shared folder, so a lost executor costs no rebuild."""
     keyed = keyed_terms(corpus)
-    docs = stored(keyed_docs(keyed), "doc-dict")
+    docs = keyed_docs(keyed)  # numbered rows are checkpointed
     check_keys(docs)
     terms = doc_terms(keyed)
     if is_small(docs.select("key", "did")):
         rows = swap_keys(terms, docs, ["key"], small=True)
-        words = stored(word_dict(rows), "word-dict")
+        words = word_dict(rows)
         post = postings(rows, words)
     else:
         words, post = _narrow_index(terms, docs)

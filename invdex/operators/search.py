@@ -300,12 +300,17 @@ def sort_results(results: DataFrame, max_group: int | None = None) -> DataFrame:
     return global_rank_in_group(results, "query_id", ["doc_name"], "rank").select("query_id", "rank", "doc_name")
 
 
+def _term_sets(qterms: DataFrame) -> DataFrame:
+    """(query_id, _set): one name per set of terms."""
+    sets = qterms.groupBy("query_id").agg(F.sort_array(F.collect_set("token")).alias("_terms"))
+    return sets.select("query_id", F.sha2(F.to_json("_terms"), 256).alias("_set"))
+
+
 def query_classes(qterms: DataFrame) -> DataFrame:
     """(query_id, class_id): queries with the same set of terms share a class, named
     by its smallest query_id. A query's terms are one row; a class that many
     queries share is a partially aggregated minimum."""
-    keyed = qterms.groupBy("query_id").agg(F.sort_array(F.collect_set("token")).alias("_terms"))
-    keyed = stored(keyed.select("query_id", F.sha2(F.to_json("_terms"), 256).alias("_set")), "query-sets")
+    keyed = stored(_term_sets(qterms), "query-sets")
     reps = keyed.groupBy("_set").agg(F.min("query_id").alias("class_id"), F.count(F.lit(1)).alias("_w"))
     if is_small(reps):
         return keyed.join(F.broadcast(reps), "_set").select("query_id", "class_id")
@@ -326,15 +331,16 @@ def search(post: DataFrame, words: DataFrame, docs: DataFrame, queries: DataFram
            decode: Callable[[DataFrame], DataFrame] | None = None, skips: DataFrame | None = None) -> DataFrame:
     """Q5 end to end: (query_id, rank, doc_name).
 
-    Queries with one set of terms are evaluated, named and ranked once. Small
-    tables (the batch's term lookup, the hits and the named results) are
+    Queries with one set of terms are evaluated, named and ranked once. Narrow
+    tables (the batch's terms, their lookup and the hits) are
     written to the shared folder, so that the size checks and the branches do not
     recompute the work and nothing stays cached. ``decode``: see
     ``conjunctive_hits``; with ``skips``, see ``skip_hits``."""
     qterms = stored(parse_queries(queries), "query-terms")
-    classes = stored(query_classes(qterms), "classes")
-    shared = classes.where("query_id <> class_id").limit(1).count() > 0
+    n, sets = _term_sets(qterms).agg(F.count(F.lit(1)), F.count_distinct("_set")).first()
+    shared = n > sets
     if shared:
+        classes = query_classes(qterms)
         reps = classes.where("query_id = class_id").select("query_id")
         qterms = qterms.join(broadcast_if_small(reps), "query_id", "left_semi")
     lookup = stored(term_lookup(qterms, words, seek=seek), "lookup")
@@ -343,8 +349,8 @@ def search(post: DataFrame, words: DataFrame, docs: DataFrame, queries: DataFram
         hits = skip_hits(post, skips, lookup, decode, seek=seek, small=small)
     else:
         hits = conjunctive_hits(post, lookup, seek=seek, small=small, decode=decode)
-    named = stored(name_results(stored(hits, "hits"), docs, lookup), "named")
-    ranked = sort_results(named, largest_group(named))
+    hits = stored(hits, "hits")
+    ranked = sort_results(name_results(hits, docs, lookup), largest_group(hits))
     return fan_out(ranked, classes) if shared else ranked
 
 
