@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codecs import vb_encode_gaps
+from ..functions.text import doc_name
 from ..operators import compress as C
 from ..operators import index as X
 from ..operators import search as S
+from ..operators.ids import global_rank_in_group
+from ..operators.ordered_diff import ordered_diff
 from ..operators.skew import broadcast_if_small
 from ..session import app_id, scratch_path, stored
 from ..sources import index_store as IO
@@ -252,6 +255,18 @@ def q_result_diff(spark, sf_dir):
     return S.result_diff(actual, expected)
 
 
+def q_result_diff_ordered(spark, sf_dir):
+    """Q9 with order: the documents with 'the', shortest text first (actual),
+    against those with 'the of' by name (expected)."""
+    ix = index_for(spark, sf_dir)
+    q = spark.createDataFrame([(1, "the"), (2, "the of")], "query_id bigint, query_text string")
+    res = S.search(ix.postings, ix.word_dict, ix.doc_dict, q)
+    sizes = documents_corpus(spark, sf_dir).select(doc_name("block", "file").alias("line"), F.length("text").alias("n"))
+    lists = res.select(F.lit(1).cast("bigint").alias("query_id"), F.col("query_id").alias("which"), "rank", F.col("doc_name").alias("line"))
+    actual = global_rank_in_group(lists.where("which = 1").select("query_id", "line").join(sizes, "line"), "query_id", ["n", "line"], "rank")
+    return ordered_diff(actual, lists.where("which = 2"))
+
+
 # ------------------------------------------------------------- storage
 
 def stored_index_for(spark: SparkSession, sf_dir: str) -> str:
@@ -432,6 +447,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_benchmark": q_search_benchmark,
     "search_conversations": q_search_conversations,
     "result_diff": q_result_diff,
+    "result_diff_ordered": q_result_diff_ordered,
     "index_roundtrip": q_index_roundtrip,
     "plain_import": q_plain_import,
     "stored_vb_decode": q_stored_vb_decode,

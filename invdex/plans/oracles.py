@@ -153,6 +153,27 @@ ORACLES: dict[str, str] = {
   SELECT did, '+' AS side FROM (SELECT did FROM a EXCEPT ALL SELECT did FROM b)
   UNION ALL
   SELECT did, '-' AS side FROM (SELECT did FROM b EXCEPT ALL SELECT did FROM a)) x JOIN docs d USING (did)""",
+    "result_diff_ordered": "WITH RECURSIVE " + _with(
+        DOCS, TOKS, "dt AS (SELECT DISTINCT did, token FROM toks)",
+        """a AS (SELECT row_number() OVER (ORDER BY length(text), doc_name) AS ra, doc_name AS line
+  FROM docs WHERE did IN (SELECT did FROM dt WHERE token = 'the'))""",
+        """e AS (SELECT row_number() OVER (ORDER BY doc_name) AS re, doc_name AS line
+  FROM docs WHERE did IN (SELECT did FROM dt WHERE token = 'the' INTERSECT SELECT did FROM dt WHERE token = 'of'))""",
+        "pairs AS MATERIALIZED (SELECT line, ra, re FROM a FULL JOIN e USING (line))",
+        """m AS MATERIALIZED (SELECT line, ra, re, row_number() OVER (ORDER BY ra) AS pos, row_number() OVER (ORDER BY re) AS pt
+  FROM pairs WHERE ra IS NOT NULL AND re IS NOT NULL)""",
+        """lis AS (SELECT CAST(0 AS BIGINT) AS pos, CAST(0 AS BIGINT) AS lvl, CAST([] AS BIGINT[]) AS tails
+  UNION ALL
+  SELECT pos + 1, k + 1, list_concat(list_concat(tails[1:k], [pt]), tails[k + 2:])
+  FROM (SELECT l.pos, l.tails, m.pt, len(list_filter(l.tails, lambda x: x < m.pt)) AS k FROM lis l JOIN m ON m.pos = l.pos + 1))""",
+        "lv AS MATERIALIZED (SELECT pos, lvl FROM lis WHERE pos > 0)",
+        """keep AS (SELECT max(pos) AS pos, any_value(lvl) AS lvl FROM lv WHERE lvl = (SELECT max(lvl) FROM lv)
+  UNION ALL
+  SELECT (SELECT max(lv.pos) FROM lv WHERE lv.lvl = keep.lvl - 1 AND lv.pos < keep.pos), keep.lvl - 1 FROM keep WHERE keep.lvl > 1)""")[5:]
+    + """SELECT CAST(1 AS BIGINT) AS query_id, CASE WHEN re IS NULL THEN '+' ELSE '-' END AS side, line, ra AS rank_actual, re AS rank_expected
+FROM pairs WHERE ra IS NULL OR re IS NULL
+UNION ALL
+SELECT 1, 'moved', line, ra, re FROM m WHERE pos NOT IN (SELECT pos FROM keep WHERE pos IS NOT NULL)""",
     "index_roundtrip": _search(dev_queries_sql()),
     "plain_import": _index() + "SELECT term_id, did FROM post",
     "stored_vb_decode": _index() + "SELECT term_id, did FROM post",
