@@ -11,14 +11,18 @@ Reading: index first. The selected records are sorted by file and offset, dealt
 out by file and 8 MB stretch, and neighbouring byte ranges are coalesced into
 single reads.
 
-Only ids and digests are grouped to find the equal payloads; the html itself is
-shuffled once, by (digest, page_id), so a payload that many pages share doesn't
-land in one task.
+Equal payloads are found in a narrow table (digest, page_id, url, rows, bytes),
+aggregated before its shuffle. Revisit records need no html and are made from that
+table alone; of the pages themselves the scan leaves out those the table names, whose
+set is broadcast after a size check, or else joined with salt. So an html is written by
+the task that reads it; only pages that stand there twice with one id, url and
+payload are merged (one row per task before the shuffle).
 
 Defined cases: null html is an empty payload (all pages without payload are
 equal); a null page_id sorts last and is null again when read; two rows with the
 same smallest page_id and payload are one response and one revisit; null urls
-are written without a target; other columns are ignored.
+are written without a target; other columns are ignored; an empty table gives
+an empty index.
 """
 
 from __future__ import annotations
@@ -33,8 +37,8 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from ..operators.skew import is_small, salted_join
 from ..session import scratch_path
 from .common import prepare, table, written
 
@@ -43,6 +47,7 @@ FILE_BYTES = 512 << 20   # a task starts a new file beyond this size
 READ_BYTES = 8 << 20     # most bytes read at once (one longer record: its own read)
 GAP_BYTES = 64 << 10     # gaps up to this size are read over
 NO_ID = 2**63 - 1
+COPIES = 1 << 16         # most rows one task makes of a repeated one
 DATE = "2000-01-01T00:00:00Z"  # fixed, so that archives are reproducible
 
 INDEX = "path string, offset bigint, length bigint, page_id bigint, url string, digest string, payload_bytes bigint, record_type string"
@@ -61,10 +66,11 @@ def _urn(page_id) -> str:
     return f"<urn:page:{'' if page_id is None else page_id}>"
 
 
-def _record(page_id, url, payload: bytes, digest: str, first) -> bytes:
-    """One uncompressed record; ``first`` is the response's id for revisits."""
+def _record(page_id, url, payload: bytes, size: int, digest: str, first) -> bytes:
+    """One uncompressed record; ``first`` is the response's id for revisits, which
+    give the ``size`` of a payload they don't hold."""
     kind = "response" if first is False else "revisit"
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + payload if kind == "response" else http
     head = [("WARC-Type", kind), ("WARC-Record-ID", _urn(page_id)), ("WARC-Date", DATE)]
     if url is not None:
@@ -100,13 +106,13 @@ def _writer(root: str):
                     name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                     path = f"{root}/{name}"
                     out = store.open_output_stream(f"{base}/{name}", compression=None)
-                payload = (r["html"] or "").encode()
+                payload, size = (r["html"] or "").encode(), r["bytes"]
                 digest = base64.b32encode(bytes.fromhex(r["sha1"])).decode()
                 first = False if r["response"] else (None if r["first"] == NO_ID else r["first"])
-                member = gzip.compress(_record(r["page_id"], r["url"], payload, digest, first), 5, mtime=0)
+                member = gzip.compress(_record(r["page_id"], r["url"], payload, size, digest, first), 5, mtime=0)
                 out.write(member)
                 for k, v in (("path", path), ("offset", at), ("length", len(member)), ("page_id", r["page_id"]), ("url", r["url"]),
-                             ("digest", digest), ("payload_bytes", len(payload)), ("record_type", "response" if r["response"] else "revisit")):
+                             ("digest", digest), ("payload_bytes", size), ("record_type", "response" if r["response"] else "revisit")):
                     index[k].append(v)
                 at += len(member)
             yield pa.RecordBatch.from_pydict(index, schema=pa.schema([
@@ -121,15 +127,31 @@ def write(pages: DataFrame, root: str, min_bytes: int = MIN_BYTES) -> DataFrame:
     """Write the archives below ``root``; returns their index (written)."""
     prepare(pages.sparkSession)
     p = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    p = p.withColumn("sha1", F.sha1("html")).withColumn("id", F.coalesce("page_id", F.lit(NO_ID)))
-    pairs = written(p.groupBy("sha1", "id").agg(F.max(F.octet_length("html")).alias("bytes")), "warc-pairs")
-    first = pairs.groupBy("sha1").agg(F.min("id").alias("first"))
-    known = pairs.join(first, "sha1").withColumn("alone", F.col("bytes") < min_bytes).drop("bytes")
-    again = F.row_number().over(Window.partitionBy("sha1", "id").orderBy("url"))
-    rows = p.join(known, ["sha1", "id"]).withColumn("response", F.col("alone") | ((F.col("id") == F.col("first")) & (again == 1)))
+    p = p.withColumns({"sha1": F.sha1("html"), "bytes": F.octet_length("html"), "id": F.coalesce("page_id", F.lit(NO_ID)),
+                       "none": F.col("page_id").isNull()})
+    pairs = written(p.filter(F.col("bytes") >= min_bytes).groupBy("sha1", "id", "none", "url", "page_id")
+                    .agg(F.count(F.lit(1)).alias("n"), F.max("bytes").alias("bytes")), "warc-pairs")
+    shared = (pairs.groupBy("sha1").agg(F.min(F.struct("id", "none", "url")).alias("first"), F.sum("n").alias("rows"))
+              .filter("rows > 1"))
+    known = pairs.join(F.broadcast(shared), "sha1") if is_small(shared) else salted_join(pairs, shared, "sha1", "rows", "id")
+    known = written(known.withColumn("leads", F.struct("id", "none", "url") == F.col("first")), "warc-copies")
+    # revisits, from the narrow table; a row that stands for many is dealt out in two steps
+    more = known.withColumn("again", F.col("n") - F.col("leads").cast("int")).filter("again > 0")
+    more = (more.withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("again") - 1) / COPIES)))).repartition("sha1", "id", "k")
+            .withColumn("j", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(F.lit(COPIES), F.col("again") - F.col("k") * COPIES)))))
+    revisits = more.select("page_id", "url", F.lit(None).cast("string").alias("html"), "sha1", "bytes", F.col("first.id").alias("first"),
+                           F.lit(False).alias("response"))
+    # responses: the pages without those named, and one of each leading row that stands there twice
+    named = known.filter("NOT leads OR n > 1").select(F.struct("sha1", "id", "none", "url").alias("key"), "leads", "n")
+    keyed = p.withColumn("key", F.struct("sha1", "id", "none", "url"))
+    met = keyed.join(F.broadcast(named), "key", "left") if is_small(named) else salted_join(keyed, named, "key", "n", "bytes", how="left")
+    cols = ["page_id", "url", "html", "sha1", "bytes", F.lit(None).cast("bigint").alias("first"), F.lit(True).alias("response")]
+    rows = met.filter("n IS NULL").select(*cols).unionByName(revisits)
+    if not named.filter("leads").isEmpty():
+        rows = rows.unionByName(met.filter("leads").dropDuplicates(["sha1", "id", "none", "url"]).select(*cols))
     store, base = _open(root)
     store.create_dir(base, recursive=True)
-    index = rows.select("page_id", "url", "html", "sha1", "first", "response").mapInArrow(_writer(root), INDEX)
+    index = rows.mapInArrow(_writer(root), INDEX)
     return written(index, "warc-index")
 
 

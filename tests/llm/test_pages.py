@@ -183,3 +183,26 @@ def test_chat_reads_back(spark, tmp_path):
     assert key(got) == key(con.execute(chat.ORACLE).fetchall())
     empty = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert chat.windows(empty).count() == 0
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_warc_many_copies_without_ids(spark, monkeypatch, small):
+    """A payload of many pages, most of them without id or url: one response, and
+    no html but that of responses reaches the writer; also beyond broadcast size."""
+    if not small:
+        monkeypatch.setattr(warc, "is_small", lambda df: False)
+    monkeypatch.setattr(warc, "COPIES", 7)
+    rows = [(None, None, "copy")] * 50 + [(9, "u", "copy")] * 3 + [(k, f"u{k}", "copy") for k in range(10, 30)]
+    rows += [(k, f"v{k}", f"own {k}") for k in range(40, 60)] + [(None, "a", "twice"), (None, "b", "twice"), (None, None, None)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    index = warc.write(df, scratch_path(spark, "warc-copies-test"))
+    got = warc.read(index).collect()
+    assert sorted((r.page_id or -1, r.url or "") for r in got) == sorted((i or -1, u or "") for i, u, _ in rows)
+    size = {"copy": 4, "twice": 5}
+    for r in got:
+        text = next(h for i, u, h in rows if (i, u) == (r.page_id, r.url)) if r.page_id or r.url else None
+        assert text is None or r.payload_bytes == size.get(text, len(text))
+    lead = [r for r in got if r.record_type == "response"]
+    assert sorted((r.page_id or -1, r.url or "") for r in lead) == sorted(
+        [(9, "u"), (-1, "a"), (-1, "")] + [(k, f"v{k}") for k in range(40, 60)])
+    assert all(r.refers_to == (9 if r.payload_bytes == 4 else None) for r in got if r.record_type == "revisit")
