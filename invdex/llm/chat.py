@@ -7,7 +7,10 @@ a cell's border is a span of its own, so a window's new turns fit the stride
 unless one turn alone is longer (turns are never cut). Every window repeats the
 conversation's system turn (a first turn with role ``system``) and the turns of
 the last ``HISTORY`` tokens before it; the loss mask covers only assistant turns
-that are new in the window, so each is learned once.
+that are new in the window, so each is learned once. At least a quarter of the budget
+is for new turns: a long system turn first shortens the history, and one above three
+quarters of the budget isn't repeated but is a turn like the others. So a window is
+longer than the budget only by a single turn that is too long for a stride.
 
 Template: ``<|role|>`` newline, text, newline ``<|end|>`` newline. In texts and
 roles ``&`` and ``<`` (in roles also ``|``) are written as entities, which is
@@ -75,24 +78,25 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
     (code point spans of new assistant texts)."""
     prepare(turns.sparkSession)
     t = written(_positions(turns), "chat-positions")
-    is_system = (F.col("n") == 1) & (F.col("role") == "system")
+    least = budget // 4
+    is_system = (F.col("n") == 1) & (F.col("role") == "system") & (F.col("tok") <= budget - least)
     system = t.filter(is_system)
     rest = t.filter(~is_system).join(broadcast_if_small(system.select("key", F.col("tok").alias("sys"))), "key", "left")
     rest = rest.withColumn("sys", F.coalesce("sys", F.lit(0))).withColumn("start", F.col("start") - F.col("sys"))
-    stride = F.greatest(F.lit(budget // 4), F.lit(budget - history) - F.col("sys"))
-    rest = rest.withColumn("stride", stride).withColumn("cell", F.floor(F.col("start") / F.col("stride")))
+    rest = rest.withColumn("hist", F.least(F.lit(history), F.lit(budget - least) - F.col("sys")))
+    rest = rest.withColumn("stride", F.lit(budget) - F.col("hist") - F.col("sys")).withColumn("cell", F.floor(F.col("start") / F.col("stride")))
     crosses = F.floor((F.col("start") + F.col("tok") - 1) / F.col("stride")) != F.col("cell")
     rest = written(rest.withColumn("window", F.col("cell") * 2 + crosses.cast("int")), "chat-spans")
     cols = ["conv_id", "key", "window", "n", "role", "text", "new"]
     spans = written(rest.groupBy("key", "window").agg(F.min("start").alias("first"), F.min("n").alias("first_n")), "chat-windows")
-    # history: a turn goes to the later windows that start within ``history``
+    # history: a turn goes to the later windows that start within ``hist``
     # tokens of its own start; their cells are known, so this is an equi-join
-    cells = F.sequence(F.floor((F.col("start") + F.col("tok")) / F.col("stride")), F.floor((F.col("start") + history) / F.col("stride")))
-    later = (rest.filter(F.col("tok") <= history).withColumn("c", F.explode(cells))
+    cells = F.sequence(F.floor((F.col("start") + F.col("tok")) / F.col("stride")), F.floor((F.col("start") + F.col("hist")) / F.col("stride")))
+    later = (rest.filter("tok <= hist").withColumn("c", F.explode(cells))
              .withColumn("to", F.explode(F.array(F.col("c") * 2, F.col("c") * 2 + 1))).filter("to > window")
              .drop("window").withColumnRenamed("to", "window"))
     hist = (later.join(broadcast_if_small(spans), ["key", "window"])
-            .filter((F.col("first") >= F.col("start") + F.col("tok")) & (F.col("first") - F.col("start") <= history))
+            .filter((F.col("first") >= F.col("start") + F.col("tok")) & (F.col("first") - F.col("start") <= F.col("hist")))
             .withColumn("new", F.lit(False)).select(cols))
     head = (system.join(spans, "key", "left").withColumn("new", F.coalesce(F.col("first_n") == 2, F.lit(True)))
             .withColumn("window", F.coalesce("window", F.lit(0))).select(cols))

@@ -206,3 +206,21 @@ def test_warc_many_copies_without_ids(spark, monkeypatch, small):
     assert sorted((r.page_id or -1, r.url or "") for r in lead) == sorted(
         [(9, "u"), (-1, "a"), (-1, "")] + [(k, f"v{k}") for k in range(40, 60)])
     assert all(r.refers_to == (9 if r.payload_bytes == 4 else None) for r in got if r.record_type == "revisit")
+
+
+@pytest.mark.parametrize("size", [100, 300, 380, 400, 1200])
+def test_chat_long_system_turn(spark, size):
+    """Windows keep the budget whatever the system turn's length; it is repeated
+    up to three quarters of the budget, and stands once beyond."""
+    turns = [(1, 0, "system", "s " * size)] + [(1, i, "user" if i % 2 else "assistant", f"t{i} " + "w " * (i % 9)) for i in range(1, 200)]
+    df = spark.createDataFrame(turns, "conv_id bigint, turn int, role string, text string")
+    got = chat.read_back(chat.windows(df)).collect()
+    heads = 0
+    for r in got:
+        pieces = r.text.split("\n<|end|>\n")[:-1]
+        tokens = [len(p.split("|>\n", 1)[1].split()) + chat.OVERHEAD for p in pieces]
+        heads += pieces[0].startswith("<|system|>")
+        assert sum(tokens) <= chat.BUDGET or len(tokens) == 1
+    assert len(got) > 3 and heads == (len(got) if size + chat.OVERHEAD <= chat.BUDGET * 3 // 4 else 1)
+    new = [t for r in sorted(got, key=lambda r: r.window) for t in r.turns]
+    assert sorted((t.role, t.text) for t in new) == sorted((role, text) for _, _, role, text in turns)
