@@ -76,7 +76,7 @@ def main() -> None:
 
     def search(queries):
         def go():
-            _run(S.search(stored.postings, stored.word_dict, stored.doc_dict, queries, seek=True))
+            _run(S.search(stored.postings, stored.word_dict, stored.doc_dict, queries, seek=True, order=stored.name_order))
         return go
 
     timed("search_dev", search(W.dev_queries(spark)))

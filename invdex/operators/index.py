@@ -61,6 +61,12 @@ def doc_dict(corpus: DataFrame) -> DataFrame:
     return keyed_docs(corpus).drop("key")
 
 
+def name_order(docs: DataFrame) -> DataFrame:
+    """Q7 + Q8: (did, name_rank), rank from 1 in byte order of the names (equal
+    names by did). Results are then ordered by numbers; only here names are sorted."""
+    return dense_ids(docs.select("did", "doc_name"), ["doc_name", "did"], "name_rank", start=1).select("did", "name_rank")
+
+
 def check_keys(docs: DataFrame) -> None:
     """Documents must have unique, non-null (block, file) keys; a clear error
     instead of lost or doubled postings."""
@@ -179,6 +185,7 @@ class InvertedIndex:
     word_dict: DataFrame   # term_id, token, df
     postings: DataFrame    # term_id, did
     corpus: DataFrame | None = None      # block, file, text (a build's input)
+    name_order: DataFrame | None = None  # did, name_rank
 
 
 def _narrow_index(terms: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -209,4 +216,5 @@ def build_index(corpus: DataFrame) -> InvertedIndex:
         post = postings(rows, words)
     else:
         words, post = _narrow_index(terms, docs)
-    return InvertedIndex(docs.drop("key"), words, post, corpus)
+    docs = docs.drop("key")
+    return InvertedIndex(docs, words, post, corpus, name_order(docs))

@@ -17,9 +17,9 @@ Plan, for a batch:
 5. Q3/Q5  every candidate (query, did) is checked against the postings of the
           other terms with a join on (term_id, did): unique keys, no skew;
           a doc is a hit when all n terms are present;
-6. Q6-Q8  names, sentinel rows, rank by name: a window per query when the
-          largest result is known to fit one task, else a global numbering
-          that splits a huge result across partitions.
+6. Q6-Q8  rank by the stored name order, names and sentinel rows last: a
+          window per query when the largest result is known to fit one task,
+          else a global numbering that splits a huge result across partitions.
 
 Postings are read only for the batch's terms (a broadcast semi-join, or a literal
 ``term_id IN (...)`` that Parquet row-group statistics prune when the index
@@ -286,8 +286,9 @@ def largest_group(results: DataFrame) -> int:
     return int(v or 0)
 
 
-def sort_results(results: DataFrame, max_group: int | None = None) -> DataFrame:
-    """Q8: rank 1.. per query by doc name, byte order.
+def sort_results(results: DataFrame, max_group: int | None = None, by: str = "doc_name", value: str = "doc_name") -> DataFrame:
+    """Q8: (query_id, rank, ``value``), rank 1.. per query by doc name, byte order
+    (or by the column ``by``).
 
     When the largest result is known to fit one task (``RANK_WINDOW_MAX``),
     a window per query; otherwise one global numbering split across
@@ -295,9 +296,19 @@ def sort_results(results: DataFrame, max_group: int | None = None) -> DataFrame:
     if max_group is None:
         max_group = largest_group(results)
     if max_group <= RANK_WINDOW_MAX:
-        w = Window.partitionBy("query_id").orderBy("doc_name")
-        return results.select("query_id", F.row_number().over(w).cast("bigint").alias("rank"), "doc_name")
-    return global_rank_in_group(results, "query_id", ["doc_name"], "rank").select("query_id", "rank", "doc_name")
+        w = Window.partitionBy("query_id").orderBy(by)
+        return results.select("query_id", F.row_number().over(w).cast("bigint").alias("rank"), value)
+    return global_rank_in_group(results, "query_id", [by], "rank").select("query_id", "rank", value)
+
+
+def name_ranked(hits: DataFrame, docs: DataFrame, order: DataFrame, lookup: DataFrame, max_group: int) -> DataFrame:
+    """Q6-Q8 by the stored name order: hits are ranked as rows of three numbers,
+    then the ranked rows meet their names. A query that has terms but no hit gets
+    its sentinel row in a union, so a query with many hits stays spread out."""
+    ranked = sort_results(hits.join(order, "did"), max_group, by="name_rank", value="did")
+    named = ranked.join(docs.select("did", "doc_name"), "did").select("query_id", "rank", "doc_name")
+    empty = lookup.select("query_id").distinct().join(hits.select("query_id").distinct(), "query_id", "left_anti")
+    return named.unionByName(empty.select("query_id", F.lit(1).cast("bigint").alias("rank"), F.lit(NO_RESULTS).alias("doc_name")))
 
 
 def _term_sets(qterms: DataFrame) -> DataFrame:
@@ -328,14 +339,16 @@ def fan_out(results: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def search(post: DataFrame, words: DataFrame, docs: DataFrame, queries: DataFrame, seek: bool = False,
-           decode: Callable[[DataFrame], DataFrame] | None = None, skips: DataFrame | None = None) -> DataFrame:
+           decode: Callable[[DataFrame], DataFrame] | None = None, skips: DataFrame | None = None,
+           order: DataFrame | None = None) -> DataFrame:
     """Q5 end to end: (query_id, rank, doc_name).
 
     Queries with one set of terms are evaluated, named and ranked once. Narrow
     tables (the batch's terms, their lookup and the hits) are
     written to the shared folder, so that the size checks and the branches do not
     recompute the work and nothing stays cached. ``decode``: see
-    ``conjunctive_hits``; with ``skips``, see ``skip_hits``."""
+    ``conjunctive_hits``; with ``skips``, see ``skip_hits``. ``order``: the index's
+    (did, name_rank); without it the names themselves are sorted."""
     qterms = stored(parse_queries(queries), "query-terms")
     n, sets = _term_sets(qterms).agg(F.count(F.lit(1)), F.count_distinct("_set")).first()
     shared = n > sets
@@ -350,7 +363,10 @@ def search(post: DataFrame, words: DataFrame, docs: DataFrame, queries: DataFram
     else:
         hits = conjunctive_hits(post, lookup, seek=seek, small=small, decode=decode)
     hits = stored(hits, "hits")
-    ranked = sort_results(name_results(hits, docs, lookup), largest_group(hits))
+    if order is not None:
+        ranked = name_ranked(hits, docs, order, lookup, largest_group(hits))
+    else:
+        ranked = sort_results(name_results(hits, docs, lookup), largest_group(hits))
     return fan_out(ranked, classes) if shared else ranked
 
 

@@ -226,7 +226,12 @@ def q_query_classes(spark, sf_dir):
 
 def _search(spark, sf_dir, queries):
     ix = index_for(spark, sf_dir)
-    return S.search(ix.postings, ix.word_dict, ix.doc_dict, queries)
+    return S.search(ix.postings, ix.word_dict, ix.doc_dict, queries, order=ix.name_order)
+
+
+def q_name_order(spark, sf_dir):
+    """Q7 + Q8: the stored numbering of the documents by name."""
+    return IO.read_index(spark, stored_index_for(spark, sf_dir)).name_order
 
 
 def q_search_dev(spark, sf_dir):
@@ -285,7 +290,7 @@ def q_index_roundtrip(spark, sf_dir):
     """Write the index, open it again, answer the dev queries with
     literal term filters pushed into the Parquet scans."""
     ix = IO.read_index(spark, stored_index_for(spark, sf_dir))
-    return S.search(ix.postings, ix.word_dict, ix.doc_dict, W.dev_queries(spark), seek=True)
+    return S.search(ix.postings, ix.word_dict, ix.doc_dict, W.dev_queries(spark), seek=True, order=ix.name_order)
 
 
 def q_plain_import(spark, sf_dir):
@@ -307,7 +312,7 @@ def _search_compressed(spark, sf_dir, queries, form):
     root = stored_index_for(spark, sf_dir)
     ix = IO.read_index(spark, root)
     return S.search(IO.read_compressed(spark, root), ix.word_dict, ix.doc_dict, queries, seek=True,
-                    decode=lambda enc: C.decode_lists(enc, form), skips=IO.read_skips(spark, root))
+                    decode=lambda enc: C.decode_lists(enc, form), skips=IO.read_skips(spark, root), order=ix.name_order)
 
 
 def q_search_vb(spark, sf_dir):
@@ -321,6 +326,18 @@ def q_search_gamma(spark, sf_dir):
     return _search_compressed(spark, sf_dir, W.benchmark_queries(spark, sf_dir), "gamma")
 
 
+def q_search_bucketed(spark, sf_dir):
+    """Q1-Q8 over the bucketed dictionary, VB lists and skips, for every
+    conversation turn."""
+    root = stored_index_for(spark, sf_dir)
+    key = (app_id(spark), sf_dir, "bucketed")
+    if key not in _CACHE:
+        _CACHE[key] = IO.read_bucketed(spark, root, IO.write_bucketed(spark, root))
+    t, ix = _CACHE[key], IO.read_index(spark, root)
+    return S.search(t["compressed"], t["word_dict"], ix.doc_dict, W.conversation_queries(spark, sf_dir),
+                    decode=lambda enc: C.decode_lists(enc, "vb"), skips=t["skips"], order=ix.name_order)
+
+
 def q_skip_segments(spark, sf_dir):
     """Q3 + C4/C6: per benchmark and dev query, the segments of its terms and those
     that search decodes."""
@@ -351,7 +368,7 @@ def q_query_file_search(spark, sf_dir):
      .select("query_text").write.text(f"{root}/queries"))
     queries = IO.read_query_lines(spark, f"{root}/queries")
     ix = index_for(spark, sf_dir)
-    IO.write_results(S.search(ix.postings, ix.word_dict, ix.doc_dict, queries), f"{root}/results")
+    IO.write_results(S.search(ix.postings, ix.word_dict, ix.doc_dict, queries, order=ix.name_order), f"{root}/results")
     return spark.read.schema("query_id bigint, rank bigint, doc_name string").parquet(f"{root}/results")
 
 
@@ -415,7 +432,7 @@ def q_stream_index_search(spark, sf_dir):
     answers the dev queries."""
     t = stream_index_for(spark, sf_dir)
     ix = IS.compact(spark, f"{t['root']}/state", scratch_path(spark, "compacted"))
-    return S.search(ix.postings, ix.word_dict, ix.doc_dict, W.dev_queries(spark), seek=True)
+    return S.search(ix.postings, ix.word_dict, ix.doc_dict, W.dev_queries(spark), seek=True, order=ix.name_order)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -460,6 +477,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_index_search": q_stream_index_search,
     "search_vb": q_search_vb,
     "search_gamma": q_search_gamma,
+    "search_bucketed": q_search_bucketed,
+    "name_order": q_name_order,
     "skip_segments": q_skip_segments,
     "merge_compressed": q_merge_compressed,
     "query_classes": q_query_classes,

@@ -144,6 +144,8 @@ ORACLES: dict[str, str] = {
     "conjunctive_hits": _with(DOCS, TOKS, *_qterms(CONVERSATION_QUERIES_SQL)[:3], *_hits())
     + "SELECT query_id, did FROM hits",
     "search_dev": _search(dev_queries_sql()),
+    "search_bucketed": _search(CONVERSATION_QUERIES_SQL),
+    "name_order": _with(DOCS) + "SELECT did, row_number() OVER (ORDER BY doc_name, did) AS name_rank FROM docs",
     "search_benchmark": _search(BENCHMARK_QUERIES_SQL),
     "search_conversations": _search(CONVERSATION_QUERIES_SQL),
     "result_diff": _with(DOCS, TOKS, "dt AS (SELECT DISTINCT did, token FROM toks)",

@@ -48,7 +48,7 @@ def start_search_stream(spark: SparkSession, ix: InvertedIndex, source_dir: str,
     )
 
     def answer(batch: DataFrame, epoch_id: int) -> None:
-        res = search(ix.postings, ix.word_dict, ix.doc_dict, batch, seek=seek)
+        res = search(ix.postings, ix.word_dict, ix.doc_dict, batch, seek=seek, order=ix.name_order)
         res.write.mode("overwrite").parquet(f"{sink_dir}/epoch={epoch_id}")
 
     w = queries.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint_dir)
@@ -139,7 +139,7 @@ def start_line_search(spark: SparkSession, ix: InvertedIndex, source_dir: str, s
                       encoding: str | None = None, split_bytes: int = SPLIT_BYTES):
     def answer(batch: DataFrame, epoch_id: int) -> None:
         lines = stored(batch.withColumn("query_id", F.monotonically_increasing_id()), "query-lines")
-        res = search(ix.postings, ix.word_dict, ix.doc_dict, lines.select("query_id", "query_text"), seek=seek)
+        res = search(ix.postings, ix.word_dict, ix.doc_dict, lines.select("query_id", "query_text"), seek=seek, order=ix.name_order)
         out = _with_line(res, lines.select("query_id", *[c.split()[0] for c in LINE_SCHEMA.split(", ")]), "query_id").drop("query_id")
         out.write.mode("overwrite").parquet(f"{sink_dir}/results/epoch={epoch_id}")
         lines.select("path", "offset").write.mode("overwrite").parquet(f"{sink_dir}/lines/epoch={epoch_id}")
