@@ -1,4 +1,4 @@
-"""Labelled rows for fitting, as a bounded sample, and task-side counting."""
+"""Labelled rows for fitting, and task-side counting."""
 
 from __future__ import annotations
 
@@ -8,27 +8,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bound of every labelled sample: expected rows per class. A class with fewer
-# labelled rows is used whole; a larger one is sampled by a seeded hash of its
-# doc_id. This is what makes the broadcast of the sample bounded.
-MAX_PER_CLASS = 100_000
-
-
 def fold(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, mod 5 (null ids: 0)."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)), F.lit(0)).cast("int")
 
 
-def sample(labels: DataFrame, label: str, most: int = MAX_PER_CLASS) -> DataFrame:
-    """(doc_id, y, part) of at most about ``most`` rows per class, as a
-    broadcast table. Null ids or labels are left out; a doc_id labelled twice
-    counts once, with its larger label."""
+def labelled(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, y, part) of every labelled row. Null ids or labels are left out; a
+    doc_id labelled twice counts once, with its larger label. Joins broadcast it only
+    after a check of its size."""
     rows = (labels.select("doc_id", F.col(label).cast("int").alias("y")).filter("doc_id IS NOT NULL AND y IN (0, 1)")
             .groupBy("doc_id").agg(F.max("y").alias("y")))
-    n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.when(F.col("y") == 1, F.lit(min(1.0, most / max(1, n.get(1, 0))))).otherwise(F.lit(min(1.0, most / max(1, n.get(0, 0)))))
-    picked = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < share * F.lit(1 << 30))
-    return F.broadcast(picked.withColumn("part", fold()))
+    return rows.withColumn("part", fold())
 
 
 def count_text(df: DataFrame, cols: list[str], schema: str,

@@ -7,9 +7,9 @@ over the buckets are counted (trusted target: labelled quality = 1; raw corpus:
 every document), and a document scores the mean log ratio of its n-grams. Every
 document is compared with one threshold, deterministically.
 
-The target is counted on labelled rows with crc32(doc_id) mod 5 <> 0 (bounded by
-``labelled.sample``); the threshold is the ``LOSS`` quantile of the trusted rows
-of the remaining fifth, so about one trusted text in a thousand is lost.
+The target is counted on all labelled rows with crc32(doc_id) mod 5 <> 0; the
+threshold is the exact ``LOSS`` quantile of all trusted rows of the remaining fifth,
+so about one trusted text in a thousand is lost.
 
 Repeated windows are found by 64-bit hashes within one text, and the bytes of
 their words are compared; should windows with one hash differ, the text's windows
@@ -24,15 +24,18 @@ called.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.skew import broadcast_if_small
 from . import words as W
 from .common import map_text, prepare, table, written
-from .labelled import count_text, fold, sample
+from .labelled import count_text, fold, labelled
 
 BITS = 18
 WINDOW = 5
@@ -142,16 +145,24 @@ def _repeated(buf, s, e, row, rows, again) -> np.ndarray:
     return np.concatenate(out)
 
 
+def quantile(df: DataFrame, col: str, share: float) -> float | None:
+    """Smallest value with at least ``share`` of all rows at or below it, exactly; null
+    without rows. Only that share of the values is sorted."""
+    n = df.count()
+    return df.select(col).orderBy(col).limit(max(1, math.ceil(share * n))).agg(F.max(col)).first()[0]
+
+
 def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, base features, ``score``, ``base_failed`` and ``kept``."""
     spark = docs.sparkSession
     prepare(spark)
-    good = sample(labels, "quality").filter("y = 1")
-    ratio = log_ratios(docs, F.broadcast(good.filter("part <> 0")))
+    good = labelled(labels, "quality").filter("y = 1")
+    ratio = log_ratios(docs, broadcast_if_small(good.filter("part <> 0").select("doc_id")))
     shared = spark.sparkContext.broadcast(ratio)
     out = written(map_text(docs.select("doc_id", "text"), "text", _FIELDS, lambda: _Features(shared.value), keep=["doc_id"]), "quality")
-    held = out.join(F.broadcast(good.filter("part = 0").select("doc_id")), "doc_id", "left_semi").filter(f"n_words >= {MIN_WORDS}")
-    threshold = held.agg(F.percentile_approx("score", F.lit(LOSS), F.lit(100_000))).first()[0]
+    held = (out.select("doc_id", "n_words", "score").join(broadcast_if_small(good.filter("part = 0").select("doc_id")), "doc_id", "left_semi")
+            .filter(f"n_words >= {MIN_WORDS}"))
+    threshold = quantile(held, "score", LOSS)
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT)
     return (out.withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(-1e300 if threshold is None else threshold))))

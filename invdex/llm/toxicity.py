@@ -21,8 +21,7 @@ fall into one of ``TABLE`` hash slots share their mean (weighted by their
 counts): the table has a fixed size, whatever the vocabulary, and every expression
 is in the model.
 
-Fitting: only labelled rows with crc32(doc_id) mod 5 <> 0 (``labelled.sample``
-bounds their number). Models counted on folds 2-4 score fold 1, which fixes the
+Fitting: all labelled rows with crc32(doc_id) mod 5 <> 0. Models counted on folds 2-4 score fold 1, which fixes the
 evidence threshold t with the fewest errors; the final models use folds 1-4.
 score = (1 + z / (1 + |z|)) / 2 with z = 4 (x - t) / t: 0.5 at the threshold, 0.1
 without evidence, and never so close to 0 or 1 that documents tie.
@@ -40,11 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from ..operators.skew import salted_join
+from ..operators.ids import dense_ids
+from ..operators.skew import is_small, salted_join
 from . import words as W
 from .common import map_text, prepare, shield, table, without, written
-from .labelled import MAX_PER_CLASS, count_text, fold, sample
+from .labelled import count_text, fold, labelled
 
 STEM = 5         # characters
 DISCOUNT = 0.75
@@ -114,7 +115,8 @@ def _counter():
 def _ratios(counts: DataFrame, toxic: str, ordinary: str) -> dict:
     """The strong words and stems, as sorted numpy arrays, and the table of faint
     ratios. Counting and smoothing are Spark jobs; what is collected is bounded by
-    ``TABLE`` and by the strong expressions of the bounded sample."""
+    ``TABLE`` and by the strong expressions, each of which several labelled documents
+    of one class hold."""
     c = counts.select("word", "stem", F.expr(toxic).alias("t"), F.expr(ordinary).alias("o")).filter("t + o > 0")
     stems = written(c.groupBy("stem").agg(
         F.sum("t").alias("st"), F.sum("o").alias("so"), F.count_if(F.col("t") > 0).alias("kt"),
@@ -203,15 +205,47 @@ def best_threshold(x: np.ndarray, y: np.ndarray) -> float:
     return float((max(x[k - 1], 0.0) + x[k]) / 2)
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_PER_CLASS) -> tuple[dict, float]:
-    """(model, threshold) from the labelled rows of ``docs`` outside fold 0."""
+def fitted_threshold(seen: DataFrame) -> float:
+    """``best_threshold`` of all rows (x, y), counted by Spark: errors at every cut are
+    running sums over ranges of x plus the sums of the ranges before."""
+    n = int(seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = (seen.groupBy("x").agg(F.count_if(F.col("y") == 0).alias("zeros"), F.count_if(F.col("y") == 1).alias("ones"))
+          .repartitionByRange(n, "x").withColumn("part", F.spark_partition_id()))
+    at = written(at, "tox-cuts")  # fixes the ranges
+    ranges = at.groupBy("part").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.max("x").alias("last"))
+    by_part = Window.orderBy("part")  # one row per range
+    back = by_part.rowsBetween(Window.unboundedPreceding, -1)
+    before = ranges.select("part", F.sum("zeros").over(back).alias("_z"), F.sum("ones").over(back).alias("_o"), F.lag("last").over(by_part).alias("_x"))
+    inside = Window.partitionBy("part").orderBy("x")
+    back = inside.rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0)
+    cuts = at.join(F.broadcast(before), "part").select(
+        "x", F.coalesce(F.lag("x").over(inside), "_x").alias("prev"),
+        (F.coalesce(F.sum("ones").over(back), none) + F.coalesce("_o", none)
+         - F.coalesce(F.sum("zeros").over(back), none) - F.coalesce("_z", none)).alias("wrong"))  # but for a constant
+    cuts = written(cuts.filter("prev IS NOT NULL AND x > 0"), "tox-errors")
+    least = cuts.agg(F.min("wrong")).first()[0]
+    if least is None:
+        return 1.0
+    best = cuts.filter(F.col("wrong") == least)
+    k = best.count() // 2
+    row = dense_ids(best, ["x"], "_at").filter(F.col("_at") == k).first()
+    return float((max(row["prev"], 0.0) + row["x"]) / 2)
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict, float]:
+    """(model, threshold) from all labelled rows of ``docs`` outside fold 0."""
     prepare(docs.sparkSession)
-    chosen = sample(labels.filter(fold() != 0), "toxic", most)
-    mine = docs.select("doc_id", "text").join(chosen, "doc_id")
+    chosen = labelled(labels.filter(fold() != 0), "toxic")
+    mine = docs.select("doc_id", "text")
+    if is_small(chosen):
+        mine = mine.join(F.broadcast(chosen), "doc_id")
+    else:
+        mine = written(mine.join(chosen, "doc_id"), "tox-texts")  # read twice, moved once
     counts = written(count_text(mine, ["text", "y", "part"], "word bigint, stem bigint, ta bigint, oa bigint, tb bigint, ob bigint", _counter)
                      .groupBy("word", "stem").agg(*[F.sum(c).alias(c) for c in ("ta", "oa", "tb", "ob")]), "tox-counts")
-    seen = _evidence(mine.filter("part = 1"), _ratios(counts, "ta", "oa"), "x").select("x", "y").toArrow()
-    threshold = best_threshold(seen.column("x").to_numpy(), seen.column("y").to_numpy())
+    seen = written(_evidence(mine.filter("part = 1"), _ratios(counts, "ta", "oa"), "x").select("x", "y"), "tox-evidence")
+    threshold = fitted_threshold(seen)
     return _ratios(counts, "ta + tb", "oa + ob"), threshold
 
 
