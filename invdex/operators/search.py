@@ -208,6 +208,7 @@ def segment_plan(skips: DataFrame, lookup: DataFrame, small: bool | None = None)
     terms' rows are met on (term_id, seg), which is unique."""
     if small is None:
         small = lookup_is_small(lookup)
+    skips = _batch_postings(skips, lookup, False, small)  # only the batch's terms are moved
     ok = answerable(lookup)
     rare = _rare_segments(skips, ok, small).select("query_id", "seg", "n_terms", "first", "last")
     needed = (lookup.join(ok.select("query_id", "rare_term", "rare_df"), "query_id")
