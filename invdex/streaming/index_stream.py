@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from ..operators.ids import dense_ids
 from ..operators.index import (InvertedIndex, attach_term_ids, doc_terms, explode_lists, keyed_docs, keyed_terms, merge_blocks,
-                               segment_lists, swap_keys)
-from ..operators.skew import broadcast_if_small
+                               postings, seg_of, segment_lists, swap_keys)
+from ..operators.skew import broadcast_if_small, is_small
 from ..session import stored
 from ..sources.index_store import read_index, write_index
 
@@ -160,7 +160,10 @@ def grow(batch: DataFrame, epoch_id: int, state_dir: str) -> None:
     s.createDataFrame(runs, RUNS).write.mode("overwrite").parquet(f"{state_dir}/runs/epoch={epoch_id}")
     words_b = known.unionByName(new_words).join(stats.select("token", "df"), "token")
     words_b.select("term_id", "df").write.mode("overwrite").parquet(f"{state_dir}/word_df/epoch={epoch_id}")
-    post = attach_term_ids(terms.select("did", "token"), words_b).select("term_id", "did")
+    if is_small(docs.select("key", "did")):
+        post = postings(swap_keys(keyed.select("key", "terms"), docs, ["key"], small=True), words_b)
+    else:
+        post = attach_term_ids(terms.select("did", "token"), words_b).select("term_id", "did")
     post.write.mode("overwrite").parquet(f"{state_dir}/postings/epoch={epoch_id}")
     # counters last: an epoch without them is not read, and is replayed
     s.createDataFrame([(next_did + docs.count(), next_term + n_new)], "next_did bigint, next_term bigint") \
@@ -191,10 +194,16 @@ def read_stream_index(spark: SparkSession, state_dir: str) -> dict[str, DataFram
     }
 
 
+def epoch_lists(spark: SparkSession, state_dir: str) -> DataFrame:
+    """A4: the lists of the committed epochs, merged. The postings are dealt once, by
+    (term_id, seg), for the epochs' lists and for their merge."""
+    post = _epochs(spark, state_dir, "postings", POSTS).repartition("term_id", seg_of())
+    return merge_blocks(segment_lists(post, extra_keys=("epoch",)))
+
+
 def compact(spark: SparkSession, state_dir: str, root: str) -> InvertedIndex:
     """A4: merge the epochs' lists and write them as a stored index (sorted by
     term, so that lookups prune again); returns it opened."""
     t = read_stream_index(spark, state_dir)
-    lists = segment_lists(_epochs(spark, state_dir, "postings", POSTS), extra_keys=("epoch",))
-    write_index(InvertedIndex(t["doc_dict"], t["word_dict"], explode_lists(merge_blocks(lists))), root)
+    write_index(InvertedIndex(t["doc_dict"], t["word_dict"], explode_lists(epoch_lists(spark, state_dir))), root)
     return read_index(spark, root)
