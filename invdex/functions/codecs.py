@@ -342,8 +342,90 @@ def _changes(col: pa.Array) -> np.ndarray:
     return np.concatenate(([True], codes[1:] != codes[:-1]))
 
 
+PIECE = 1 << 20  # ids of coded runs that are decoded at once
+ROWS = 1 << 16   # decoded rows handed on at once
+
+
+def _runs(ids: np.ndarray, starts: np.ndarray) -> list[pa.Array]:
+    """(first, n, vb) of each run of ascending ids: the gaps from its first id, VB coded."""
+    counts = np.diff(np.append(starts, len(ids)))
+    gaps = np.diff(ids, prepend=0)
+    gaps[starts] = 0
+    return [pa.array(ids[starts]), pa.array(counts), _binary(*_vb(gaps, counts))]
+
+
+def _run_pieces(b: pa.RecordBatch):
+    """A batch of runs, cut where more than ``PIECE`` ids come together."""
+    ends, at = np.cumsum(_numbers(b.column("n"))), 0
+    while at < b.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, PIECE + (ends[at - 1] if at else 0), side="right")))
+        yield b.slice(at, end - at)
+        at = end
+
+
+def _run_ids(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all runs, ids per run)."""
+    gaps, counts = _vb_column(b)
+    return _ids(gaps, counts, _numbers(b.column("first"))), counts
+
+
+def run_batches(names: list[str]):
+    """mapInArrow: rows (names..., did) to runs (names..., first, n, vb): the ids that
+    a batch has under the same names, in order. Runs are what is shuffled and sorted."""
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rows = pa.Table.from_batches([b]).sort_by([(c, "ascending") for c in [*names, "did"]])
+            cols = [rows.column(c).combine_chunks() for c in names]
+            starts = np.flatnonzero(np.logical_or.reduce([_changes(c) for c in cols]))
+            at = pa.array(starts)
+            yield pa.RecordBatch.from_arrays([*(c.take(at) for c in cols), *_runs(rows.column("did").to_numpy(), starts)],
+                                             names=[*names, "first", "n", "vb"])
+
+    return run
+
+
+def run_rows(batches):
+    """mapInArrow: runs (term_id, first, n, vb) to (term_id, did), in the runs' order."""
+    for b in batches:
+        for piece in _run_pieces(b):
+            ids, counts = _run_ids(piece)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(_numbers(piece.column("term_id")), counts)), pa.array(ids)],
+                                             names=["term_id", "did"])
+
+
+def _sorted_rows(batches, names: list[str]):
+    """Runs (names..., first, n, vb), sorted by the names, to rows (names..., did) sorted
+    by (names, did). The runs of the last names wait, coded, for those of the next piece."""
+
+    def rows(runs: pa.RecordBatch, new: np.ndarray):
+        ids, counts = _run_ids(runs)
+        own = np.repeat(np.arange(len(counts)), counts)
+        group = np.cumsum(new)[own]
+        if ((ids[1:] < ids[:-1]) & (group[1:] == group[:-1])).any():
+            order = np.lexsort((ids, group))
+            ids, own = ids[order], own[order]
+        for k in range(0, len(ids), ROWS):
+            at = pa.array(own[k:k + ROWS])
+            yield pa.RecordBatch.from_arrays([*(runs.column(c).take(at) for c in names), pa.array(ids[k:k + ROWS])], names=[*names, "did"])
+
+    held = None
+    for b in batches:
+        for piece in _run_pieces(b):
+            runs = piece if held is None else pa.Table.from_batches([held, piece]).combine_chunks().to_batches()[0]
+            new = np.logical_or.reduce([_changes(runs.column(c)) for c in names])
+            last = int(np.flatnonzero(new)[-1])
+            held = runs.slice(last)
+            if last:
+                yield from rows(runs.slice(0, last), new[:last])
+    if held is not None:
+        yield from rows(held, np.arange(held.num_rows) == 0)
+
+
 def segment_batches(keys: list[str], width: int):
-    """mapInArrow: rows (keys..., did, _hi), sorted by (keys, did), to one row per
+    """mapInArrow: runs (keys..., _hi, first, n, vb), sorted by (keys, _hi), to one row per
     (keys, seg): (keys..., _hi, seg, _prev, _last, dids), ``_prev`` being the id before
     the list in its (keys, _hi), if there is one. A list that reaches a batch's end
     waits for the next batch."""
@@ -372,9 +454,7 @@ def segment_batches(keys: list[str], width: int):
 
     def run(batches):
         held, prev = None, None
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in _sorted_rows(batches, [*keys, "_hi"]):
             new = pa.Table.from_batches([b])
             out, held, prev = lists(new if held is None else pa.concat_tables([held, new]), prev, False)
             if out.num_rows:
@@ -386,7 +466,7 @@ def segment_batches(keys: list[str], width: int):
 
 
 def invert_batches(batches):
-    """mapInArrow: (did, terms) to (token, dids), a token once per batch."""
+    """mapInArrow: (did, terms) to runs (token, first, n, vb), a token once per batch."""
     for b in batches:
         terms = b.column("terms")
         token = pc.list_flatten(terms).dictionary_encode()
@@ -394,9 +474,9 @@ def invert_batches(batches):
             continue
         code = token.indices.to_numpy()
         ids = b.column("did").to_numpy()[pc.list_parent_indices(terms).to_numpy()]
-        ends = np.cumsum(np.bincount(code, minlength=len(token.dictionary)))
-        lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids[np.lexsort((ids, code))]))
-        yield pa.RecordBatch.from_arrays([token.dictionary, lists], names=["token", "dids"])
+        counts = np.bincount(code, minlength=len(token.dictionary))
+        runs = _runs(ids[np.lexsort((ids, code))], np.cumsum(counts) - counts)
+        yield pa.RecordBatch.from_arrays([token.dictionary, *runs], names=["token", "first", "n", "vb"])
 
 
 def id_batches(form: str):
@@ -449,39 +529,65 @@ def _paste(pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]], lists: np.nd
 
 
 def merge_batches(batches):
-    """A4 on coded lists, as a mapInArrow function. A row holds the parts of one
-    (term_id, seg) by ascending ids, each with its old and its new base. Only the
-    first gap of a part is coded anew; what follows is copied, VB by bytes, gamma
-    by bits behind the new pad."""
+    """A4 on coded lists, as a mapInArrow function. Rows are the parts' lists, sorted by
+    (term_id, first), where a list reaching a batch's end waits for the next batch;
+    ``_hi_prev`` is the last id of the groups before, if there are any. Only the first
+    gap of a part is coded anew; what follows is copied, VB by bytes, gamma by bits
+    behind the new pad."""
+    held, prev = None, None  # prev: (term_id, _hi, last) before the held rows
     for b in batches:
-        col = b.column("parts")
-        lists, flat = _numbers(col.value_lengths()), col.flatten()
-        get = lambda k: flat.field(flat.type.get_field_index(k))  # noqa: B023, E731
-        first, base, n, last = (_numbers(get(k)) for k in ("first", "new_base", "n", "last"))
-        ends = np.cumsum(lists)
-        ones = np.ones(len(first), np.int64)
-        # VB: the bytes after the first that ends a number
-        data, lens = _raw(get("vb"))
-        begin = np.cumsum(lens) - lens
-        stops = np.flatnonzero(data >= 128)
-        cut = stops[np.searchsorted(stops, begin)] + 1 - begin
-        code, size = _vb(first - base, ones)
-        vb = _paste([(code, np.cumsum(size) - size, size), (data, begin + cut, lens - cut)], lists, np.zeros(len(lists), np.int64))
-        vb_sizes = _per_list(size + lens - cut, lists)
-        # gamma: the bits after the pad and the first code
-        data, lens = _raw(get("gamma"))
-        bits = np.unpackbits(data)
-        begin = 8 * (np.cumsum(lens) - lens) + _numbers(get("gamma_pad"))
-        zeros = np.flatnonzero(bits == 0)
-        cut = 2 * (zeros[np.searchsorted(zeros, begin)] - begin) + 1
-        rest = 8 * np.cumsum(lens) - begin - cut
-        code, size, pad = _gamma(first - base, ones)
-        code_bits = np.unpackbits(code)
-        size_bits = 8 * size - pad
-        total = _per_list(size_bits + rest, lists)
-        front = -total % 8
-        gamma = _paste([(code_bits, 8 * (np.cumsum(size) - size) + pad, size_bits), (bits, begin + cut, rest)], lists, front)
-        yield pa.RecordBatch.from_arrays(
-            [b.column("term_id"), b.column("seg"), pa.array(base[ends - lists]), pa.array(_per_list(n, lists)), pa.array(first[ends - lists]),
-             pa.array(last[ends - 1]), _binary(vb, vb_sizes), _binary(np.packbits(gamma), (total + front) // 8), pa.array(front.astype(np.int32))],
-            names=["term_id", "seg", "base", "n", "first", "last", "vb", "gamma", "gamma_pad"])
+        if not b.num_rows:
+            continue
+        rows = b if held is None else pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+        starts = np.flatnonzero(_list_starts(rows))
+        held = rows.slice(int(starts[-1]))
+        if starts[-1]:
+            out = rows.slice(0, int(starts[-1]))
+            yield _merged(out, prev)
+            prev = tuple(out.column(c)[-1].as_py() for c in ("term_id", "_hi", "last"))
+    if held is not None:
+        yield _merged(held, prev)
+
+
+def _list_starts(b: pa.RecordBatch) -> np.ndarray:
+    term, seg = (_numbers(b.column(c)) for c in ("term_id", "seg"))
+    return np.concatenate(([True], (term[1:] != term[:-1]) | (seg[1:] != seg[:-1])))
+
+
+def _merged(b: pa.RecordBatch, prev: tuple | None) -> pa.RecordBatch:
+    """Whole lists' parts joined; ``prev``: (term_id, _hi, last) of the row before them."""
+    term, seg, hi, first, last, n = (_numbers(b.column(c)) for c in ("term_id", "seg", "_hi", "first", "last", "n"))
+    starts = np.flatnonzero(_list_starts(b))
+    lists = np.diff(np.append(starts, len(term)))
+    ends = np.cumsum(lists)
+    base = np.concatenate(([0], last[:-1]))
+    new = np.concatenate(([True], (term[1:] != term[:-1]) | (hi[1:] != hi[:-1])))
+    base[new] = _numbers(b.column("_hi_prev").fill_null(0))[new]
+    if prev is not None and prev[:2] == (term[0], hi[0]):
+        base[0] = prev[2]
+    ones = np.ones(len(first), np.int64)
+    # VB: the bytes after the first that ends a number
+    data, lens = _raw(b.column("vb"))
+    begin = np.cumsum(lens) - lens
+    stops = np.flatnonzero(data >= 128)
+    cut = stops[np.searchsorted(stops, begin)] + 1 - begin
+    code, size = _vb(first - base, ones)
+    vb = _paste([(code, np.cumsum(size) - size, size), (data, begin + cut, lens - cut)], lists, np.zeros(len(lists), np.int64))
+    vb_sizes = _per_list(size + lens - cut, lists)
+    # gamma: the bits after the pad and the first code
+    data, lens = _raw(b.column("gamma"))
+    bits = np.unpackbits(data)
+    begin = 8 * (np.cumsum(lens) - lens) + _numbers(b.column("gamma_pad"))
+    zeros = np.flatnonzero(bits == 0)
+    cut = 2 * (zeros[np.searchsorted(zeros, begin)] - begin) + 1
+    rest = 8 * np.cumsum(lens) - begin - cut
+    code, size, pad = _gamma(first - base, ones)
+    code_bits = np.unpackbits(code)
+    size_bits = 8 * size - pad
+    total = _per_list(size_bits + rest, lists)
+    front = -total % 8
+    gamma = _paste([(code_bits, 8 * (np.cumsum(size) - size) + pad, size_bits), (bits, begin + cut, rest)], lists, front)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(term[starts]), pa.array(seg[starts]), pa.array(base[starts]), pa.array(_per_list(n, lists)), pa.array(first[starts]),
+         pa.array(last[ends - 1]), _binary(vb, vb_sizes), _binary(np.packbits(gamma), (total + front) // 8), pa.array(front.astype(np.int32))],
+        names=["term_id", "seg", "base", "n", "first", "last", "vb", "gamma", "gamma_pad"])

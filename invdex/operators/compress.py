@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.codecs import FORMS, encode_batches, gaps_array, id_batches, list_batches, merge_batches, segment_batches
+from ..functions.codecs import FORMS, encode_batches, gaps_array, id_batches, list_batches, merge_batches, run_batches, segment_batches
 from ..session import stored
 from .index import SEGMENT, seg_of
 from .skew import broadcast_if_small, is_small
@@ -35,6 +35,14 @@ ENCODED_COLUMNS = [c.split()[0] for c in ENCODED.split(", ")]
 SKIPS = ["term_id", "seg", "first", "last", "n"]
 
 
+def _groups_before(rows: DataFrame, keys: list[str], last: str) -> DataFrame:
+    """(keys, _hi, _hi_prev): the largest ``last`` of the group before, for the groups
+    that have one."""
+    return (rows.groupBy(*keys, "_hi").agg(F.max(last).alias("_hi_last"))
+            .withColumn("_hi_prev", F.lag("_hi_last").over(Window.partitionBy(*keys).orderBy("_hi")))
+            .where(F.col("_hi_prev").isNotNull()).select(*keys, "_hi", "_hi_prev"))
+
+
 def _with_bases(rows: DataFrame, keys: list[str], last: str, tag: str, one_group: bool) -> DataFrame:
     """``rows`` with ``_base``: the ``last`` of the row before, per ``keys``. ``_prev``
     has it inside a group (keys, _hi); groups further back count by their largest
@@ -42,9 +50,7 @@ def _with_bases(rows: DataFrame, keys: list[str], last: str, tag: str, one_group
     if one_group:  # then there is nothing further back
         return rows.withColumn("_base", F.coalesce("_prev", F.lit(0).cast("bigint"))).drop("_prev")
     rows = stored(rows, tag)
-    groups = (rows.groupBy(*keys, "_hi").agg(F.max(last).alias("_hi_last"))
-              .withColumn("_hi_prev", F.lag("_hi_last").over(Window.partitionBy(*keys).orderBy("_hi")))
-              .where(F.col("_hi_prev").isNotNull()).select(*keys, "_hi", "_hi_prev"))
+    groups = _groups_before(rows, keys, last)
     # only a group's first row lacks a base, and only those rows meet the groups
     # before; terms within one group have none to add
     heads = (rows.where(F.col("_prev").isNull()).join(broadcast_if_small(groups), [*keys, "_hi"], "left")
@@ -55,17 +61,18 @@ def _with_bases(rows: DataFrame, keys: list[str], last: str, tag: str, one_group
 
 def segments(post: DataFrame, seg_width: int = SEGMENT, fanout: int = FANOUT, extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """(extra_keys..., term_id, seg, base, dids) from long-form postings (each pair
-    once). One shuffle, by ranges of (term_id, group of segments): at most
-    ``seg_width * fanout`` ids share a key, and the rows come out in order, up to
-    the first group (see ``_with_bases``). The boundaries are sampled by a job of its
-    own, so ``post`` should be written."""
+    once). What is shuffled and sorted are coded runs, a batch's ids of one (keys, group of
+    segments), so that a term's ids don't become rows of their own there. One shuffle,
+    by ranges of (keys, group): at most ``seg_width * fanout`` ids share a key, and the
+    lists come out in order, up to the first group (see ``_with_bases``). The boundaries
+    are sampled by a job of its own, so the runs are written."""
     keys = [*extra_keys, "term_id"]
     rows = post.select(*keys, "did").withColumn("_hi", F.expr(f"(did - 1) div {int(seg_width) * int(fanout)}"))
     n = int(post.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # a group is in one partition: sorted there, its lists are runs of rows
-    rows = rows.repartitionByRange(n, *keys, "_hi").sortWithinPartitions(*keys, "did")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keys).schema.fields)
-    lists = rows.mapInArrow(segment_batches(keys, int(seg_width)),
+    rows = rows.select(*keys, "_hi", "did").mapInArrow(run_batches([*keys, "_hi"]), f"{schema}, _hi bigint, first bigint, n bigint, vb binary")
+    runs = stored(rows, "runs").repartitionByRange(n, *keys, "_hi").sortWithinPartitions(*keys, "_hi")
+    lists = runs.mapInArrow(segment_batches(keys, int(seg_width)),
                             f"{schema}, _hi bigint, seg bigint, _prev bigint, _last bigint, dids array<bigint>")
     top = post.agg(F.max("did")).first()[0] or 0
     return _with_bases(lists, keys, "_last", "lists", top <= seg_width * fanout).select(*keys, "seg", F.col("_base").alias("base"), "dids")
@@ -86,14 +93,15 @@ def merge_compressed(*parts: DataFrame, fanout: int = FANOUT) -> DataFrame:
     union = parts[0].select(*ENCODED_COLUMNS)
     for p in parts[1:]:
         union = union.unionByName(p.select(*ENCODED_COLUMNS))
-    rows = union.withColumn("_hi", F.expr(f"seg div {int(fanout)}")).repartition("term_id", "_hi")
+    # a list's old base is not needed: its first gap is coded anew
+    rows = union.drop("base").withColumn("_hi", F.expr(f"seg div {int(fanout)}"))
     top = union.agg(F.max("seg")).first()[0] or 0
-    rows = rows.withColumn("_prev", F.lag("last").over(Window.partitionBy("term_id", "_hi").orderBy("first")))
-    linked = _with_bases(rows, ["term_id"], "last", "coded-parts", top < fanout)
-    part = F.struct("first", "last", "n", F.col("_base").alias("new_base"), "vb", "gamma", "gamma_pad")
-    # _hi follows from seg; named here, the rows stay where they have been dealt
-    joined = linked.groupBy("term_id", "_hi", "seg").agg(F.array_sort(F.collect_list(part)).alias("parts")).drop("_hi")
-    return joined.mapInArrow(merge_batches, ENCODED)
+    if top < fanout:
+        rows = rows.withColumn("_hi_prev", F.lit(None).cast("bigint"))
+    else:
+        rows = rows.join(broadcast_if_small(_groups_before(rows, ["term_id"], "last")), ["term_id", "_hi"], "left")
+    # parts of a list, and the list before it, are neighbours in the sorted rows
+    return rows.repartition("term_id", "_hi").sortWithinPartitions("term_id", "first").mapInArrow(merge_batches, ENCODED)
 
 
 def gap_segments(segs: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codecs import invert_batches
+from ..functions.codecs import invert_batches, run_batches, run_rows
 from ..functions.text import distinct_tokens, doc_name, tokens
 from ..session import stored
 from .ids import dense_ids
@@ -135,14 +135,22 @@ def _broadcast_dict(w: DataFrame) -> bool:
 
 def postings(docs: DataFrame, words: DataFrame) -> DataFrame:
     """A5: the whole index in long form, (term_id, did), each pair once, from (did,
-    terms). Tokens that have to be shuffled are first gathered in the scan's tasks,
-    batch by batch, so that a token moves once for all its documents there."""
+    terms); a task's rows in order of term_id. Tokens are first gathered in the scan's
+    tasks, batch by batch, so that a token moves once for all its documents there; what
+    is joined, shuffled and sorted are these coded runs, not postings."""
     w = words.select("token", "term_id", "df")
+    runs = docs.select("did", "terms").mapInArrow(invert_batches, "token string, first bigint, n bigint, vb binary")
     if _broadcast_dict(w):
-        rows = docs.select("did", F.explode("terms").alias("token")).join(F.broadcast(w.drop("df")), "token")
-        return rows.select("term_id", "did")
-    lists = docs.select("did", "terms").mapInArrow(invert_batches, "token string, dids array<bigint>")
-    return salted_join(lists, w, "token", "df", "dids").select("term_id", F.explode("dids").alias("did"))
+        runs = runs.join(F.broadcast(w.drop("df")), "token")
+    else:
+        runs = salted_join(runs, w, "token", "df", "first")
+    return _in_term_order(runs)
+
+
+def _in_term_order(runs: DataFrame) -> DataFrame:
+    """(term_id, did) of coded runs, each task's rows in order of term_id."""
+    runs = runs.select("term_id", "first", "n", "vb").sortWithinPartitions("term_id", "first")
+    return runs.mapInArrow(run_rows, "term_id bigint, did bigint")
 
 
 def occurrences(corpus: DataFrame, docs: DataFrame, words: DataFrame) -> DataFrame:
@@ -214,7 +222,8 @@ def _narrow_index(terms: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFra
                    .select("term_id", "token", "df", "_no"), "word-dict")
     ids = words.select("_no", "term_id", "df")
     post = rows.join(F.broadcast(ids), "_no") if is_small(ids) else salted_join(rows, ids, "_no", "df", "did")
-    return words.drop("_no"), post.select("term_id", "did")
+    runs = post.select("term_id", "did").mapInArrow(run_batches(["term_id"]), "term_id bigint, first bigint, n bigint, vb binary")
+    return words.drop("_no"), _in_term_order(runs)
 
 
 def build_index(corpus: DataFrame) -> InvertedIndex:
