@@ -34,7 +34,8 @@ def test_every_word_has_its_own_ratio(spark, made, monkeypatch, tmp_path, share)
     rows, lab = made
     a, b = sharing()
     y = dict(lab)
-    rows = [(i, f"{x} {a if y[i] else b}" if y.get(i) is not None and i % 3 == 0 else x) for i, x in rows]
+    more = {i: f" {a}" * (i % (3 if y[i] else 30) == (0 if y[i] else 1)) + f" {b}" * (i % (24 if y[i] else 3) == (4 if y[i] else 0)) for i in y}
+    rows = [(i, x + more[i] if i in y else x) for i, x in rows]  # a is faintly toxic, b faintly ordinary
     rows += [(1003, dict(rows)[1003]), (1006, a), (1007, b)]  # 1003 comes twice
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     labels = spark.createDataFrame(lab, "doc_id bigint, toxic int")
