@@ -25,8 +25,8 @@ from pyspark.sql.window import Window
 
 from ..functions.codecs import FORMS, encode_batches, gaps_array, id_batches, list_batches, merge_batches, run_batches, segment_batches
 from ..session import stored
-from .index import SEGMENT, seg_of
-from .skew import broadcast_if_small, is_small
+from .index import SEGMENT, seg_of, with_blocks
+from .skew import broadcast_if_small
 
 FANOUT = 1 << 16  # a term's group: at most 4M ids, which one task sorts and codes
 ENCODED = ("term_id bigint, seg bigint, base bigint, n bigint, first bigint, last bigint, vb binary, gamma binary, "
@@ -81,9 +81,7 @@ def segments(post: DataFrame, seg_width: int = SEGMENT, fanout: int = FANOUT, ex
 def block_segments(post: DataFrame, docs: DataFrame) -> DataFrame:
     """A3 coded: every block as an index of its own, its lists starting at base 0;
     one row per (block, term_id, seg)."""
-    blocks = docs.select("did", "block")
-    rows = post.join(F.broadcast(blocks) if is_small(blocks) else blocks, "did").select("block", "term_id", "did")
-    return encode(segments(rows, extra_keys=("block",)))
+    return encode(segments(with_blocks(post, docs), extra_keys=("block",)))
 
 
 def merge_compressed(*parts: DataFrame, fanout: int = FANOUT) -> DataFrame:

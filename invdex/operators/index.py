@@ -9,8 +9,8 @@ Data flow of a build (``build_index``)::
       -> word_dict(term_id, token, df)                 I2: dense ids from 0 by first occurrence
       -> postings(term_id, did)                        A1+A5
 
-Keys become ids on narrow rows only. A key map that passes the size check is
-broadcast into the rows of tokens. A larger one is met by rows of three numbers:
+Keys become ids where the tokens lie: a map with one row for ``NEIGHBOURS`` keys is
+broadcast if it passes the size check. A larger one is met by rows of three numbers:
 tokens first become provisional term numbers (checked broadcast of the words,
 else salted shuffle join), then (key, dpos, number) rows meet the key map on the
 key, which no document makes heavy, and the term ids on the number, salted.
@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codecs import invert_batches, run_batches, run_rows
+from ..functions.codecs import invert_batches, run_batches, run_rows, segment_batches
 from ..functions.text import distinct_tokens, doc_name, tokens
 from ..session import stored
 from .ids import dense_ids
@@ -37,6 +37,8 @@ from .skew import is_small, salted_join
 SEGMENT = 64
 # Largest dictionary that the tokens of all postings meet by broadcast.
 DICT_BROADCAST = 500_000
+# Neighbouring keys that are one row of a packed map.
+NEIGHBOURS = 1024
 
 
 def seg_of(did_col: str = "did", seg_width: int = SEGMENT):
@@ -88,6 +90,27 @@ def swap_keys(rows: DataFrame, docs: DataFrame, key: list[str], small: bool | No
     return rows.join(F.broadcast(ids) if small else ids, key).drop(*key)
 
 
+def packed(docs: DataFrame, key: str, value: str) -> DataFrame | None:
+    """The map key -> value (numbers, a key once) with one row for NEIGHBOURS keys:
+    (_chunk, _from, _vals), ``_vals`` from the key ``_from`` on. Its rows and bytes are
+    then a fraction of the documents'. None where it is too large to broadcast or keys
+    are missing in between."""
+    rows = docs.select(F.expr(f"{key} div {NEIGHBOURS}").alias("_chunk"), F.struct(F.col(key).alias("k"), F.col(value).alias("v")).alias("_kv"))
+    lists = rows.groupBy("_chunk").agg(F.array_sort(F.collect_list("_kv")).alias("_kvs"))
+    out = stored(lists.select("_chunk", F.element_at("_kvs", 1)["k"].alias("_from"), F.element_at("_kvs", -1)["k"].alias("_to"),
+                              F.col("_kvs.v").alias("_vals")), "packed-map")
+    gaps = out.where("_chunk IS NULL OR _to - _from + 1 <> size(_vals)").limit(1).count()
+    return out.drop("_to") if not gaps and is_small(out) else None
+
+
+def look_up(rows: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:
+    """``rows`` with ``value`` of their ``key`` from a ``packed`` map, by broadcast; rows
+    whose key it lacks are dropped."""
+    met = rows.withColumn("_chunk", F.expr(f"{key} div {NEIGHBOURS}")).join(F.broadcast(table), "_chunk")
+    met = met.withColumn(value, F.get("_vals", (F.col(key) - F.col("_from")).cast("int"))).drop("_chunk", "_from", "_vals")
+    return met.where(F.col(value).isNotNull())
+
+
 def token_positions(corpus: DataFrame, docs: DataFrame) -> DataFrame:
     """One row per token occurrence: (did, pos, token), pos from 0. Tokenised
     in the scan's tasks; only (block, file, pos, token) rows meet the ids."""
@@ -176,12 +199,33 @@ def segment_lists(post: DataFrame, extra_keys: tuple[str, ...] = (), seg_width:
     )
 
 
-def block_postings(post: DataFrame, docs: DataFrame) -> DataFrame:
-    """A3: per block, per term, the sorted distinct doc ids (segmented). The
-    postings meet the doc dictionary's (did, block), not the texts."""
+def with_blocks(post: DataFrame, docs: DataFrame) -> DataFrame:
+    """(block, term_id, did): the postings with their documents' blocks. Blocks are
+    numbered, so that the map from ids to blocks is packed and broadcast; one that is too
+    large is shuffled."""
     blocks = docs.select("did", "block")
+    if not is_small(blocks):
+        names = stored(blocks.select("block").distinct().withColumn("_no", F.monotonically_increasing_id()), "block-names")
+        if is_small(names):
+            numbered = blocks.join(F.broadcast(names), blocks["block"].eqNullSafe(names["block"])).select("did", "_no")
+            table = packed(numbered, "did", "_no")
+            if table is not None:
+                return look_up(post, table, "did", "_no").join(F.broadcast(names), "_no").select("block", "term_id", "did")
     rows = post.join(F.broadcast(blocks) if is_small(blocks) else blocks, "did")
-    return segment_lists(rows.select("block", "term_id", "did"), extra_keys=("block",))
+    return rows.select("block", "term_id", "did")
+
+
+def block_postings(post: DataFrame, docs: DataFrame) -> DataFrame:
+    """A3: per block, per term, the sorted distinct doc ids (segmented). The
+    postings meet the doc dictionary's (did, block), not the texts; a batch's ids of one
+    block and term are one coded run in the shuffle."""
+    rows = with_blocks(post, docs).withColumn("_hi", F.expr(f"(did - 1) div {SEGMENT << 16}"))
+    runs = rows.select("block", "term_id", "_hi", "did").mapInArrow(
+        run_batches(["block", "term_id", "_hi"]), "block string, term_id bigint, _hi bigint, first bigint, n bigint, vb binary")
+    dealt = runs.repartition("block", "term_id", "_hi").sortWithinPartitions("block", "term_id", "_hi")
+    lists = dealt.mapInArrow(segment_batches(["block", "term_id"], SEGMENT),
+                             "block string, term_id bigint, _hi bigint, seg bigint, _prev bigint, _last bigint, dids array<bigint>")
+    return lists.select("block", "term_id", "seg", F.array_distinct("dids").alias("dids"))
 
 
 def merge_blocks(*block_lists: DataFrame) -> DataFrame:
@@ -232,12 +276,12 @@ def build_index(corpus: DataFrame) -> InvertedIndex:
     keyed = keyed_terms(corpus)
     docs = keyed_docs(keyed)  # numbered rows are checkpointed
     check_keys(docs)
-    terms = doc_terms(keyed)
-    if is_small(docs.select("key", "did")):
-        rows = swap_keys(terms, docs, ["key"], small=True)
-        words = word_dict(rows)
-        post = postings(swap_keys(keyed.select("key", "terms"), docs, ["key"], small=True), words)
+    ids = packed(docs, "key", "did")
+    if ids is not None:
+        rows = look_up(keyed.select("key", "terms"), ids, "key", "did").select("did", "terms")
+        words = word_dict(rows.select("did", F.posexplode("terms").alias("dpos", "token")))
+        post = postings(rows, words)
     else:
-        words, post = _narrow_index(terms, docs)
+        words, post = _narrow_index(doc_terms(keyed), docs)
     docs = docs.drop("key")
     return InvertedIndex(docs, words, post, corpus, name_order(docs))
