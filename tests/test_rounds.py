@@ -45,3 +45,13 @@ def test_long_form(spark, made, shuffled, moved):  # noqa: F811
     assert hits(got) == want and len(want) > 50
     # 600 candidates meet one term each; before, 600 * 11 checks met the postings of all terms
     assert batch(moved) + shuffled_rows(got) < 6000
+
+
+def test_array_form(spark, made, shuffled, moved):  # noqa: F811
+    ix, lookup, want = made
+    some = lookup.where("query_id IN (0, 92, 93)")
+    lists = X.segment_lists(ix.postings)
+    got = S.intersect_lists(lists, some)
+    assert hits(got) == [x for x in want if x[0] in (0, 92, 93)]
+    # the other documents' own words are not made into lists
+    assert batch(moved) + shuffled_rows(got) < 300 < lists.count()
