@@ -2,9 +2,11 @@
 
 import pytest
 
+from invdex.operators import compress as C
 from invdex.operators import index as X
 from invdex.operators import search as S
-from invdex.session import stored
+from invdex.session import scratch_path, stored
+from invdex.sources import index_store as IO
 from tests.test_moved_once import shuffled, shuffled_rows  # noqa: F401
 
 STOP = "the of and in to is it on at by"
@@ -55,3 +57,23 @@ def test_array_form(spark, made, shuffled, moved):  # noqa: F811
     assert hits(got) == [x for x in want if x[0] in (0, 92, 93)]
     # the other documents' own words are not made into lists
     assert batch(moved) + shuffled_rows(got) < 300 < lists.count()
+
+
+def test_compressed_form(spark, made, shuffled, moved):  # noqa: F811
+    ix, lookup, want = made
+    enc = stored(C.encode(C.segments(ix.postings)), "t-enc")
+    got = S.skip_hits(enc, enc.select("term_id", "seg", "first", "last", "n"), lookup, lambda e: C.decode_lists(e, "vb"))
+    assert hits(got) == want
+    # the stop words' ids stay lists: before, every pair of a query and a segment brought hundreds
+    assert batch(moved) + shuffled_rows(got) < 4000
+
+
+def test_buckets_hold_the_lists_once(spark, made):
+    ix, _, _ = made
+    root = scratch_path(spark, "t-buckets")
+    IO.write_index(ix, root, compressed=C.encode(C.segments(ix.postings)))
+    t = IO.read_bucketed(spark, root, IO.write_bucketed(spark, root, 3))
+    enc = IO.read_compressed(spark, root)
+    assert sorted(map(tuple, t["compressed"].collect())) == sorted(map(tuple, enc.collect()))
+    assert sorted(map(tuple, t["skips"].collect())) == sorted(map(tuple, IO.read_skips(spark, root).collect()))
+    assert {f.rsplit("/", 2)[-2] for f in t["skips"].inputFiles()} == {"compressed"}
